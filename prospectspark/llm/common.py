@@ -105,6 +105,24 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def hash_slices(data: np.ndarray, start: np.ndarray, length: np.ndarray, base: int) -> np.ndarray:
+    """64 bits of each slice, a polynomial over its bytes with an odd base, then mixed.  The slices lie one after another, none empty."""
+    if not len(start):
+        return np.zeros(0, U64)
+    power = powers(base, int(length.max()))
+    out = np.empty(len(start), U64)
+    step = start // STEP_BYTES  # a few MB at a time: eight bytes stand for each byte here
+    edges = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(step)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        begin, end = int(start[a]), int(start[b - 1] + length[b - 1])
+        own = start[a:b] - begin
+        at = np.arange(end - begin, dtype=np.int32) - np.repeat(own.astype(np.int32), length[a:b])
+        values = data[begin:end].astype(U64)
+        values *= power[at]
+        out[a:b] = np.add.reduceat(values, own)
+    return mix(out)
+
+
 @dataclass
 class Words:
     """The words of some documents.  data: the words, each followed by one blank; start, length: of each word in data; first: n + 1 word numbers, where each document begins."""
@@ -125,18 +143,7 @@ class Words:
         """64 bits of each word, a polynomial over its bytes with an odd base, then mixed."""
         if not len(self.start):
             return np.zeros(0, U64)
-        power = powers(base, int(self.length.max()) + 1)
-        out = np.empty(len(self.start), U64)
-        step = self.start // STEP_BYTES  # a few MB at a time: eight bytes stand for each byte here
-        edges = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(step)]
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            begin, end = int(self.start[a]), int(self.start[b - 1] + self.length[b - 1] + 1)
-            start = self.start[a:b] - begin
-            at = np.arange(end - begin, dtype=np.int32) - np.repeat(start.astype(np.int32), self.length[a:b] + 1)
-            values = self.data[begin:end].astype(U64)
-            values *= power[at]
-            out[a:b] = np.add.reduceat(values, start)
-        return mix(out)
+        return hash_slices(self.data, self.start, self.length + 1, base)
 
 
 def words_of(data: np.ndarray, offs: np.ndarray, lower: bool = False, separator: np.ndarray = _SEPARATOR) -> Words:
