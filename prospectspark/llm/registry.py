@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .exact_dedup import OP10_SQL, op10_exact_dedup
 from .substring_dedup import op5_substring_dedup
 from .suffix_dedup import op2_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_substring_dedup": op5_substring_dedup,
+    "op10_exact_dedup": op10_exact_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_exact_dedup": OP10_SQL,
+}
