@@ -9,19 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from .exact_dedup import OP10_SQL, op10_exact_dedup
 from .licenses import OP3_SQL, op3_license_scan
 from .mixing import OP1_SQL, op1_source_mixing
+from .quality import OP7_SQL, op7_quality_rules
 from .substring_dedup import op5_substring_dedup
 from .suffix_dedup import op2_suffix_dedup
+from .url_filter import OP4_SQL, op4_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_license_scan": op3_license_scan,
+    "op4_url_filter": op4_url_filter,
     "op5_substring_dedup": op5_substring_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_source_mixing": OP1_SQL,
     "op3_license_scan": OP3_SQL,
+    "op4_url_filter": OP4_SQL,
+    "op7_quality_rules": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
