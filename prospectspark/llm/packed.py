@@ -7,21 +7,29 @@ What goes back is small: for each document and bucket, the stretches to remove.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import mix, text_steps
+
 BLOB = "bucket int, n int, blob binary"
 BLOB_SCHEMA = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("blob", pa.binary())])
-REMOVAL = "doc_id long, text_key long, spans binary"
-REMOVAL_SCHEMA = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("spans", pa.binary())])
+#: What goes to the last step: for each part (of the documents, by a hash of doc_id) spans to remove (kind 0) and then texts (kind 1).
+PART = "part int, kind int, n int, blob binary"
+PART_SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("blob", pa.binary())])
+SPANS = (("doc", np.int64), ("key", np.uint32), ("begin", np.int32), ("end", np.int32))
 
 #: Entry columns beside the payload, in the order in which they lie in a blob.
-FIELDS = (("doc", np.int64), ("key", np.uint32), ("start", np.int32), ("windows", np.int32), ("length", np.int32), ("minimiser", np.uint64))
+FIELDS = (("doc", np.int64), ("key", np.uint32), ("start", np.int32), ("windows", np.int32), ("length", np.int32))
+#: For those that need it in the bucket too.
+WITH_MINIMISER = (*FIELDS, ("minimiser", np.uint64))
+LEVEL = 3
 
 
 def take_slices(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -34,53 +42,57 @@ def take_slices(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     return data[shift]
 
 
-def pack(entries: dict[str, np.ndarray], data: np.ndarray, at: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """entries: FIELDS as arrays; at: where in data each payload starts.  One row for each bucket that has entries."""
+def pack(entries: dict[str, np.ndarray], data: np.ndarray, at: np.ndarray, buckets: int, fields: tuple = FIELDS) -> Iterator[pa.RecordBatch]:
+    """entries: the fields as arrays, with minimiser; at: where in data each payload starts.  One row for each bucket that has entries."""
     n = len(at)
     if not n:
         return
     bucket = (entries["minimiser"] % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     bucket, at = bucket[order], at[order]
-    cols = {name: np.ascontiguousarray(entries[name][order].astype(kind)) for name, kind in FIELDS}
+    cols = {name: np.ascontiguousarray(entries[name][order].astype(kind)) for name, kind in fields}
     edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [n]])
-    press = zstandard.ZstdCompressor(level=1)
+    press = zstandard.ZstdCompressor(level=LEVEL)
     out = []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         payload = take_slices(data, at[a:b], cols["length"][a:b].astype(np.int64))
-        out.append((int(bucket[a]), b - a, press.compress(b"".join([*(cols[name][a:b].tobytes() for name, _ in FIELDS), payload.tobytes()]))))
+        out.append((int(bucket[a]), b - a, press.compress(b"".join([*(cols[name][a:b].tobytes() for name, _ in fields), payload.tobytes()]))))
     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), BLOB_SCHEMA.types, strict=True)], schema=BLOB_SCHEMA)
 
 
-def unpack(batches: Iterator[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+def unpack(batches: Iterator[pa.RecordBatch], fields: tuple = FIELDS) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """All entries of one bucket, and their payloads one after another."""
-    parts: dict[str, list[np.ndarray]] = {name: [] for name, _ in FIELDS}
+    parts: dict[str, list[np.ndarray]] = {name: [] for name, _ in fields}
     data = []
     press = zstandard.ZstdDecompressor()
     for batch in batches:
         for n, blob in zip(batch.column("n").to_pylist(), batch.column("blob"), strict=True):
             raw, at = press.decompress(blob.as_buffer()), 0
-            for name, kind in FIELDS:
+            for name, kind in fields:
                 parts[name].append(np.frombuffer(raw, kind, n, at))
                 at += n * np.dtype(kind).itemsize
             data.append(np.frombuffer(raw, np.uint8, offset=at))
     if not data:
-        return {name: np.zeros(0, kind) for name, kind in FIELDS}, np.zeros(0, np.uint8)
+        return {name: np.zeros(0, kind) for name, kind in fields}, np.zeros(0, np.uint8)
     return {name: np.concatenate(x) for name, x in parts.items()}, np.concatenate(data)
 
 
-def removals(doc: np.ndarray, key: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of REMOVAL from stretches [begin, end): one for each document."""
+def part_of(doc: np.ndarray, parts: int) -> np.ndarray:
+    return (mix(doc.astype(np.int64).view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+
+
+def removals(doc: np.ndarray, key: np.ndarray, begin: np.ndarray, end: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Stretches [begin, end) to remove, one row for each part of the documents."""
     if not len(doc):
         return
-    order = np.lexsort((begin, key, doc))
-    doc, key = doc[order], key[order]
-    spans = np.stack([begin[order], end[order]], 1).astype("<i4")
-    edges = np.concatenate([[0], np.flatnonzero((np.diff(doc) != 0) | (np.diff(key.astype(np.int64)) != 0)) + 1, [len(doc)]])
-    for a in range(0, len(edges) - 1, 10_000):
-        cut = edges[a : a + 10_001]
-        blobs = [spans[x:y].tobytes() for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[cut[:-1]]), pa.array(key[cut[:-1]].astype(np.int64)), pa.array(blobs, pa.binary())], schema=REMOVAL_SCHEMA)
+    part = part_of(doc, parts)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    cols = [x[order].astype(kind) for x, (_, kind) in zip((doc, key, begin, end), SPANS, strict=True)]
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]).tolist()
+    press = zstandard.ZstdCompressor(level=LEVEL)
+    out = [(int(part[a]), 0, b - a, press.compress(b"".join(x[a:b].tobytes() for x in cols))) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), PART_SCHEMA.types, strict=True)], schema=PART_SCHEMA)
 
 
 def runs(flags: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,18 +106,70 @@ def runs(flags: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return idx[first], idx[np.concatenate([first[1:], [len(idx)]]) - 1]
 
 
-def with_removals(documents: DataFrame, removed: DataFrame, columns: list[str]) -> DataFrame:
-    """documents with ``spans``, an array of the packed stretches to remove of each text, or null."""
-    grouped = removed.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("text_key", "spans")).alias("spans"))
-    return documents.select(*columns).join(grouped, F.col("doc_id") == F.col("_id"), "left").drop("_id")
-
-
-def covered(spans: list[dict] | None, key: int, n: int) -> np.ndarray:
-    """Flags for n units: those in a stretch of this text."""
-    depth = np.zeros(n + 1, np.int32)
-    for x in spans or ():
-        if x["text_key"] == key:
-            pair = np.frombuffer(x["spans"], "<i4").reshape(-1, 2)
-            np.add.at(depth, pair[:, 0], 1)
-            np.add.at(depth, pair[:, 1], -1)
-    return np.cumsum(depth[:-1]) > 0
+def with_removals(documents: DataFrame, removed: DataFrame, parts: int, apply: Callable[[pa.RecordBatch, Spans], pa.RecordBatch], schema: str) -> DataFrame:
+    """Bring the stretches to the documents and let ``apply`` make the result of each step of documents.
+
+    Texts travel compressed, those of a step for one part together.  A task sees its part's stretches before its texts.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=LEVEL)
+        for batch in batches:
+            for step in text_steps(batch):
+                part = part_of(pc.fill_null(step.column("doc_id"), 0).to_numpy(zero_copy_only=False), parts)
+                order = np.argsort(part, kind="stable")
+                part = part[order]
+                step = step.take(pa.array(order))
+                edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+                out = []
+                for a, b in zip(edges[:-1], edges[1:], strict=True):
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, step.schema) as writer:
+                        writer.write_batch(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in step.slice(a, b - a).columns], schema=step.schema))
+                    out.append((int(part[a]), 1, b - a, press.compress(sink.getvalue())))
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), PART_SCHEMA.types, strict=True)], schema=PART_SCHEMA)
+
+    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdDecompressor()
+        found: list[list[np.ndarray]] = [[] for _ in SPANS]
+        spans = None
+        for batch in batches:
+            for kind, n, blob in zip(batch.column("kind").to_pylist(), batch.column("n").to_pylist(), batch.column("blob"), strict=True):
+                raw = press.decompress(blob.as_buffer())
+                if kind == 0:
+                    at = 0
+                    for column, (_, type_) in zip(found, SPANS, strict=True):
+                        column.append(np.frombuffer(raw, type_, n, at))
+                        at += n * np.dtype(type_).itemsize
+                    continue
+                if spans is None:
+                    spans = Spans(found)
+                for inner in pa.ipc.open_stream(raw):
+                    for step in text_steps(inner):
+                        yield apply(step, spans)
+
+    texts = documents.select("doc_id", "text").mapInArrow(send, PART)
+    dealt = texts.unionByName(removed).repartitionById(parts, F.col("part")).sortWithinPartitions("kind")
+    return dealt.mapInArrow(receive, schema)
+
+
+class Spans:
+    """The stretches of one part's documents, found by doc_id and text key."""
+
+    def __init__(self, columns: list[list[np.ndarray]]):
+        doc, key, begin, end = (np.concatenate(x) if x else np.zeros(0, kind) for x, (_, kind) in zip(columns, SPANS, strict=True))
+        order = np.lexsort((key, doc))
+        self.doc, self.key, self.begin, self.end = doc[order], key[order], begin[order], end[order]
+
+    def flags(self, doc: int | None, key: int, n: int) -> np.ndarray | None:
+        """Flags for the n units of a text: those in a stretch; None if there is none."""
+        if doc is None:
+            return None
+        a, b = np.searchsorted(self.doc, [doc, doc + 1]) if doc < (1 << 63) - 1 else (np.searchsorted(self.doc, doc), len(self.doc))
+        own = self.key[a:b] == key
+        if not own.any():
+            return None
+        depth = np.zeros(n + 1, np.int32)
+        np.add.at(depth, self.begin[a:b][own], 1)
+        np.add.at(depth, self.end[a:b][own], -1)
+        return np.cumsum(depth[:-1]) > 0

@@ -95,7 +95,7 @@ def heavy_pairs(documents: DataFrame, window: int, share: float) -> np.ndarray:
 
 
 def first_windows(documents: DataFrame, window: int, buckets: int, last: np.ndarray) -> DataFrame:
-    """Stretches of words to remove, as rows of packed.REMOVAL."""
+    """Stretches of words to remove, as rows of packed.PART."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,10 +161,10 @@ def first_windows(documents: DataFrame, window: int, buckets: int, last: np.ndar
             key.append(live["key"][e])
             begin.append(live["start"][e] + base[x])
             end.append(live["start"][e] + base[y] + window)
-        yield from packed.removals(np.concatenate(doc), np.concatenate(key), np.concatenate(begin), np.concatenate(end))
+        yield from packed.removals(np.concatenate(doc), np.concatenate(key), np.concatenate(begin), np.concatenate(end), buckets)
 
     sent = documents.select("doc_id", "text").filter("doc_id is not null").mapInArrow(send, packed.BLOB)
-    return sent.repartitionById(buckets, F.col("bucket")).mapInArrow(count, packed.REMOVAL)
+    return sent.repartitionById(buckets, F.col("bucket")).mapInArrow(count, packed.PART)
 
 
 def same_strings(words: Words, first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -194,28 +194,24 @@ def substring_dedup(documents: DataFrame, window: int = 13, buckets: int | None
     last = heavy_pairs(documents, window, 1 / (4 * buckets))
     removed = first_windows(documents, window, buckets, last)
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for step in text_steps(batch):
-                data, offs = text_bytes(step.column("text"))
-                words, keys = words_of(data, offs), text_keys(data, offs)
-                rows = []
-                for i, (doc, spans) in enumerate(zip(step.column("doc_id").to_pylist(), step.column("spans").to_pylist(), strict=True)):
-                    a, b = int(words.first[i]), int(words.first[i + 1])
-                    keep = words.data[words.start[a] : words.start[b - 1] + words.length[b - 1]] if b > a else words.data[:0]
-                    gone = 0
-                    if spans:
-                        flags = packed.covered(spans, int(keys[i]), b - a)
-                        gone = int(flags.sum())
-                        if gone:
-                            left = a + np.flatnonzero(~flags)
-                            keep = packed.take_slices(words.data, words.start[left], words.length[left] + 1)[:-1]
-                    raw = keep.tobytes()
-                    rows.append((doc, b - a, gone, hashlib.sha256(raw).hexdigest(), *([raw.decode("utf-8", "replace")] if keep_text else [])))
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), out.types, strict=True)], schema=out)
+    def apply(step: pa.RecordBatch, spans: packed.Spans) -> pa.RecordBatch:
+        data, offs = text_bytes(step.column("text"))
+        words, keys = words_of(data, offs), text_keys(data, offs)
+        rows = []
+        for i, doc in enumerate(step.column("doc_id").to_pylist()):
+            a, b = int(words.first[i]), int(words.first[i + 1])
+            keep = words.data[words.start[a] : words.start[b - 1] + words.length[b - 1]] if b > a else words.data[:0]
+            flags = spans.flags(doc, int(keys[i]), b - a)
+            if flags is not None:
+                left = a + np.flatnonzero(~flags)
+                keep = packed.take_slices(words.data, words.start[left], words.length[left] + 1)[:-1]
+            raw = keep.tobytes()
+            rows.append((doc, b - a, 0 if flags is None else int(flags.sum()), hashlib.sha256(raw).hexdigest(), *([raw.decode("utf-8", "replace")] if keep_text else [])))
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), out.types, strict=True)], schema=out)
 
     out = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), *([("kept", pa.string())] if keep_text else [])])
-    return packed.with_removals(documents, removed, ["doc_id", "text"]).mapInArrow(apply, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text
+    return packed.with_removals(documents, removed, buckets, apply, schema)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from . import packed
 from .common import U64, hash_slices, mix, ranges, read_table, shuffle_partitions, sliding_min, text_bytes, text_keys, text_steps
 
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407, 0xC2B2AE3D27D4EB4F)
-GRAM = 24
+GRAM = 16
 PLACE_BITS = U64(26)
 BATCH_WINDOWS = 1 << 20
 
@@ -185,7 +185,7 @@ def repeated(entries: dict[str, np.ndarray], data: np.ndarray, length: int, base
 
 
 def earlier_strings(documents: DataFrame, length: int, gram: int, buckets: int, batch: int) -> DataFrame:
-    """Stretches of bytes to remove, as rows of packed.REMOVAL."""
+    """Stretches of bytes to remove, as rows of packed.PART."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for given in batches:
@@ -204,12 +204,12 @@ def earlier_strings(documents: DataFrame, length: int, gram: int, buckets: int,
                 owner[order] = order[np.flatnonzero(lead)[np.cumsum(lead) - 1]]
                 late = (ids != ids[owner]) | (keys != keys[owner]) | (start != start[owner])
                 entries = {"doc": ids, "key": keys, "start": start, "windows": np.where(late, -count, count), "length": np.where(late, 0, size), "minimiser": minimiser}
-                yield from packed.pack(entries, data, first, buckets)
+                yield from packed.pack(entries, data, first, buckets, packed.WITH_MINIMISER)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, data = packed.unpack(batches)
+        entries, data = packed.unpack(batches, packed.WITH_MINIMISER)
         done = entries["windows"] < 0
-        yield from packed.removals(entries["doc"][done], entries["key"][done], entries["start"][done], (entries["start"] - entries["windows"] + length - 1)[done])
+        yield from packed.removals(entries["doc"][done], entries["key"][done], entries["start"][done], (entries["start"] - entries["windows"] + length - 1)[done], buckets)
         live = {k: v[~done] for k, v in entries.items()}
         for base in BASES:
             try:
@@ -217,12 +217,12 @@ def earlier_strings(documents: DataFrame, length: int, gram: int, buckets: int,
             except Collision:
                 continue
             if found:
-                yield from packed.removals(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                yield from packed.removals(*(np.concatenate(x) for x in zip(*found, strict=True)), buckets)
             return
         raise ArithmeticError("fingerprints collide for every base")
 
     sent = documents.select("doc_id", "text").filter("doc_id is not null").mapInArrow(send, packed.BLOB)
-    return sent.repartitionById(buckets, F.col("bucket")).mapInArrow(find, packed.REMOVAL)
+    return sent.repartitionById(buckets, F.col("bucket")).mapInArrow(find, packed.PART)
 
 
 def same_strings(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -246,27 +246,25 @@ def suffix_dedup(documents: DataFrame, length: int = 100, gram: int = GRAM, buck
     buckets = buckets or 2 * shuffle_partitions(documents.sparkSession)
     removed = earlier_strings(documents, length, gram, buckets, batch)
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for given in batches:
-            for step in text_steps(given):
-                data, offs = text_bytes(step.column("text"))
-                keys = text_keys(data, offs)
-                rows = []
-                for i, (doc, spans) in enumerate(zip(step.column("doc_id").to_pylist(), step.column("spans").to_pylist(), strict=True)):
-                    own = data[offs[i] : offs[i + 1]]
-                    gone = pieces = 0
-                    n = len(own)
-                    if spans:
-                        flags = packed.covered(spans, int(keys[i]), n)
-                        gone = int(flags.sum())
-                        pieces = int(flags[:1].sum() + (flags[1:] & ~flags[:-1]).sum())
-                        own = own[~flags]
-                    raw = own.tobytes()
-                    rows.append((doc, n, gone, pieces, hashlib.sha256(raw).hexdigest(), *([raw] if keep_bytes else [])))
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), out.types, strict=True)], schema=out)
+    def apply(step: pa.RecordBatch, spans: packed.Spans) -> pa.RecordBatch:
+        data, offs = text_bytes(step.column("text"))
+        keys = text_keys(data, offs)
+        rows = []
+        for i, doc in enumerate(step.column("doc_id").to_pylist()):
+            own = data[offs[i] : offs[i + 1]]
+            n, gone, pieces = len(own), 0, 0
+            flags = spans.flags(doc, int(keys[i]), n)
+            if flags is not None:
+                gone = int(flags.sum())
+                pieces = int(flags[:1].sum() + (flags[1:] & ~flags[:-1]).sum())
+                own = own[~flags]
+            raw = own.tobytes()
+            rows.append((doc, n, gone, pieces, hashlib.sha256(raw).hexdigest(), *([raw] if keep_bytes else [])))
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), out.types, strict=True)], schema=out)
 
     out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), *([("kept", pa.binary())] if keep_bytes else [])])
-    return packed.with_removals(documents, removed, ["doc_id", "text"]).mapInArrow(apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes)
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
+    return packed.with_removals(documents, removed, buckets, apply, schema)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
