@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import OP10_SQL, op10_exact_dedup
 from .licenses import OP3_SQL, op3_license_scan
+from .minhash import op6_minhash_near_dedup
 from .mixing import OP1_SQL, op1_source_mixing
 from .quality import OP7_SQL, op7_quality_rules
 from .substring_dedup import op5_substring_dedup
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op4_url_filter": op4_url_filter,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
