@@ -225,8 +225,9 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
 
 def drop_near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group stays: the smallest doc_id.  All columns as they are."""
-    gone = near_duplicates(documents, shingle, percent).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(documents, shingle, percent).filter("not kept").select("doc_id").distinct()
+    rows = documents.select(F.struct("*").alias("row"))  # as a struct, so that no name clashes
+    return rows.join(gone, F.col("row.doc_id") == F.col("doc_id"), "left_anti").select("row.*")
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

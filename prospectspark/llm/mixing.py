@@ -84,9 +84,10 @@ def copies(documents: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_rep
 
 def mix_sources(documents: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: float = 3, seed: int = 7) -> DataFrame:
     """The mix itself: each row of documents as often as it is taken.  doc_id must tell rows apart."""
-    chosen = copies(documents, weights, max_repeats, seed).filter("copies > 0").select(F.col("doc_id").alias("_mixed"), F.col("copies").alias("_copies"))
-    rows = documents.join(chosen, F.col("doc_id").eqNullSafe(F.col("_mixed")))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_mixed", "_copies", "_copy")
+    chosen = copies(documents, weights, max_repeats, seed).filter("copies > 0").select("doc_id", "copies")
+    rows = documents.select(F.struct("*").alias("row"))  # as a struct, so that no name clashes
+    joined = rows.join(chosen, F.col("row.doc_id").eqNullSafe(F.col("doc_id")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import OP10_SQL, op10_exact_dedup
 from .licenses import OP3_SQL, op3_license_scan
+from .line_dedup import OP9_SQL, op9_line_dedup
 from .minhash import op6_minhash_near_dedup
 from .mixing import OP1_SQL, op1_source_mixing
 from .quality import OP7_SQL, op7_quality_rules
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -31,5 +33,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_license_scan": OP3_SQL,
     "op4_url_filter": OP4_SQL,
     "op7_quality_rules": OP7_SQL,
+    "op9_line_dedup": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
