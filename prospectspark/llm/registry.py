@@ -11,6 +11,7 @@ from .licenses import OP3_SQL, op3_license_scan
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .minhash import op6_minhash_near_dedup
 from .mixing import OP1_SQL, op1_source_mixing
+from .packing import op8_best_fit_packing
 from .quality import OP7_SQL, op7_quality_rules
 from .substring_dedup import op5_substring_dedup
 from .suffix_dedup import op2_suffix_dedup
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
