@@ -61,8 +61,9 @@ def host_key(host: Column) -> Column:
 
 
 def stretch_bounds(urls: DataFrame, stretches: int) -> list[tuple[str, int]]:
-    """Ascending (key, page_id): where each stretch but the first begins.  At most BOUND_ROWS rows come to the driver."""
-    sample = urls.select("key", "page_id").orderBy(F.xxhash64("page_id", "key"), "page_id").limit(BOUND_ROWS).collect()
+    """Ascending (key, page_id): where each stretch but the first begins.  About BOUND_ROWS rows come to the driver."""
+    every = max(1, urls.count() // BOUND_ROWS)
+    sample = urls.select("key", "page_id").filter(F.pmod(F.xxhash64("page_id", "key"), F.lit(every)) == 0).collect()
     rows = sorted((r.key, -1 if r.page_id is None else r.page_id) for r in sample)
     return sorted({rows[i * len(rows) // stretches] for i in range(1, stretches)}) if rows else []
 
