@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import scalars
+from . import imports, scalars
 
-MODULES = (scalars,)
+MODULES = (scalars, imports)
 QUERIES = {name: f for m in MODULES for name, f in m.R.queries.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.R.sql.items()}
