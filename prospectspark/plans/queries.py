@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import imports, scalars
+from . import advertisements, imports, scalars
 
-MODULES = (scalars, imports)
+MODULES = (scalars, imports, advertisements)
 QUERIES = {name: f for m in MODULES for name, f in m.R.queries.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.R.sql.items()}
