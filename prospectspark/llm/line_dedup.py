@@ -9,13 +9,13 @@ further up in the same document) has a set with Jaccard similarity of at least `
 3. Prefix filter: two similar sets share one of their first n - ceil(t * n) + 1 keys.  The sets meet by those keys.  Length filter: sizes
    within the threshold.  Positional filter: what follows the common key must be enough.  A parity bitmap of 64 bits bounds
    the difference of two sets from below and drops most of the rest.
-4. A set needs only one earlier witness.  At a common key it is held against the earliest set there, if the filters allow that one, else
-   against all earlier ones that they allow; a set whose earliest ones were refuted is then held against all.  So a
+4. A set needs only one earlier witness.  Where more than FEW sets meet by a key, a set is held against the earliest one there, if the
+   filters allow that one, else against all earlier ones that they allow; a set whose earliest ones were refuted is then held against all.  So a
    group of thousands of variants costs one pair each, and no link is lost.
 5. Verification: Jaccard on the full sets of the pairs' lines, read from the texts again.
 
 Edge cases: null text has no lines; blank and short lines stay; rows without doc_id are returned untouched and remove nothing; rows that
-repeat doc_id and text keep and lose the same lines; an empty table gives an empty result; ``keep_first_lines`` keeps all other columns.
+repeat a doc_id keep and lose the same line numbers; an empty table gives an empty result; ``keep_first_lines`` keeps all other columns.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from .common import BLANK, WORD, read_table, stored
 
 SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS
+#: Sets that meet by a key are all held against each other up to so many, else against the earliest first.
+FEW = 64
 
 
 def words(line: Column) -> Column:
@@ -59,75 +61,86 @@ def prefix_length(n: Column, percent: int) -> Column:
 
 
 def distinct_sets(documents: DataFrame, min_words: int, percent: int) -> DataFrame:
-    """sid, n, first (doc_id, line_no), bits, prefix of each set of words."""
+    """doc_id and line_no of the first line of each set of words, n, bits, prefix."""
     ranks = slot_ranks(documents)
     mask = F.lit(SLOTS - 1)
 
     def key(h: Column) -> Column:
         return F.shiftleft(F.get(ranks, h.bitwiseAND(mask).cast("int")).cast("long"), 64 - SLOT_BITS).bitwiseOR(F.shiftrightunsigned(h, SLOT_BITS))
 
+    def short(k: Column) -> Column:
+        """Half of a key is enough to meet by: the full sets are compared later."""
+        return F.shiftright(k, 32).cast("int")
+
     lines = long_lines(documents.filter("doc_id is not null"), min_words).select("doc_id", "line_no", hashes(F.col("words")).alias("h"))
     keyed = lines.select("doc_id", "line_no", F.sort_array(F.transform("h", key)).alias("keys"))
     bits = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))))
     n = F.size("keys")
-    made = keyed.select(F.xxhash64("keys").alias("sid"), n.alias("n"), F.struct("doc_id", "line_no").alias("place"), bits.alias("bits"), F.slice("keys", 1, prefix_length(n, percent)).alias("prefix"))
-    return made.groupBy("sid", "n").agg(F.min("place").alias("first"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
+    made = keyed.select(F.xxhash64("keys").alias("sid"), n.alias("n"), F.struct("doc_id", "line_no").alias("place"), bits.alias("bits"), F.transform(F.slice("keys", 1, prefix_length(n, percent)), short).alias("prefix"))
+    first = made.groupBy("sid", "n").agg(F.min("place").alias("place"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
+    return first.select("place.doc_id", "place.line_no", "n", "bits", "prefix")
 
 
-def may_match(n: Column, i: Column, bits: Column, m: Column, j: Column, other: Column, percent: int) -> Column:
-    """Length, positional and bitmap filters for sets of n and m words with a common key at places i and j (from 0)."""
+def may_match(x: str, y: str, percent: int) -> Column:
+    """Length, positional and bitmap filters for two rows (n words, a common key at place i from 0)."""
+    n, i, m, j = F.col(f"{x}n"), F.col(f"{x}i"), F.col(f"{y}n"), F.col(f"{y}i")
     need = F.ceil((n + m) * percent / (100 + percent))
-    follow = 1 + F.least(n - i, m - j) - 1
-    # before the common key there are i and j keys; at most min(i, j) of them are common too
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (F.least(i, j) + follow >= need) & ((n + m - F.bit_count(bits.bitwiseXOR(other))) / 2 >= need)
+    # before the common key at most min(i, j) keys are common, from it on at most the shorter rest
+    room = F.least(i, j) + F.least(n - i, m - j)
+    differ = F.bit_count(F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits")))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (room >= need) & ((n + m - differ) / 2 >= need)
 
 
 def candidate_pairs(sets: DataFrame, percent: int, only: DataFrame | None = None) -> DataFrame:
-    """later and earlier sets (sid, first) that may be similar, and whether other earlier ones were left out.  only: sids that need all."""
-    rows = sets.select("sid", "n", "first", "bits", F.posexplode("prefix").alias("i", "key"))
-    line = Window.partitionBy("key").orderBy("first", "sid")
-    rows = rows.withColumn("lead", F.first(F.struct("sid", "n", "i", "bits", "first")).over(line))
-    x, y = rows.alias("x"), rows.select("sid", "n", "first", "bits", "i", "key").alias("y")
+    """Later and earlier sets (u_doc, u_line, v_doc, v_line) that may be similar, and whether other earlier ones were left out.  only: sets that need all."""
+    rows = sets.select("doc_id", "line_no", "n", "bits", F.posexplode("prefix").alias("i", "key"))
+    # nothing here is null, but said on both sides alike it lets both sides of the join read one exchange
+    rows = rows.filter(" and ".join(f"{c} is not null" for c in rows.columns))
+    line = Window.partitionBy("key").orderBy("doc_id", "line_no")
     col = F.col
+    y = rows.alias("y")
     if only is not None:
-        x = rows.join(only.select("sid"), "sid", "left_semi").alias("x")
+        x = rows.join(only, ["doc_id", "line_no"], "left_semi").alias("x")
         led = F.lit(False)
     else:
-        led = (col("x.lead.sid") != col("x.sid")) & may_match(col("x.n"), col("x.i"), col("x.bits"), col("x.lead.n"), col("x.lead.i"), col("x.lead.bits"), percent)
-    earlier = (col("y.first") < col("x.first")) & (~led | (col("y.sid") == col("x.lead.sid")))
-    allowed = may_match(col("x.n"), col("x.i"), col("x.bits"), col("y.n"), col("y.i"), col("y.bits"), percent)
-    pairs = x.join(y, (col("x.key") == col("y.key")) & earlier & allowed)
-    return pairs.select(col("x.sid").alias("u"), col("x.first").alias("u_first"), col("y.sid").alias("v"), col("y.first").alias("v_first"), led.alias("led")).groupBy("u", "v").agg(
-        F.first("u_first").alias("u_first"), F.first("v_first").alias("v_first"), F.max("led").alias("led")
-    )
-
-
-def confirmed(pairs: DataFrame, documents: DataFrame, min_words: int, percent: int) -> DataFrame:
-    """u of the pairs whose full sets are similar."""
-    places = pairs.select(F.explode(F.array("u_first", "v_first")).alias("p"))
-    wanted = places.groupBy(F.col("p.doc_id").alias("_id")).agg(F.collect_set("p.line_no").alias("wanted"))
-    texts = documents.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_id"))
+        x = rows.select("*", *[F.first(c).over(line).alias(f"lead_{c}") for c in ("doc_id", "line_no", "n", "i", "bits")]).alias("x")
+        x = x.withColumn("company", F.count("*").over(Window.partitionBy("key"))).alias("x")
+        led = (col("x.company") > FEW) & ((col("x.lead_doc_id") != col("x.doc_id")) | (col("x.lead_line_no") != col("x.line_no"))) & may_match("x.", "x.lead_", percent)
+    earlier = (col("y.doc_id") < col("x.doc_id")) | ((col("y.doc_id") == col("x.doc_id")) & (col("y.line_no") < col("x.line_no")))
+    if only is None:
+        earlier &= ~led | ((col("y.doc_id") == col("x.lead_doc_id")) & (col("y.line_no") == col("x.lead_line_no")))
+    pairs = x.join(y, (col("x.key") == col("y.key")) & earlier & may_match("x.", "y.", percent))
+    names = pairs.select(col("x.doc_id").alias("u_doc"), col("x.line_no").alias("u_line"), col("y.doc_id").alias("v_doc"), col("y.line_no").alias("v_line"), led.alias("led"))
+    return names.groupBy("u_doc", "u_line", "v_doc", "v_line").agg(F.max("led").alias("led"))
+
+
+def confirmed(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+    """Later sets (doc_id, line_no) of the pairs whose full sets are similar."""
+    places = pairs.select("u_doc", "u_line").unionByName(pairs.select(F.col("v_doc").alias("u_doc"), F.col("v_line").alias("u_line")))
+    wanted = places.groupBy("u_doc").agg(F.collect_set("u_line").alias("wanted"))
+    texts = documents.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("u_doc"))
     lines = texts.select("doc_id", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.array_contains("wanted", F.col("line_no")))
-    sets = stored(lines.select(F.struct("doc_id", "line_no").alias("place"), hashes(words(F.col("line"))).alias("h")).dropDuplicates(["place"]), "line-sets")
-    a = sets.select(F.col("place").alias("pu"), F.col("h").alias("hu"))
-    b = sets.select(F.col("place").alias("pv"), F.col("h").alias("hv"))
-    joined = pairs.join(a, F.col("u_first") == F.col("pu")).join(b, F.col("v_first") == F.col("pv"))
+    sets = stored(lines.select("doc_id", "line_no", hashes(words(F.col("line"))).alias("h")), "line-sets")
+    sets = sets.groupBy("doc_id", "line_no").agg(F.max("h").alias("h"))  # rows that repeat
+    joined = pairs.join(sets.selectExpr("doc_id as u_doc", "line_no as u_line", "h as hu"), ["u_doc", "u_line"]).join(sets.selectExpr("doc_id as v_doc", "line_no as v_line", "h as hv"), ["v_doc", "v_line"])
     common = F.size(F.array_intersect("hu", "hv"))
-    return joined.filter(common * 100 >= (F.size("hu") + F.size("hv") - common) * percent).select(F.col("u").alias("sid")).distinct()
+    similar = joined.filter(common * 100 >= (F.size("hu") + F.size("hv") - common) * percent)
+    return similar.select(F.col("u_doc").alias("doc_id"), F.col("u_line").alias("line_no")).distinct()
 
 
 def first_lines(documents: DataFrame, percent: int, min_words: int) -> DataFrame:
     """doc_id and kept, the numbers of its lines that no earlier line is similar to; documents with none are left out."""
     sets = stored(distinct_sets(documents, min_words, percent), "line-prefixes")
     pairs = stored(candidate_pairs(sets, percent), "line-pairs")
-    removed = stored(confirmed(pairs, documents, min_words, percent), "line-removed")
-    again = stored(pairs.filter("led").select(F.col("u").alias("sid")).distinct().join(removed, "sid", "left_anti"), "line-again")
+    removed = stored(confirmed(pairs, documents, percent), "line-removed")
+    place = ["doc_id", "line_no"]
+    again = stored(pairs.filter("led").selectExpr("u_doc as doc_id", "u_line as line_no").distinct().join(removed, place, "left_anti"), "line-again")
     if again.limit(1).count():
-        tried = pairs.select("u", "v")
-        more = stored(candidate_pairs(sets, percent, again).join(tried, ["u", "v"], "left_anti"), "line-pairs")
-        removed = removed.unionByName(confirmed(more, documents, min_words, percent))
-    kept = sets.select("sid", "first").join(removed, "sid", "left_anti")
-    return kept.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.sort_array(F.collect_set("first.line_no")).alias("kept"))
+        tried = ["u_doc", "u_line", "v_doc", "v_line"]
+        more = stored(candidate_pairs(sets, percent, again).join(pairs.select(tried), tried, "left_anti"), "line-pairs")
+        removed = removed.unionByName(confirmed(more, documents, percent))
+    kept = sets.select(place).join(removed, place, "left_anti")
+    return kept.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("kept"))
 
 
 def line_report(documents: DataFrame, percent: int = 80, min_words: int = 5) -> DataFrame:

@@ -10,9 +10,10 @@ when every slot is taken: levels stop early, after one or two for documents long
 
 Banding: 32 bands of 4 slots; of two documents with similarity 0.8 all bands differ with probability 5e-8.
 Links are confirmed on full sets.  First each bucket's members are held against its smallest one; confirmed links give
-components.  Then the buckets that still hold more than one component are searched again: every pair of members of different
-components whose sizes and signatures allow the similarity is confirmed too.  So no pair that shares a band goes unseen unless it is
-linked already.  In a large bucket the members of its largest component are dealt over blocks and the others, which are few, go to
+components.  Then the buckets that still hold more than one component are searched again: first each member against the few most
+alike of other components, which joins most of what belongs together, then every pair of members of different
+components whose sizes and signatures allow the similarity.  So no pair that shares a band goes unseen unless it is
+linked already, and a group of thousands of copies needs about as many comparisons on full sets as it has members.  In a large bucket the members of its largest component are dealt over blocks and the others, which are few, go to
 each block: no task gets the whole bucket and no list of all pairs is made.
 
 Edge cases: null and empty texts have no shingles and link with nothing; a text with fewer words than a shingle is one shingle; rows
@@ -32,12 +33,12 @@ from pyspark.sql import functions as F
 from .common import U64, mix, read_table, shuffle_partitions, stored, text_bytes, text_steps, words_of
 from .components import components
 
-SLOTS, BANDS = 128, 32
-ROWS = SLOTS // BANDS
+#: All slots estimate a similarity; the first BANDS * ROWS of them are banded.
+SLOTS, BANDS, ROWS = 256, 32, 4
 BASE = 0x9E3779B97F4A7C15
 BLOCK = 2048
 #: A pair is confirmed on full sets unless its signatures agree in less than the threshold minus this (over four standard deviations).
-SLACK = 0.17
+SLACK = 0.1
 
 
 def shingle_sets(texts: pa.Array, shingle: int) -> list[np.ndarray]:
@@ -68,8 +69,8 @@ def slot_of(element: np.ndarray, level: int) -> np.ndarray:
     key = mix(element ^ U64(0x5851F42D4C957F2D))
     x = np.full(len(element), level, np.uint64)
     for r in range(3):
-        a = (key >> U64(14 * r)) & U64(SLOTS - 1)
-        b = (key >> U64(14 * r + 7)) & U64(SLOTS - 1)
+        a = (key >> U64(16 * r)) & U64(SLOTS - 1)
+        b = (key >> U64(16 * r + 8)) & U64(SLOTS - 1)
         x = (x * (a | U64(1)) + b) & U64(SLOTS - 1)
         x ^= x >> U64(3 + r % 2)
     return x.astype(np.int64)
@@ -106,7 +107,7 @@ def sketch(documents: DataFrame, shingle: int) -> DataFrame:
                 sig = signatures(sets)
                 keys = np.zeros((len(sets), BANDS), U64)
                 for r in range(ROWS):
-                    keys = mix(keys * U64(BASE) + sig[:, r::ROWS].astype(U64) + U64(1))
+                    keys = mix(keys * U64(BASE) + sig[:, r : BANDS * ROWS : ROWS].astype(U64) + U64(1))
                 keys = mix(keys + np.arange(BANDS, dtype=U64) * U64(0xD6E8FEB86659FD93)).astype(np.int64)
                 short = mix(sig.astype(U64)).astype(np.uint16)
                 bands = pa.ListArray.from_arrays(np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32), pa.array(keys.reshape(-1)))
@@ -155,15 +156,18 @@ def confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, shingl
     return joined.filter(common * 100 >= (F.size("ex") + F.size("ey") - common) * percent).select("u", "v")
 
 
-def across_components(rows: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Pairs u, v of one bucket but different components that may be similar.  rows: band, node, n, sig, root."""
+def across_components(rows: DataFrame, sigs: DataFrame, percent: int, parts: int, top: int | None) -> DataFrame:
+    """Pairs u, v of one bucket but different components that may be similar; with top only the most alike of each member.
+
+    rows: band, node, n, root; sigs: node, sig.
+    """
     counts = rows.groupBy("band", "root").agg(F.count("*").alias("c"))
     mixed = counts.groupBy("band").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("total"), F.count("*").alias("roots")).filter("roots > 1")
     blocks = F.ceil(F.col("total") / BLOCK).cast("int")
     dealt = rows.join(mixed.select("band", F.col("top.root").alias("main"), blocks.alias("blocks")), "band").withColumn("outside", F.col("root") != F.col("main"))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     own = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("block", F.explode(F.when(F.col("outside"), every).otherwise(own)))
+    dealt = dealt.withColumn("block", F.explode(F.when(F.col("outside"), every).otherwise(own))).join(sigs, "node")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -188,7 +192,10 @@ def across_components(rows: DataFrame, percent: int, parts: int) -> DataFrame:
             if now[1] != 0:
                 other &= ~outside  # two of the few are compared in the first block only
             j = np.flatnonzero(other)
-            j = j[(sig[j] == sig[i]).mean(axis=1) >= percent / 100 - SLACK] if len(j) else j
+            alike = (sig[j] == sig[i]).mean(axis=1)
+            j, alike = j[alike >= percent / 100 - SLACK], alike[alike >= percent / 100 - SLACK]
+            if top and len(j) > top:
+                j = j[np.argsort(-alike, kind="stable")[:top]]
             if len(j):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), node[i])), pa.array(node[j])], names=["u", "v"])
 
@@ -205,16 +212,22 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     reps = named.select("doc_id", "node", "n", "sig", "bands").join(classes.select(F.col("rep").alias("doc_id"), "node"), ["doc_id", "node"]).dropDuplicates(["node"])
     rows = stored(reps.select("node", "n", "sig", "bands"), "nodes")
     banded = rows.select("node", "n", F.explode("bands").alias("band"))
-    lead = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("c")).filter("c > 1").select("band", F.col("lead.node").alias("v"), F.col("lead.n").alias("nv"))
-    star = banded.join(lead, "band").filter((F.col("node") != F.col("v")) & size_allows(F.col("n"), F.col("nv"), percent)).select(F.col("node").alias("u"), "v").distinct()
+    lead = banded.groupBy("band").agg(F.min("node").alias("v"), F.count("*").alias("c")).filter("c > 1").select("band", "v")
+    # only buckets with company go on: few rows beside those of all bands
+    members = stored(banded.join(lead, "band"), "members")
+    sizes = rows.select(F.col("node").alias("v"), F.col("n").alias("nv"))
+    star = members.filter("node != v").select(F.col("node").alias("u"), "v", "n").distinct().join(sizes, "v").filter(size_allows(F.col("n"), F.col("nv"), percent)).select(F.col("v").alias("u"), F.col("u").alias("v"))
     star = stored(star, "star")
     links = stored(confirmed(star, classes, documents, shingle, percent), "links")
     labels = components(links)
-    full = rows.select("node", "n", "sig", F.explode("bands").alias("band")).join(labels.select(F.col("u").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    more = stored(across_components(full, percent, parts).join(star, ["u", "v"], "left_anti"), "more")
-    if more.limit(1).count():
-        links = links.unionByName(confirmed(more, classes, documents, shingle, percent))
-        labels = components(links)
+    tried = star
+    for top in (4, None):
+        full = members.select("band", "node", "n").join(labels.select(F.col("u").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        more = stored(across_components(full, rows.select("node", "sig"), percent, parts, top).join(tried, ["u", "v"], "left_anti"), "more")
+        if more.limit(1).count():
+            links = links.unionByName(confirmed(more, classes, documents, shingle, percent))
+            labels = components(links)
+        tried = tried.unionByName(more)
     rooted = classes.join(labels.select(F.col("u").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component"))
     found = rooted.join(least, "root").select("node", F.col("n").alias("size"), "component")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import advertisements, imports, matching, scalars
+from . import advertisements, imports, matching, scalars, scores
 
-MODULES = (scalars, imports, advertisements, matching)
+MODULES = (scalars, imports, advertisements, matching, scores)
 QUERIES = {name: f for m in MODULES for name, f in m.R.queries.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.R.sql.items()}
