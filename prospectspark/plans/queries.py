@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import advertisements, imports, matching, outreach_queries, scalars, scores
+from . import advertisements, files, imports, matching, outreach_queries, pages, scalars, scores
 
-MODULES = (scalars, imports, advertisements, matching, scores, outreach_queries)
+MODULES = (files, scalars, imports, advertisements, matching, scores, outreach_queries, pages)
 QUERIES = {name: f for m in MODULES for name, f in m.R.queries.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.R.sql.items()}
