@@ -7,7 +7,7 @@ further up in the same document) has a set with Jaccard similarity of at least `
    followed by the rest of its 64-bit hash, so sorting the keys orders a line's words by rarity.
 2. Equal sets become one, with their first place, in one aggregate; a line repeated a million times is one row after it.
 3. Prefix filter: two similar sets share one of their first n - ceil(t * n) + 1 keys.  The sets meet by those keys.  Length filter: sizes
-   within the threshold.  Positional filter: what follows the common key must be enough.  A parity bitmap of 64 bits bounds
+   within the threshold.  Positional filter: what follows the common key must be enough.  A parity bitmap of 64 or 128 bits bounds
    the difference of two sets from below and drops most of the rest.
 4. A set needs only one earlier witness.  Where more than FEW sets meet by a key, a set is held against the earliest one there, if the
    filters allow that one, else against all earlier ones that they allow; a set whose earliest ones were refuted is then held against all.  So a
@@ -25,10 +25,14 @@ from pyspark.sql import functions as F
 
 from .common import BLANK, WORD, read_table, stored
 
+c = F.col
+
 SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS
 #: Sets that meet by a key are all held against each other up to so many, else against the earliest first.
 FEW = 64
+#: Words from which a line's parity takes 128 bits.
+LONG = 60
 
 
 def words(line: Column) -> Column:
@@ -61,7 +65,7 @@ def prefix_length(n: Column, percent: int) -> Column:
 
 
 def distinct_sets(documents: DataFrame, min_words: int, percent: int) -> DataFrame:
-    """doc_id and line_no of the first line of each set of words, n, bits, prefix."""
+    """doc_id and line_no of the first line of each set of words, n, bits, more (parity bits), prefix."""
     ranks = slot_ranks(documents)
     mask = F.lit(SLOTS - 1)
 
@@ -74,11 +78,20 @@ def distinct_sets(documents: DataFrame, min_words: int, percent: int) -> DataFra
 
     lines = long_lines(documents.filter("doc_id is not null"), min_words).select("doc_id", "line_no", hashes(F.col("words")).alias("h"))
     keyed = lines.select("doc_id", "line_no", F.sort_array(F.transform("h", key)).alias("keys"))
-    bits = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))))
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def parity(half: int) -> Column:
+        """64 of 128 parity bits of the keys."""
+        bit = lambda k: F.call_function("shiftleft", one, k.bitwiseAND(63).cast("int"))
+        return F.aggregate("keys", zero, lambda a, k: F.when(k.bitwiseAND(64) == 64 * half, a.bitwiseXOR(bit(k))).otherwise(a))
+
     n = F.size("keys")
-    made = keyed.select(F.xxhash64("keys").alias("sid"), n.alias("n"), F.struct("doc_id", "line_no").alias("place"), bits.alias("bits"), F.transform(F.slice("keys", 1, prefix_length(n, percent)), short).alias("prefix"))
-    first = made.groupBy("sid", "n").agg(F.min("place").alias("place"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-    return first.select("place.doc_id", "place.line_no", "n", "bits", "prefix")
+    keyed = keyed.select("*", parity(0).alias("low"), parity(1).alias("high"))
+    # short lines need 64 bits only: both halves in one
+    low = F.when(n > LONG, c("low")).otherwise(c("low").bitwiseXOR(c("high")))
+    made = keyed.select(F.xxhash64("keys").alias("sid"), n.alias("n"), F.struct("doc_id", "line_no").alias("place"), low.alias("bits"), F.when(n > LONG, c("high")).otherwise(0).alias("more"), F.transform(F.slice("keys", 1, prefix_length(n, percent)), short).alias("prefix"))
+    first = made.groupBy("sid", "n").agg(F.min("place").alias("place"), F.first("bits").alias("bits"), F.first("more").alias("more"), F.first("prefix").alias("prefix"))
+    return first.select("place.doc_id", "place.line_no", "n", "bits", "more", "prefix")
 
 
 def may_match(x: str, y: str, percent: int) -> Column:
@@ -87,23 +100,26 @@ def may_match(x: str, y: str, percent: int) -> Column:
     need = F.ceil((n + m) * percent / (100 + percent))
     # before the common key at most min(i, j) keys are common, from it on at most the shorter rest
     room = F.least(i, j) + F.least(n - i, m - j)
-    differ = F.bit_count(F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits")))
+    low, high = c(f"{x}bits").bitwiseXOR(c(f"{y}bits")), c(f"{x}more").bitwiseXOR(c(f"{y}more"))
+    differ = F.when((n > LONG) & (m > LONG), F.bit_count(low) + F.bit_count(high)).otherwise(F.bit_count(low.bitwiseXOR(high)))
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (room >= need) & ((n + m - differ) / 2 >= need)
 
 
 def candidate_pairs(sets: DataFrame, percent: int, only: DataFrame | None = None) -> DataFrame:
     """Later and earlier sets (u_doc, u_line, v_doc, v_line) that may be similar, and whether other earlier ones were left out.  only: sets that need all."""
-    rows = sets.select("doc_id", "line_no", "n", "bits", F.posexplode("prefix").alias("i", "key"))
+    rows = sets.select("doc_id", "line_no", "n", "bits", "more", F.posexplode("prefix").alias("i", "key"))
     # nothing here is null, but said on both sides alike it lets both sides of the join read one exchange
     rows = rows.filter(" and ".join(f"{c} is not null" for c in rows.columns))
     line = Window.partitionBy("key").orderBy("doc_id", "line_no")
-    col = F.col
+    col = c
     y = rows.alias("y")
     if only is not None:
-        x = rows.join(only, ["doc_id", "line_no"], "left_semi").alias("x")
+        # written, so that Spark knows its size and sends it to the rows where it is small
+        asked = stored(rows.join(only, ["doc_id", "line_no"], "left_semi"), "line-asked")
+        x, y = asked.alias("x"), rows.join(asked.select("key").distinct(), "key", "left_semi").alias("y")
         led = F.lit(False)
     else:
-        x = rows.select("*", *[F.first(c).over(line).alias(f"lead_{c}") for c in ("doc_id", "line_no", "n", "i", "bits")]).alias("x")
+        x = rows.select("*", *[F.first(c).over(line).alias(f"lead_{c}") for c in ("doc_id", "line_no", "n", "i", "bits", "more")]).alias("x")
         x = x.withColumn("company", F.count("*").over(Window.partitionBy("key"))).alias("x")
         led = (col("x.company") > FEW) & ((col("x.lead_doc_id") != col("x.doc_id")) | (col("x.lead_line_no") != col("x.line_no"))) & may_match("x.", "x.lead_", percent)
     earlier = (col("y.doc_id") < col("x.doc_id")) | ((col("y.doc_id") == col("x.doc_id")) & (col("y.line_no") < col("x.line_no")))
@@ -118,6 +134,7 @@ def confirmed(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame
     """Later sets (doc_id, line_no) of the pairs whose full sets are similar."""
     places = pairs.select("u_doc", "u_line").unionByName(pairs.select(F.col("v_doc").alias("u_doc"), F.col("v_line").alias("u_line")))
     wanted = places.groupBy("u_doc").agg(F.collect_set("u_line").alias("wanted"))
+    wanted = stored(wanted, "line-wanted")
     texts = documents.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("u_doc"))
     lines = texts.select("doc_id", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.array_contains("wanted", F.col("line_no")))
     sets = stored(lines.select("doc_id", "line_no", hashes(words(F.col("line"))).alias("h")), "line-sets")
