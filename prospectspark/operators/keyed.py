@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.io import written
+
 
 def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of each key in the given order, whole."""
@@ -46,12 +48,25 @@ def stratified_round_robin(df: DataFrame, stratum: str, order: Sequence[Column |
     return joined.orderBy("__in", "__stratum").limit(n).drop("__in", "__size", "__s", "__stratum")
 
 
+def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "place") -> DataFrame:
+    """df with the place of each row in the sorted table, from 0.
+
+    The sort deals the rows over tasks; a row's place is the number of rows in earlier tasks plus its place in its own,
+    so no task sees all rows.  The sorted table is written, which fixes both.
+    """
+    sorted_ = written(df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()), "sorted")
+    part, row = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
+    counts = sorted_.groupBy(part.alias("__part")).agg(F.count("*").alias("n"))
+    before = counts.select("__part", (F.sum("n").over(Window.orderBy("__part")) - F.col("n")).alias("__before"))  # one row for each task
+    return sorted_.withColumn("__part", part).join(before, "__part").withColumn(name, F.col("__before") + row).drop("__id", "__part", "__before")
+
+
 def even_spread_sample(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
     """k rows at even distances of the sorted table."""
-    total = df.agg(F.count("*").alias("n"))
+    placed = numbered(df, order, "__place")
+    total = placed.agg(F.count("*").alias("n"))
     places = total.select(F.explode(F.sequence(F.lit(0), F.lit(max(k - 1, 0)))).alias("j"), "n")
     places = places.select(F.when(F.lit(k) > 1, F.bround(F.col("j") * (F.col("n") - 1) / F.lit(max(k - 1, 1)))).otherwise(0).cast("long").alias("__place")).distinct()
-    placed = df.withColumn("__place", F.row_number().over(Window.orderBy(*order)) - 1)
     return placed.join(F.broadcast(places), "__place").drop("__place")  # k rows
 
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
 from ..operators import importing, integrity, outreach
 from ..sources.fixtures import fixture, table
+from ..sources.io import scratch_folder
 from ..streaming import streams
 from .common import Registry, sql_legacy
 from .imports import COMPANY_KEY, HANDOVER, HOLDING, with_holding
@@ -229,8 +228,7 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/spark-streams"
-    return f"{folder.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return scratch_folder(spark, "query")
 
 
 @R.add("k1_stream_sightings", "select 'R' || (event_id % 700) as refnr, min(ts) as first_seen, max(ts) as last_seen, count(*) as n from events group by 1")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,3 +61,16 @@ def write_export(df: DataFrame, path: str, columns: Sequence[str], order: Sequen
         rows.select(F.col(columns[0]).cast("string").alias("value")).write.mode("overwrite").text(path)
     else:
         rows.write.mode("overwrite").csv(path, header=True, escape='"')
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the folder that driver and executors share."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/prospectspark"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back: later steps see one and the same table."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
