@@ -64,6 +64,15 @@ CLUSTER_LABELS = {
     "produzierend": "Produktion", "bau_gebaeudetechnik": "Bau/Gebäudetechnik", "grosshandel_distribution": "Großhandel", "handel_einzelhandel": "Einzelhandel",
     "dienstleistung": "Dienstleistung", "logistik_transport": "Logistik/Transport", "rest": "",
 }
+PAIN_POINTS = {
+    "bau_gebaeudetechnik": "Projektbewertung, unfertige Leistungen, Nachträge",
+    "produzierend": "Auftragsbestand, Kundenkonzentration, Materialmarge",
+    "grosshandel_distribution": "Lager und Working Capital, Lieferantenabhängigkeit",
+    "it_dienstleistung": "wiederkehrende Umsätze, Personalbindung, Projektmarge",
+    "handel_b2c": "Standort- und Flächenproduktivität, Online-Anteil",
+    "gesundheit_soziales": "Regulierung, Personalquote, Auslastung",
+    "rest": "Verkaufsreife allgemein, Inhaberabhängigkeit",
+}
 AFFINITY = {
     "fern": (
         "01", "02", "03", "05", "06", "07", "08", "09", "10", "11", "12", "13", "14", "15", "16", "17", "18", "19", "20", "21", "22", "23", "24", "25", "26", "27", "28", "29", "30", "31", "32", "33",

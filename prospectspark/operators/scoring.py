@@ -177,13 +177,39 @@ def crawl_candidates(companies: DataFrame, score: int | None = None, min_score:
     return rows.limit(limit) if limit else rows
 
 
-def briefing_head(scores: DataFrame, companies: DataFrame) -> DataFrame:
-    """company_id and the first lines of its briefing: class, knock-out reasons, place, key figures."""
+def three_way(flag: Column) -> Column:
+    return F.when(flag, "ja").when(~flag, "nein").otherwise("unbekannt")
+
+
+def briefing_text(scores: DataFrame, companies: DataFrame, dossiers: DataFrame, evidence: DataFrame) -> DataFrame:
+    """company_id and its briefing: class and knock-out reasons, place, key figures, succession, web need, one quote of each type, hooks.
+
+    scores: from score_companies; dossiers: company_id, dossier_json; evidence: company_id, signal_type, zitat, url, one row for each type.
+    """
+    text_of, dash = text.text_or_empty, lambda col: F.coalesce(col.cast("string"), F.lit("—"))
+    joined = lambda col, sep: F.array_join(F.coalesce(col, F.array().cast("array<string>")), sep)
+    quote = F.concat(F.lit("  ["), c("signal_type"), F.lit('] "'), F.trim(text_of(c("zitat"))), F.lit('" — '), text_of(c("url")))
+    quotes = evidence.groupBy("company_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("signal_type", quote.alias("q")))), lambda x: x["q"]), "\n").alias("quotes"))
+    firms = companies.drop("gf_alter").withColumnRenamed("id", "company_id")
+    rows = scores.select("company_id", "breakdown", "score_total", "score_klasse", "cluster_branche", "cluster_key", "gf_alter").join(firms, "company_id")
+    rows = rows.join(dossiers.select("company_id", parse_dossier(c("dossier_json")).alias("d")), "company_id").join(quotes, "company_id", "left")
     reasons = F.array_join(F.filter(F.array(*[F.when(c(f"breakdown.abzuege.{n}.hit"), n) for n in KNOCK_OUT]), lambda x: x.isNotNull()), ", ")
-    dash = lambda col: F.coalesce(col, F.lit("—"))
-    euros = F.translate(F.format_number("bilanzsumme_eur", 0), ",", ".")
-    rows = scores.select("company_id", "breakdown", "score_total", "score_klasse", "cluster_key", "gf_alter").join(companies.drop("gf_alter").withColumnRenamed("id", "company_id"), "company_id")
-    head = F.concat(c("name"), F.lit(" — Score "), c("score_total").cast("string"), F.lit(" (Klasse "), c("score_klasse"), F.lit(")"), F.when(reasons != "", F.concat(F.lit("  [K.o.: "), reasons, F.lit("]"))).otherwise(""))
-    place = F.concat(F.lit("Standort "), dash(F.nullif(c("ort"), F.lit(""))), F.lit(" · WZ "), text.wz2(c("branche_wz")), F.lit(" · Cluster "), c("cluster_key"))
-    figures = F.concat(F.lit("Bilanzsumme "), dash(F.concat(euros, F.lit(" EUR"))), F.lit(", MA "), dash(c("mitarbeiterzahl").cast("string")), F.lit(", GF-Alter "), F.coalesce(c("gf_alter").cast("string"), F.lit("unbekannt")))
-    return rows.select("company_id", F.concat_ws("\n", head, place, figures).alias("briefing"))
+    pain = F.create_map(*[F.lit(x) for pair in config.PAIN_POINTS.items() for x in pair])
+    settled, hooks, signs = yes(c("d.nachfolge_intern_geregelt")), joined(c("d.ansprache_hooks"), " | "), joined(c("d.nachfolge_signale"), "; ")
+    lines = [
+        F.concat(text_of(c("name")), F.lit(" — Score "), c("score_total").cast("string"), F.lit(" (Klasse "), c("score_klasse"), F.lit(")"), F.when(reasons != "", F.concat(F.lit("  [K.o.: "), reasons, F.lit("]"))).otherwise("")),
+        F.concat(F.lit("Standort "), dash(F.nullif(c("ort"), F.lit(""))), F.lit(" · WZ "), text.wz2(c("branche_wz")), F.lit(" · Cluster "), c("cluster_key")),
+        F.concat(F.lit("Schmerzpunkt (Brief): "), F.try_element_at(pain, c("cluster_branche"))),
+        F.lit(""),
+        F.concat(F.lit("Kennzahlen: Bilanzsumme "), dash(F.concat(F.translate(F.format_number("bilanzsumme_eur", 0), ",", "."), F.lit(" EUR"))), F.lit(", EK-Quote "), dash(c("ek_quote_pct")), F.lit(" %, MA "), dash(c("mitarbeiterzahl")), F.lit(", Gewinn-CAGR "), dash(c("gewinn_cagr_pct")), F.lit(" %")),
+        F.concat(
+            F.lit("Nachfolge: GF-Alter "), F.coalesce(c("gf_alter").cast("string"), F.lit("unbekannt")), F.lit(", GF-Name im Firmennamen: "), F.when(yes(c("gf_name_in_firmenname")), "ja").otherwise("nein"),
+            F.lit(", Familienunternehmen: "), F.when(yes(c("d.familienunternehmen.hinweis")), "ja").otherwise("nein"), F.lit(", Anzahl GF: "), F.coalesce(c("anzahl_gf").cast("string"), F.lit("unbekannt")),
+        ),
+        F.when(signs != "", F.concat(F.lit("  Signale: "), signs)),
+        F.when(settled, F.concat(F.lit("  ACHTUNG Nachfolge intern geregelt: "), F.coalesce(F.nullif(c("d.naechste_generation"), F.lit("")), F.lit("nächste Generation steht bereit")))),
+        F.concat(F.lit("Web-Bedarf: kaufm. Funktion besetzt: "), three_way(c("d.fuehrungsstruktur.kaufmaennische_funktion_besetzt")), F.lit(", 2. Ebene sichtbar: "), three_way(c("d.fuehrungsstruktur.zweite_ebene_sichtbar")), F.lit(", offene kaufm. Stellen: "), dash(F.nullif(joined(c("d.karriere.kaufm_stellen"), "; "), F.lit("")))),
+        F.when(c("quotes").isNotNull(), F.concat(F.lit("\nBelege:\n"), c("quotes"))),
+        F.when(hooks != "", F.concat(F.lit("\nHooks: "), hooks)),
+    ]
+    return rows.select("company_id", F.concat_ws("\n", *lines).alias("briefing"))

@@ -73,15 +73,30 @@ def h4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, sf_dir, "v_companies").select("id", scoring.cluster_key(wz2(c("branche_wz")), c("bilanzsumme_eur"), c("mitarbeiterzahl")).alias("cluster_key"))
 
 
+_PAIN = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in config.PAIN_POINTS.items()) + "}"
+_TRI = "case json_extract_string(dossier_json, '$.fuehrungsstruktur.{}') when 'true' then 'ja' when 'false' then 'nein' else 'unbekannt' end"
+
+
 @R.add(
-    "h5_briefing_head",
-    rf"""with {SCORES}, k as (select *, concat_ws(', ', case when k13 then 'holding_flag' end, case when k14 then 'konzerntochter' end, case when k15 then 'insolvenz' end, case when ho then 'generationswechsel_vollzogen' end) as ko from scored)
-    select company_id, name || ' — Score ' || score_total || ' (Klasse ' || score_klasse || ')' || case when ko <> '' then '  [K.o.: ' || ko || ']' else '' end || chr(10) || 'Standort ' || ort || ' · WZ ' || wz || ' · Cluster ' || cluster_key || chr(10)
-      || 'Bilanzsumme ' || coalesce(replace(format('{{:,}}', cast(b as bigint)), ',', '.') || ' EUR', '—') || ', MA ' || coalesce(cast(m as varchar), '—') || ', GF-Alter ' || coalesce(cast(age as varchar), 'unbekannt') as briefing from k""",
-    VIEWS,
+    "h5_briefing_text",
+    rf"""with {SCORES}, k as (select *, concat_ws(', ', case when k13 then 'holding_flag' end, case when k14 then 'konzerntochter' end, case when k15 then 'insolvenz' end, case when ho then 'generationswechsel_vollzogen' end) as ko from scored),
+    e as (select company_id, coalesce(nullif(signal_type, ''), 'sonstiges') as st, arg_min('"' || trim(coalesce(zitat, '')) || '" — ' || coalesce(url, ''), signal_id) as q from v_signals group by 1, 2),
+    f as (select company_id, string_agg('  [' || st || '] ' || q, chr(10) order by st) as quotes from e group by 1)
+    select k.company_id, concat_ws(chr(10), name || ' — Score ' || score_total || ' (Klasse ' || score_klasse || ')' || case when ko <> '' then '  [K.o.: ' || ko || ']' else '' end,
+      'Standort ' || ort || ' · WZ ' || wz || ' · Cluster ' || cluster_key, 'Schmerzpunkt (Brief): ' || {_PAIN}[cluster_branche], '',
+      'Kennzahlen: Bilanzsumme ' || coalesce(replace(format('{{:,}}', cast(b as bigint)), ',', '.') || ' EUR', '—') || ', EK-Quote ' || coalesce(cast(ek_quote_pct as varchar), '—') || ' %, MA ' || coalesce(cast(m as varchar), '—')
+        || ', Gewinn-CAGR ' || coalesce(cast(gewinn_cagr_pct as varchar), '—') || ' %',
+      'Nachfolge: GF-Alter ' || coalesce(cast(age as varchar), 'unbekannt') || ', GF-Name im Firmennamen: ' || case when k6 then 'ja' else 'nein' end || ', Familienunternehmen: ' || case when k7 then 'ja' else 'nein' end || ', Anzahl GF: ' || anzahl_gf,
+      case when k9 then '  ACHTUNG Nachfolge intern geregelt: nächste Generation steht bereit' end,
+      'Web-Bedarf: kaufm. Funktion besetzt: ' || {_TRI.format('kaufmaennische_funktion_besetzt')} || ', 2. Ebene sichtbar: ' || {_TRI.format('zweite_ebene_sichtbar')} || ', offene kaufm. Stellen: —',
+      case when quotes is not null then chr(10) || 'Belege:' || chr(10) || quotes end) as briefing from k left join f on f.company_id = k.company_id""",
+    (*VIEWS, "v_signals"),
 )
 def h5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.briefing_head(scores(spark, sf_dir), fixture(spark, sf_dir, "v_companies"))
+    from ..operators.outreach import first_evidence
+
+    evidence = first_evidence(fixture(spark, sf_dir, "v_signals"))
+    return scoring.briefing_text(scores(spark, sf_dir), fixture(spark, sf_dir, "v_companies"), fixture(spark, sf_dir, "v_dossiers"), evidence)
 
 
 _NAMES = [n for rules in ("bilanzsumme_band mitarbeiter_band gewinn_cagr_positiv fokus_wz", "gf_alter_min gf_name_in_firmenname familienhinweis nur_ein_gf nachfolge_intern_geregelt", "keine_kaufm_funktion offene_kaufm_stelle zweite_ebene_unsichtbar", "holding_flag konzerntochter insolvenz") for n in rules.split()]
