@@ -80,16 +80,15 @@ def distinct_sets(documents: DataFrame, min_words: int, percent: int) -> DataFra
     keyed = lines.select("doc_id", "line_no", F.sort_array(F.transform("h", key)).alias("keys"))
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
-    def parity(half: int) -> Column:
-        """64 of 128 parity bits of the keys."""
-        bit = lambda k: F.call_function("shiftleft", one, k.bitwiseAND(63).cast("int"))
-        return F.aggregate("keys", zero, lambda a, k: F.when(k.bitwiseAND(64) == 64 * half, a.bitwiseXOR(bit(k))).otherwise(a))
+    def parity(keys: Column) -> Column:
+        """64 parity bits of the keys."""
+        return F.aggregate(keys, zero, lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", one, k.bitwiseAND(63).cast("int"))))
 
     n = F.size("keys")
-    keyed = keyed.select("*", parity(0).alias("low"), parity(1).alias("high"))
-    # short lines need 64 bits only: both halves in one
-    low = F.when(n > LONG, c("low")).otherwise(c("low").bitwiseXOR(c("high")))
-    made = keyed.select(F.xxhash64("keys").alias("sid"), n.alias("n"), F.struct("doc_id", "line_no").alias("place"), low.alias("bits"), F.when(n > LONG, c("high")).otherwise(0).alias("more"), F.transform(F.slice("keys", 1, prefix_length(n, percent)), short).alias("prefix"))
+    # short lines need 64 bits only; of a long line the keys with one bit more have their own
+    half = F.when(n > LONG, parity(F.filter("keys", lambda k: k.bitwiseAND(64) != 0))).otherwise(0)
+    keyed = keyed.select("*", half.alias("more"), parity(c("keys")).alias("all"))
+    made = keyed.select(F.xxhash64("keys").alias("sid"), n.alias("n"), F.struct("doc_id", "line_no").alias("place"), c("all").bitwiseXOR(c("more")).alias("bits"), "more", F.transform(F.slice("keys", 1, prefix_length(n, percent)), short).alias("prefix"))
     first = made.groupBy("sid", "n").agg(F.min("place").alias("place"), F.first("bits").alias("bits"), F.first("more").alias("more"), F.first("prefix").alias("prefix"))
     return first.select("place.doc_id", "place.line_no", "n", "bits", "more", "prefix")
 
@@ -114,13 +113,12 @@ def candidate_pairs(sets: DataFrame, percent: int, only: DataFrame | None = None
     col = c
     y = rows.alias("y")
     if only is not None:
-        # written, so that Spark knows its size and sends it to the rows where it is small
-        asked = stored(rows.join(only, ["doc_id", "line_no"], "left_semi"), "line-asked")
-        x, y = asked.alias("x"), rows.join(asked.select("key").distinct(), "key", "left_semi").alias("y")
+        # how many there are grows with the table, so they are never sent to all, however few they are here
+        x = rows.join(only, ["doc_id", "line_no"], "left_semi").hint("merge").alias("x")
         led = F.lit(False)
     else:
         x = rows.select("*", *[F.first(c).over(line).alias(f"lead_{c}") for c in ("doc_id", "line_no", "n", "i", "bits", "more")]).alias("x")
-        x = x.withColumn("company", F.count("*").over(Window.partitionBy("key"))).alias("x")
+        x = x.withColumn("company", F.count("*").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("x")
         led = (col("x.company") > FEW) & ((col("x.lead_doc_id") != col("x.doc_id")) | (col("x.lead_line_no") != col("x.line_no"))) & may_match("x.", "x.lead_", percent)
     earlier = (col("y.doc_id") < col("x.doc_id")) | ((col("y.doc_id") == col("x.doc_id")) & (col("y.line_no") < col("x.line_no")))
     if only is None:
@@ -130,12 +128,12 @@ def candidate_pairs(sets: DataFrame, percent: int, only: DataFrame | None = None
     return names.groupBy("u_doc", "u_line", "v_doc", "v_line").agg(F.max("led").alias("led"))
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, documents: DataFrame, percent: int, shuffle: bool = True) -> DataFrame:
     """Later sets (doc_id, line_no) of the pairs whose full sets are similar."""
     places = pairs.select("u_doc", "u_line").unionByName(pairs.select(F.col("v_doc").alias("u_doc"), F.col("v_line").alias("u_line")))
     wanted = places.groupBy("u_doc").agg(F.collect_set("u_line").alias("wanted"))
     wanted = stored(wanted, "line-wanted")
-    texts = documents.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("u_doc"))
+    texts = documents.select("doc_id", "text").join(wanted.hint("merge") if shuffle else wanted, F.col("doc_id") == F.col("u_doc"))
     lines = texts.select("doc_id", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.array_contains("wanted", F.col("line_no")))
     sets = stored(lines.select("doc_id", "line_no", hashes(words(F.col("line"))).alias("h")), "line-sets")
     sets = sets.groupBy("doc_id", "line_no").agg(F.max("h").alias("h"))  # rows that repeat
@@ -155,7 +153,7 @@ def first_lines(documents: DataFrame, percent: int, min_words: int) -> DataFrame
     if again.limit(1).count():
         tried = ["u_doc", "u_line", "v_doc", "v_line"]
         more = stored(candidate_pairs(sets, percent, again).join(pairs.select(tried), tried, "left_anti"), "line-pairs")
-        removed = removed.unionByName(confirmed(more, documents, percent))
+        removed = removed.unionByName(confirmed(more, documents, percent, shuffle=False))
     kept = sets.select(place).join(removed, place, "left_anti")
     return kept.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("kept"))
 
