@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -132,16 +132,26 @@ def split_title(first: Column, last: Column) -> Column:
     return F.struct(without(text_or_empty(first)).alias("first"), without(text_or_empty(last)).alias("last"), found.alias("title"))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def any_term(text: Column, terms: Sequence[str]) -> Column:
     """Whether one of the terms occurs, capitals aside."""
-    low = F.lower(text_or_empty(text))
-    return F.exists(F.array(*[F.lit(t.lower()) for t in terms]), lambda t: F.contains(low, t))
+    low = F.array(*[F.lit(t.lower()) for t in terms])
+    return bound(F.lower(text_or_empty(text)), lambda v: F.exists(low, lambda t: F.contains(v, t)))
+
+
+def first_of(text: Column, parts: Sequence[tuple[str, str]]) -> Column:
+    """The name of the first (name, part) whose part occurs in the text as it is; else null."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(p).alias("part")) for n, p in parts])
+    return bound(text, lambda v: F.get(F.filter(pairs, lambda t: F.contains(v, t["part"])), F.lit(0))["name"])
 
 
 def first_term(text: Column, terms: Sequence[str]) -> Column:
-    """The first of the terms, in their order, that occurs; else null."""
-    low = F.lower(text_or_empty(text))
-    return F.coalesce(*[F.when(F.contains(low, F.lit(t.lower())), t) for t in terms])
+    """The first of the terms, in their order, that occurs, capitals aside; else null."""
+    return first_of(F.lower(text_or_empty(text)), [(t, t.lower()) for t in terms])
 
 
 def is_proper_token_subset(a: Column, b: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,8 @@ c = F.col
 
 def truthy(payload: Column, *keys: str) -> Column:
     """The first of the JSON fields that isn't missing, empty, zero or false."""
-    return F.coalesce(*[F.when(~v.isin("", "0", "0.0", "false"), v) for v in (F.get_json_object(payload, f"$.{k}") for k in keys)])
+    some = lambda v: F.when(~v.isin("", "0", "0.0", "false"), v)
+    return F.coalesce(*[text.bound(F.get_json_object(payload, f"$.{k}"), some) for k in keys])
 
 
 def unify_job_sources(raw: DataFrame) -> DataFrame:
@@ -67,17 +69,9 @@ def dedupe_leads(mapped: DataFrame, existing: DataFrame, order: str) -> DataFram
 
 def detect_city(location: Column) -> Column:
     """struct of in_target and city.  Excluded cities come first; a city counts wherever its name stands in the text."""
+    fold = lambda city: unicodedata.normalize("NFKD", city).encode("ascii", "ignore").decode().lower()
     where = text.norm_posting(location)
-
-    def fold(city: str) -> str:
-        import unicodedata
-
-        return unicodedata.normalize("NFKD", city).encode("ascii", "ignore").decode().lower()
-
-    def first(cities: Sequence[str]) -> Column:
-        return F.coalesce(*[F.when(F.contains(where, F.lit(fold(x))), x) for x in cities])
-
-    out, target = first(config.EXCLUDED_CITIES), first(config.TARGET_CITIES)
+    out, target = (text.first_of(where, [(x, fold(x)) for x in cities]) for cities in (config.EXCLUDED_CITIES, config.TARGET_CITIES))
     return F.struct((out.isNull() & target.isNotNull()).alias("in_target"), F.coalesce(out, target).alias("city"))
 
 
