@@ -34,11 +34,11 @@ from .common import U64, mix, read_table, shuffle_partitions, stored, text_bytes
 from .components import components
 
 #: All slots estimate a similarity; the first BANDS * ROWS of them are banded.
-SLOTS, BANDS, ROWS = 256, 32, 4
+SLOTS, BANDS, ROWS = 512, 32, 4
 BASE = 0x9E3779B97F4A7C15
 BLOCK = 2048
-#: A pair is confirmed on full sets unless its signatures agree in less than the threshold minus this (over four standard deviations).
-SLACK = 0.1
+#: A pair is confirmed on full sets unless its signatures agree in less than the threshold minus this (four standard deviations).
+SLACK = 0.07
 
 
 def shingle_sets(texts: pa.Array, shingle: int) -> list[np.ndarray]:
@@ -69,8 +69,8 @@ def slot_of(element: np.ndarray, level: int) -> np.ndarray:
     key = mix(element ^ U64(0x5851F42D4C957F2D))
     x = np.full(len(element), level, np.uint64)
     for r in range(3):
-        a = (key >> U64(16 * r)) & U64(SLOTS - 1)
-        b = (key >> U64(16 * r + 8)) & U64(SLOTS - 1)
+        a = (key >> U64(18 * r)) & U64(SLOTS - 1)
+        b = (key >> U64(18 * r + 9)) & U64(SLOTS - 1)
         x = (x * (a | U64(1)) + b) & U64(SLOTS - 1)
         x ^= x >> U64(3 + r % 2)
     return x.astype(np.int64)
@@ -86,7 +86,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     for level in range(SLOTS):
         if not len(element):
             break
-        offer = (mix(element + U64((level + 1) * 0x2545F4914F6CDD1D % (1 << 64))) >> U64(40)).astype(np.uint32) | np.uint32(level << 24)
+        offer = (mix(element + U64((level + 1) * 0x2545F4914F6CDD1D % (1 << 64))) >> U64(42)).astype(np.uint32) | np.uint32(level << 22)
         np.minimum.at(out, owner * SLOTS + slot_of(element, level), offer)
         open_ = (out.reshape(-1, SLOTS) == none).any(axis=1)[owner]
         if not open_.all():
@@ -131,11 +131,9 @@ def size_allows(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs u, v (nodes) whose full sets are similar enough."""
-    spark = documents.sparkSession
-    needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    docs = classes.join(needed, "node").select(F.col("rep").alias("doc_id"))
+def full_sets(documents: DataFrame, classes: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
+    """node and elements (its full set) of the needed nodes, from one more pass over the texts."""
+    docs = classes.join(needed, "node").select(F.col("rep").alias("doc_id")).distinct()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,9 +144,14 @@ def confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, shingl
                 flat = np.concatenate(sets).astype(np.int64) if len(sets) else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.ListArray.from_arrays(offs, pa.array(flat))], names=["node", "elements"])
 
-    texts = documents.select("doc_id", "text").join(docs.distinct(), "doc_id", "left_semi").select("text")
-    sets = texts.mapInArrow(make, "node long, elements array<long>").join(needed, "node", "left_semi")
-    sets = stored(sets.dropDuplicates(["node"]), "sets")
+    # the list of documents grows with the table, so it is never sent to all, however small it is here
+    texts = documents.select("doc_id", "text").join(docs.hint("merge"), "doc_id", "left_semi").select("text")
+    sets = texts.mapInArrow(make, "node long, elements array<long>").join(needed.hint("merge"), "node", "left_semi")
+    return sets.dropDuplicates(["node"])
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs u, v (nodes) whose full sets are similar enough."""
     a = sets.select(F.col("node").alias("x"), F.col("elements").alias("ex"))
     b = sets.select(F.col("node").alias("y"), F.col("elements").alias("ey"))
     joined = pairs.join(a, F.col("u") == F.col("x")).join(b, F.col("v") == F.col("y"))
@@ -159,7 +162,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, shingl
 def across_components(rows: DataFrame, sigs: DataFrame, percent: int, parts: int, top: int | None) -> DataFrame:
     """Pairs u, v of one bucket but different components that may be similar; with top only the most alike of each member.
 
-    rows: band, node, n, root; sigs: node, sig.
+    rows: band, node, n, root; sigs: node, sig, bands.  A pair comes from the first band that it shares only.
     """
     counts = rows.groupBy("band", "root").agg(F.count("*").alias("c"))
     mixed = counts.groupBy("band").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("total"), F.count("*").alias("roots")).filter("roots > 1")
@@ -173,7 +176,7 @@ def across_components(rows: DataFrame, sigs: DataFrame, percent: int, parts: int
         held: dict[str, list] = {}
         now = None
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("band", "block", "node", "n", "sig", "root", "outside")]
+            cols = [batch.column(c).to_pylist() for c in ("band", "block", "node", "n", "sig", "bands", "root", "outside")]
             for band, block, *rest in zip(*cols, strict=True):
                 if (band, block) != now:
                     yield from compare(held, now)
@@ -184,14 +187,16 @@ def across_components(rows: DataFrame, sigs: DataFrame, percent: int, parts: int
     def compare(held: dict[str, list], now: tuple | None) -> Iterator[pa.RecordBatch]:
         if not held or len(held["rows"]) < 2:
             return
-        node, n, sig, root, outside = zip(*held["rows"], strict=True)
-        node, n, root, outside = np.array(node), np.array(n), np.array(root), np.array(outside)
+        node, n, sig, bands, root, outside = zip(*held["rows"], strict=True)
+        node, n, root, outside, bands = np.array(node), np.array(n), np.array(root), np.array(outside), np.array(bands)
+        here = (bands == now[0]).argmax(axis=1)  # the number of this band
         sig = np.frombuffer(b"".join(sig), np.uint16).reshape(-1, SLOTS)
         for i in np.flatnonzero(outside):
             other = (root != root[i]) & (~outside | (node > node[i])) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent)
             if now[1] != 0:
                 other &= ~outside  # two of the few are compared in the first block only
             j = np.flatnonzero(other)
+            j = j[(bands[j] == bands[i]).argmax(axis=1) == here[i]]
             alike = (sig[j] == sig[i]).mean(axis=1)
             j, alike = j[alike >= percent / 100 - SLACK], alike[alike >= percent / 100 - SLACK]
             if top and len(j) > top:
@@ -199,8 +204,8 @@ def across_components(rows: DataFrame, sigs: DataFrame, percent: int, parts: int
             if len(j):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), node[i])), pa.array(node[j])], names=["u", "v"])
 
-    found = dealt.select("band", "block", "node", "n", "sig", "root", "outside").repartition(parts, "band", "block").sortWithinPartitions("band", "block").mapInArrow(pairs, "u long, v long")
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    found = dealt.select("band", "block", "node", "n", "sig", "bands", "root", "outside").repartition(parts, "band", "block").sortWithinPartitions("band", "block").mapInArrow(pairs, "u long, v long")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -218,14 +223,15 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     sizes = rows.select(F.col("node").alias("v"), F.col("n").alias("nv"))
     star = members.filter("node != v").select(F.col("node").alias("u"), "v", "n").distinct().join(sizes, "v").filter(size_allows(F.col("n"), F.col("nv"), percent)).select(F.col("v").alias("u"), F.col("u").alias("v"))
     star = stored(star, "star")
-    links = stored(confirmed(star, classes, documents, shingle, percent), "links")
+    sets = stored(full_sets(documents, classes, members.select("node").distinct(), shingle), "sets")
+    links = stored(confirmed(star, sets, percent), "links")
     labels = components(links)
     tried = star
     for top in (4, None):
         full = members.select("band", "node", "n").join(labels.select(F.col("u").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        more = stored(across_components(full, rows.select("node", "sig"), percent, parts, top).join(tried, ["u", "v"], "left_anti"), "more")
+        more = stored(across_components(full, rows.select("node", "sig", "bands"), percent, parts, top).join(tried, ["u", "v"], "left_anti"), "more")
         if more.limit(1).count():
-            links = links.unionByName(confirmed(more, classes, documents, shingle, percent))
+            links = links.unionByName(confirmed(more, sets, percent))
             labels = components(links)
         tried = tried.unionByName(more)
     rooted = classes.join(labels.select(F.col("u").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -245,3 +251,15 @@ def drop_near_duplicates(documents: DataFrame, shingle: int = 5, percent: int =
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+OP6_SQL = r"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, list_distinct(case when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from d),
+x as (select doc_id, len(s) as n, unnest(s) as t from s),
+p as (select a.doc_id as a, b.doc_id as b, a.n + b.n as n, count(*) as c from x a join x b on a.t = b.t and a.doc_id < b.doc_id group by 1, 2, 3),
+l as (select a, b from p where 100 * c >= 80 * (n - c)), e as (select a, b from l union all select b, a from l),
+r(doc_id, seen) as (select doc_id, doc_id from d union select e.b, r.seen from r join e on e.a = r.doc_id where r.seen < e.b),
+c as (select doc_id, min(seen) as component_id from r group by 1)
+select doc_id, len(s)::bigint as n_shingles, component_id, component_id = doc_id as kept from s join c using (doc_id)
+"""
