@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .exact_dedup import OP10_SQL, op10_exact_dedup
 from .licenses import OP3_SQL, op3_license_scan
 from .line_dedup import OP9_SQL, op9_line_dedup
-from .minhash import op6_minhash_near_dedup
+from .minhash import OP6_SQL, op6_minhash_near_dedup
 from .mixing import OP1_SQL, op1_source_mixing
 from .packing import op8_best_fit_packing
 from .quality import OP7_SQL, op7_quality_rules
-from .substring_dedup import op5_substring_dedup
+from .substring_dedup import OP5_SQL, op5_substring_dedup
 from .suffix_dedup import op2_suffix_dedup
 from .url_filter import OP4_SQL, op4_url_filter
 
@@ -34,6 +34,8 @@ ORACLE_SQL: dict[str, str] = {
     "op1_source_mixing": OP1_SQL,
     "op3_license_scan": OP3_SQL,
     "op4_url_filter": OP4_SQL,
+    "op5_substring_dedup": OP5_SQL,
+    "op6_minhash_near_dedup": OP6_SQL,
     "op7_quality_rules": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,

@@ -216,3 +216,14 @@ def substring_dedup(documents: DataFrame, window: int = 13, buckets: int | None
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read_table(spark, sf_dir, "documents"), keep_text=False)
+
+
+OP5_SQL = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+x as (select doc_id, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i : i + 12], ' '))) as s, unnest(range(1, len(w) - 11)) as i from d where len(w) >= 13),
+m as (select s, min(doc_id) as f from x group by s),
+r as (select distinct doc_id, unnest(range(i, i + 13)) as k from x join m using (s) where f < doc_id),
+k as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as k from d),
+g as (select k.doc_id, count(*) filter (r.k is not null) as gone, string_agg(case when r.k is null then word end, ' ' order by k.k) as kept from k left join r on r.doc_id = k.doc_id and r.k = k.k group by 1)
+select d.doc_id, len(w)::bigint as n_words, coalesce(gone, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join g using (doc_id)
+"""
