@@ -203,3 +203,11 @@ g as (select doc_id, count(*) filter (len(w) > 0) as n_lines, count(*) filter (l
 select o.doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_long, 0)::bigint as n_long, (coalesce(n_long, 0) - coalesce(len(kept), 0))::bigint as n_removed,
  coalesce(array_to_string(kept, ','), '') as kept_long from documents o left join g using (doc_id) left join k using (doc_id)
 """
+
+
+def op9_line_dedup_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over every line with a word, so that repeated headings and menus go too."""
+    return line_report(read_table(spark, sf_dir, "documents"), min_words=1)
+
+
+OP9_EVERY_LINE_SQL = OP9_SQL.replace("len(w) >= 5", "len(w) >= 1")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import OP10_SQL, op10_exact_dedup
 from .licenses import OP3_SQL, op3_license_scan
-from .line_dedup import OP9_SQL, op9_line_dedup
+from .line_dedup import OP9_EVERY_LINE_SQL, OP9_SQL, op9_line_dedup, op9_line_dedup_every_line
 from .minhash import OP6_SQL, op6_minhash_near_dedup
 from .mixing import OP1_SQL, op1_source_mixing
 from .packing import op8_best_fit_packing
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op9_line_dedup_every_line": op9_line_dedup_every_line,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -39,4 +40,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_quality_rules": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op9_line_dedup_every_line": OP9_EVERY_LINE_SQL,
 }
