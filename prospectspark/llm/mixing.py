@@ -16,14 +16,16 @@ table) and, in a block, over its rows.  Even and odd blocks run in opposite dire
 two blocks meet add no bias.
 
 Edge cases: null text has size 0; null source is a source of its own; a source without words has target 0 and
-isn't taken; rows that repeat a doc_id count each; rows without doc_id go into one more block by their text; an empty table gives an
-empty result; other columns are ignored.
+isn't taken; rows that repeat a doc_id count each and are taken each on its own, as are rows without doc_id, which share the block of
+id -1; in a block equal sizes and ids stand in the order of their texts' hash, and of their other columns'; an empty table gives an empty
+result; ``copies`` ignores other columns, ``mix_sources`` carries the whole row to its place, so it joins on no id.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from .common import WORD, read_table, stored
 
@@ -55,39 +57,44 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], max_repeats: fl
     return levels.select("source", "source_size", F.coalesce(F.least(target, F.col("cap")), F.lit(0.0)).alias("target"), "rank")
 
 
-def copies(documents: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: float = 3, seed: int = 7, key: str = "doc_id") -> DataFrame:
-    """doc_id, source, size, source_size, target, copies of every row: how often the mix takes it."""
-    spark = documents.sparkSession
-    sizes = stored(documents.select(F.col(key).alias("doc_id"), "source", size_of(F.col("text")).alias("size")), "mix-sizes")
+def copies(documents: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: float = 3, seed: int = 7, key: str = "doc_id", whole: bool = False) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies of every row: how often the mix takes it.  whole: also row, all its columns."""
+    columns = [F.col(key).alias("doc_id"), F.col("source"), size_of(F.col("text")).alias("size")]
+    sizes = stored(documents.select(*columns), "mix-sizes")
     targets = stored(source_targets(sizes, weights, max_repeats), "mix-targets")
     parts = max(BLOCKS, sizes.count() // BLOCK_ROWS)
     # size class: eight to a factor of two; mixed: a fixed hash in whole numbers, so that SQL can repeat it
     class_ = F.floor(F.log2(F.col("size") + 1) * 8).cast("int")
     mixed = F.pmod((F.coalesce("doc_id", F.lit(-1)) + seed) * 7919, F.lit(1_000_003))
-    rows = (
-        sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-        .withColumn("class", class_).withColumn("part", F.pmod(mixed, F.lit(parts)).cast("int"))
-        .withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    )
+
+    def rated(table: DataFrame) -> DataFrame:
+        joined = table.join(targets, table["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+        rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+        return joined.withColumn("class", class_).withColumn("part", F.pmod(mixed, F.lit(parts)).cast("int")).withColumn("rate", rate)
+
+    rows = rated(sizes)
     counts = rows.groupBy("rank", "class", "part").agg(F.count("*").alias("rows"))
     line = Window.partitionBy("rank").orderBy("class", "part")
     blocks = counts.select(
         "rank", "class", "part", (F.sum("rows").over(line) - F.col("rows")).alias("before"), (F.row_number().over(line) % 2).alias("odd")
     )
-    within = Window.partitionBy("rank", "class", "part").orderBy(F.col("size") * F.when(F.col("odd") == 1, 1).otherwise(-1), "doc_id")
+    ties, carried = [], []
+    if whole:
+        plain = [f.name for f in documents.schema if isinstance(f.dataType, AtomicType)]
+        rest = F.xxhash64(*[F.col(f"row.`{name}`") for name in plain])
+        rows, ties, carried = rated(documents.select(*columns, F.struct("*").alias("row"))), [F.xxhash64("row.text"), rest], ["row"]
+    within = Window.partitionBy("rank", "class", "part").orderBy(F.col("size") * F.when(F.col("odd") == 1, 1).otherwise(-1), "doc_id", *ties)
     # the offset of a source: a fixed sequence of fractions, spread evenly
     offset = F.pmod(F.col("rank") * 61 + seed, F.lit(100)) / 100.0
     placed = rows.join(blocks, ["rank", "class", "part"]).withColumn("place", F.col("before") + F.row_number().over(within))
     taken = F.floor(F.col("place") * F.col("rate") + offset) - F.floor((F.col("place") - 1) * F.col("rate") + offset)
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("copies"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("copies"), *carried)
 
 
 def mix_sources(documents: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: float = 3, seed: int = 7) -> DataFrame:
-    """The mix itself: each row of documents as often as it is taken.  doc_id must tell rows apart."""
-    chosen = copies(documents, weights, max_repeats, seed).filter("copies > 0").select("doc_id", "copies")
-    rows = documents.select(F.struct("*").alias("row"))  # as a struct, so that no name clashes
-    joined = rows.join(chosen, F.col("row.doc_id").eqNullSafe(F.col("doc_id")))
-    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    """The mix itself: each row of documents as often as it is taken, whether its doc_id is its own, repeated or null."""
+    chosen = copies(documents, weights, max_repeats, seed, whole=True).filter("copies > 0")
+    return chosen.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
