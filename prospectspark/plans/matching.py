@@ -225,6 +225,35 @@ def e15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.reconcile_matches(wanted, fixture(spark, sf_dir, "v_matches"))
 
 
+# the four queries above take equal names only, as their SQL can say no more; these take all stages of match_postings
+
+
+def all_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signals.match_postings(postings(spark, sf_dir), companies(spark, sf_dir))
+
+
+@R.add("flagship_leading_roles_all_stages")
+def flagship_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = signals.title_filter(postings(spark, sf_dir)).select("refnr")
+    return all_stages(spark, sf_dir).join(chosen, "refnr", "left_semi").withColumn("prio", text.age_priority(c("gf_alter")))
+
+
+@R.add("e12_dedupe_reposts_all_stages")
+def e12_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signals.dedupe_reposts(all_stages(spark, sf_dir), postings(spark, sf_dir), claimed(spark, sf_dir))
+
+
+@R.add("e14_insert_matches_all_stages")
+def e14_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signals.insert_matches(fixture(spark, sf_dir, "v_matches"), all_stages(spark, sf_dir), fixture(spark, sf_dir, "v_postings"))
+
+
+@R.add("e15_reconcile_matches_all_stages")
+def e15_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = all_stages(spark, sf_dir).join(fixture(spark, sf_dir, "v_postings").select("refnr", "posting_id"), "refnr")
+    return signals.reconcile_matches(wanted, fixture(spark, sf_dir, "v_matches"))
+
+
 @R.add(
     "e16_refresh_priority",
     f"""with a as (select id as company_id, 2024 - gf_geburtsjahr as gf_alter from v_companies), m as (select match_id, prio, {PRIO} as new_prio from v_matches left join a using (company_id) where company_id is not null and status not in ('irrelevant', 'abgelehnt'))
