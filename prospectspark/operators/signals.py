@@ -219,6 +219,32 @@ def reconcile_matches(wanted: DataFrame, existing: DataFrame) -> DataFrame:
     return both.withColumn("action", action).filter("action is not null").select("posting_id", "company_id", "action", "new.match_stufe", "new.match_score")
 
 
+def reviewed(existing: DataFrame) -> DataFrame:
+    """Stored matches with a status other than neu."""
+    return existing.filter(~c("status").eqNullSafe(F.lit("neu")))
+
+
+def ads_to_delete(postings: DataFrame, existing: DataFrame) -> DataFrame:
+    """posting_id of the advertisements that fail the title rules of all groups and have no reviewed match and none without company."""
+    held = reviewed(existing).select("posting_id").unionByName(existing.filter("company_id is null").select("posting_id")).distinct()
+    failed = postings.join(title_filter(postings).select("posting_id").distinct(), "posting_id", "left_anti")
+    return failed.join(held, "posting_id", "left_anti").select("posting_id").distinct()
+
+
+def rematch(postings: DataFrame, existing: DataFrame, companies: DataFrame) -> DataFrame:
+    """The rules over all stored advertisements again: rows as of reconcile_matches, and a row delete_posting for each advertisement to delete.
+
+    Matches of deleted advertisements go with them; a reviewed match claims its employer, title and company, so no repost of it is inserted.
+    """
+    gone = ads_to_delete(postings, existing)
+    kept = postings.join(gone, "posting_id", "left_anti")
+    keys = kept.select("posting_id", text.norm_company(c("arbeitgeber")).alias("employer_key"), text.norm_text(c("titel")).alias("title_key"))
+    claimed = reviewed(existing).filter("company_id is not null").join(keys, "posting_id").select("employer_key", "title_key", "company_id")
+    wanted = dedupe_reposts(match_postings(kept, companies), kept, claimed).join(kept.select("refnr", "posting_id"), "refnr")
+    actions = reconcile_matches(wanted, existing)
+    return actions.unionByName(gone.withColumn("action", F.lit("delete_posting")), allowMissingColumns=True)
+
+
 def signal_counts(matches: DataFrame, postings: DataFrame) -> DataFrame:
     """kind, value, n over status, priority, stage, month of publication and keyword, in one pass."""
     month = F.coalesce(F.date_format("veroeffentlicht_am", "yyyy-MM"), F.lit("unbekannt"))

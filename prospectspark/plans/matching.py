@@ -254,6 +254,12 @@ def e15_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.reconcile_matches(wanted, fixture(spark, sf_dir, "v_matches"))
 
 
+@R.add("e15_rematch")
+def e15_rematch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ads = postings(spark, sf_dir).join(fixture(spark, sf_dir, "v_postings").select("refnr", "posting_id"), "refnr")
+    return signals.rematch(ads, fixture(spark, sf_dir, "v_matches"), companies(spark, sf_dir))
+
+
 @R.add(
     "e16_refresh_priority",
     f"""with a as (select id as company_id, 2024 - gf_geburtsjahr as gf_alter from v_companies), m as (select match_id, prio, {PRIO} as new_prio from v_matches left join a using (company_id) where company_id is not null and status not in ('irrelevant', 'abgelehnt'))
