@@ -60,3 +60,10 @@ def a6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.read_master_csv(spark, path)
 
 
+@R.add("a6_write_export_all", "select cast(id as varchar) as id, name, plz from v_companies", ("v_companies",))
+def a6_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    io.write_export(fixture(spark, sf_dir, "v_companies"), path, ("id", "name", "plz"), ("name", "id"))
+    return io.read_master_csv(spark, path)
+
+

@@ -138,6 +138,28 @@ def i9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("company_id", "priority", "follow_up", F.coalesce("n_calls", F.lit(0)).alias("n_calls"))
 
 
+def all_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = outreach.leads_by_wave(fixture(spark, sf_dir, "v_reviews")).select("company_id").distinct()
+    firms = fixture(spark, sf_dir, "v_companies").select(c("id").alias("company_id"), "name", F.when(c("id") % 5 != 0, c("id") % 11).alias("score"))
+    return firms.join(chosen, "company_id", "left_semi")
+
+
+ALL_LEADS = "from v_companies where id in (select company_id from v_reviews where decision = 'lead' or (decision is null and selected))"
+
+
+@R.add("i8_funnel_kpis_all", f"""with {STATE} select count(*) as leads, count(status) as letters, count(*) filter (status <> 'queued') as sent, count(*) filter (mail = 'sent') as mails, count(n_calls) as called, count(*) filter (reached) as reached,
+      count(*) filter (follow_up <= date '{TODAY}' and coalesce(status not in ('won', 'rejected'), true)) as due, count(*) filter (status = 'won') as won, count(*) filter (status = 'rejected') as lost,
+      count(*) filter (coalesce(status not in ('won', 'rejected'), true)) as open from s""".replace("from v_companies where id % 3 = 0", ALL_LEADS), ("v_reviews", *CONTACT))
+def i8_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outreach.funnel_kpis(all_leads(spark, sf_dir), fixture(spark, sf_dir, "v_outreach"), fixture(spark, sf_dir, "v_calls"), TODAY)
+
+
+@R.add("i9_work_list_all", f"with {STATE} select company_id, priority, follow_up, coalesce(n_calls, 0) as n_calls from s where priority < 5".replace("from v_companies where id % 3 = 0", ALL_LEADS), ("v_reviews", *CONTACT))
+def i9_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = outreach.work_list(all_leads(spark, sf_dir), fixture(spark, sf_dir, "v_outreach"), fixture(spark, sf_dir, "v_calls"), TODAY)
+    return rows.select("company_id", "priority", "follow_up", F.coalesce("n_calls", F.lit(0)).alias("n_calls"))
+
+
 @R.add(
     "i10_mark_sent",
     """select outreach_id, case when channel = 'letter' and wave = 2 and status = 'queued' then 'sent' else status end as status, case when channel = 'letter' and wave = 2 and status = 'queued' then date '2024-01-05' end as sent_at from v_outreach""",

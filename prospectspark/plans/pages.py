@@ -158,6 +158,33 @@ def f10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.flag_no_text(firms, with_body(pages(spark, sf_dir)).filter("page_id % 4 = 0"))
 
 
+@R.add(
+    "f9_persist_pages_all",
+    f"""with b as (select *, 'u' || (page_id % 120) as u, {STATUS} as fetch_status, {_BODY} as body from v_pages), f as (select * from (select *, row_number() over (partition by company_id, u order by page_id) as k from b) where k = 1),
+    e as (select distinct company_id, 'u' || (page_id % 240) as url from v_pages)
+    select company_id, u as url, page_type, fetch_status, body as text_content from f
+    union all select company_id, url, 'old', 'fetched', null from e where not exists (select 1 from f where f.company_id is not distinct from e.company_id and f.u = e.url)""",
+    ("v_pages",),
+)
+def f9_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored side has pages of all companies, half of them under urls that come again."""
+    df = with_body(pages(spark, sf_dir))
+    url = lambda n: F.concat(F.lit("u"), (c("page_id") % n).cast("string"))
+    existing = df.select("company_id", url(240).alias("url")).distinct().select("*", F.lit("old").alias("page_type"), F.lit("fetched").alias("fetch_status"), F.lit(None).cast("string").alias("text_content"))
+    return web.persist_pages(existing, df.withColumn("url", url(120)), "page_id")
+
+
+@R.add(
+    "f10_flag_no_text_all",
+    f"""with t as (select distinct company_id from v_pages where trim(coalesce({_BODY}, '')) <> '')
+    select id as company_id, case when id % 7 = 0 then 'flagged' else 'to flag' end as state from v_companies where id % 3 <> 0 and not exists (select 1 from t where company_id = id)""",
+    ("v_pages", "v_companies"),
+)
+def f10_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    firms = fixture(spark, sf_dir, "v_companies").select("id", (c("id") % 3 != 0).alias("reachable"), (c("id") % 7 == 0).alias("no_text_content"))
+    return web.flag_no_text(firms, with_body(pages(spark, sf_dir)))
+
+
 _ERRORS = ("SSL: CERTIFICATE_VERIFY_FAILED", "tlsv1 alert", "StreamReset by peer", "ReadTimeout", "[Errno] getaddrinfo failed", "ConnectError", "", "odd")
 _LABELS = ("tls_certificate", "tls", "http2", "timeout", "dns", "connect", "unreachable", "unreachable")
 
