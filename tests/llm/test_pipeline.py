@@ -21,7 +21,7 @@ def stages_by_hand(rows):
     stays = line_brute(rows)
     out = []
     for d, t, *rest in rows:
-        lines = [x for i, x in enumerate(t.split("\n")) if len(re.findall(WORD, x)) < 5 or i in stays.get(d, ())]
+        lines = [x for i, x in enumerate(t.split("\n")) if not re.search(WORD, x) or i in stays.get(d, ())]
         if re.search(WORD, "\n".join(lines)):
             out.append((d, "\n".join(lines), *rest))
     kept = {d for d, _, _, k in near_brute(out, 5) if k}
