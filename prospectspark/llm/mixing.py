@@ -11,14 +11,15 @@ target stops at ``max_repeats`` times its source's size and the excess is shared
 above.  That is the level L with sum(min(max_repeats * size, L * weight)) = total, found on the sorted sources directly.
 
 Scale: the running sum isn't taken over a source at once, since one source may hold a third of all rows.  A source is cut into
-blocks by size class and a hash of doc_id, with a few hundred rows each; the running sum goes over blocks (a small
-table) and, in a block, over its rows.  Even and odd blocks run in opposite directions of size, so that the places where
-two blocks meet add no bias.
+blocks by size class and a hash of doc_id, of about the square root of the class' rows each in a large table.  The running sum is taken in
+three steps: over the size classes of a source (a few hundred at most), over the blocks of a class, and over the rows of a block.  Even and
+odd blocks run in opposite directions of size, so that the places where two blocks meet add no bias.
 
 Edge cases: null text has size 0; null source is a source of its own; a source without words has target 0 and
-isn't taken; rows that repeat a doc_id count each and are taken each on its own, as are rows without doc_id, which share the block of
-id -1; in a block equal sizes and ids stand in the order of their texts' hash, and of their other columns'; an empty table gives an empty
-result; ``copies`` ignores other columns, ``mix_sources`` carries the whole row to its place, so it joins on no id.
+isn't taken; a very long text is one row of a high size class like any other; rows that repeat a doc_id count each and are taken each on its
+own, as are rows without doc_id, which are dealt to blocks by their text; doc_id may be any long; in a block equal sizes and ids stand in
+the order of their texts' hash, and of their other columns'; an empty table gives an empty result; ``copies`` ignores other columns,
+``mix_sources`` carries the whole row to its place, so it joins on no id and names can't clash.
 """
 
 from __future__ import annotations
@@ -29,9 +30,11 @@ from pyspark.sql.types import AtomicType
 
 from .common import WORD, read_table, stored
 
-#: Rows of a block, about; only where the table has more than BLOCKS of them in a size class.
+#: A size class has at least BLOCKS blocks, and more so long as they hold BLOCK_ROWS rows and more on average.
 BLOCK_ROWS = 4096
 BLOCKS = 64
+#: A prime: block numbers and offsets are reckoned modulo it, so that whole numbers of any size stay in range.
+PRIME = 1_000_003
 
 
 def size_of(text: Column) -> Column:
@@ -59,24 +62,28 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], max_repeats: fl
 
 def copies(documents: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: float = 3, seed: int = 7, key: str = "doc_id", whole: bool = False) -> DataFrame:
     """doc_id, source, size, source_size, target, copies of every row: how often the mix takes it.  whole: also row, all its columns."""
-    columns = [F.col(key).alias("doc_id"), F.col("source"), size_of(F.col("text")).alias("size")]
+    # mixed: a fixed hash in whole numbers, so that SQL can repeat it; without doc_id the text's
+    spread = F.pmod(F.coalesce(F.col(key), F.xxhash64("text")), F.lit(PRIME))
+    columns = [F.col(key).alias("doc_id"), F.col("source"), size_of(F.col("text")).alias("size"), F.pmod((spread + seed % PRIME) * 7919, F.lit(PRIME)).alias("mixed")]
     sizes = stored(documents.select(*columns), "mix-sizes")
     targets = stored(source_targets(sizes, weights, max_repeats), "mix-targets")
-    parts = max(BLOCKS, sizes.count() // BLOCK_ROWS)
-    # size class: eight to a factor of two; mixed: a fixed hash in whole numbers, so that SQL can repeat it
-    class_ = F.floor(F.log2(F.col("size") + 1) * 8).cast("int")
-    mixed = F.pmod((F.coalesce("doc_id", F.lit(-1)) + seed) * 7919, F.lit(1_000_003))
+    n = sizes.count()
+    parts = max(BLOCKS, n // max(BLOCK_ROWS, int(n**0.5)))
+    class_ = F.floor(F.log2(F.col("size") + 1) * 8).cast("int")  # eight to a factor of two
 
     def rated(table: DataFrame) -> DataFrame:
         joined = table.join(targets, table["source"].eqNullSafe(targets["source"])).drop(targets["source"])
         rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-        return joined.withColumn("class", class_).withColumn("part", F.pmod(mixed, F.lit(parts)).cast("int")).withColumn("rate", rate)
+        return joined.withColumn("class", class_).withColumn("part", F.pmod("mixed", F.lit(parts)).cast("int")).withColumn("rate", rate)
 
     rows = rated(sizes)
-    counts = rows.groupBy("rank", "class", "part").agg(F.count("*").alias("rows"))
-    line = Window.partitionBy("rank").orderBy("class", "part")
-    blocks = counts.select(
-        "rank", "class", "part", (F.sum("rows").over(line) - F.col("rows")).alias("before"), (F.row_number().over(line) % 2).alias("odd")
+    counts = stored(rows.groupBy("rank", "class", "part").agg(F.count("*").alias("rows")), "mix-blocks")
+    classes = counts.groupBy("rank", "class").agg(F.sum("rows").alias("rows"), F.count("*").alias("blocks"))
+    by_class, by_part = Window.partitionBy("rank").orderBy("class"), Window.partitionBy("rank", "class").orderBy("part")
+    starts = classes.select("rank", "class", (F.sum("rows").over(by_class) - F.col("rows")).alias("rows_before"), (F.sum("blocks").over(by_class) - F.col("blocks")).alias("blocks_before"))
+    within_class = counts.select("rank", "class", "part", (F.sum("rows").over(by_part) - F.col("rows")).alias("rows_here"), F.row_number().over(by_part).alias("number"))
+    blocks = within_class.join(starts, ["rank", "class"]).select(
+        "rank", "class", "part", (F.col("rows_before") + F.col("rows_here")).alias("before"), ((F.col("blocks_before") + F.col("number")) % 2).alias("odd")
     )
     ties, carried = [], []
     if whole:
@@ -84,8 +91,8 @@ def copies(documents: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_rep
         rest = F.xxhash64(*[F.col(f"row.`{name}`") for name in plain])
         rows, ties, carried = rated(documents.select(*columns, F.struct("*").alias("row"))), [F.xxhash64("row.text"), rest], ["row"]
     within = Window.partitionBy("rank", "class", "part").orderBy(F.col("size") * F.when(F.col("odd") == 1, 1).otherwise(-1), "doc_id", *ties)
-    # the offset of a source: a fixed sequence of fractions, spread evenly
-    offset = F.pmod(F.col("rank") * 61 + seed, F.lit(100)) / 100.0
+    # the offset of a source: a fraction that follows from its rank and the seed
+    offset = F.pmod((F.col("rank").cast("long") * 7919 + seed % PRIME) * 104_729, F.lit(PRIME)) / float(PRIME)
     placed = rows.join(blocks, ["rank", "class", "part"]).withColumn("place", F.col("before") + F.row_number().over(within))
     taken = F.floor(F.col("place") * F.col("rate") + offset) - F.floor((F.col("place") - 1) * F.col("rate") + offset)
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("copies"), *carried)
@@ -113,12 +120,12 @@ l as (select *, (sum(source_size) over () - coalesce(sum(cap) over (order by rat
 m as (select *, max(lev) over () as level from l),
 t as (select source, source_size, rank, coalesce(least(case when ratio <= level then cap else level * weight end, cap), 0.0::double) as target from m),
 d as (select s.doc_id, s.size, t.source_size, t.target, t.rank, case when t.source_size > 0 then t.target / t.source_size else 0 end as rate,
-  floor(log2(s.size + 1) * 8)::int as class, (((coalesce(s.doc_id, -1) + 7) * 7919) % 1000003) % greatest(64, count(*) over () // 4096) as part
+  floor(log2(s.size + 1) * 8)::int as class, ((((coalesce(s.doc_id, -1) % 1000003 + 1000003) % 1000003 + 7) * 7919) % 1000003) % greatest(64, count(*) over () // greatest(4096, floor(sqrt(count(*) over ()))::bigint)) as part
   from s join t on s.source is not distinct from t.source),
 c as (select rank, class, part, count(*) as n from d group by all),
 k as (select rank, class, part, sum(n) over (partition by rank order by class, part) - n as before, row_number() over (partition by rank order by class, part) % 2 as odd from c),
 p as (select d.*, before + row_number() over (partition by rank, class, part order by size * case when odd = 1 then 1 else -1 end, doc_id) as place
   from d join k using (rank, class, part))
 select doc_id, size, source_size, target,
- (size * (floor(place * rate + ((rank * 61 + 7) % 100) / 100.0::double) - floor((place - 1) * rate + ((rank * 61 + 7) % 100) / 100.0::double)))::bigint as taken from p
+ (size * (floor(place * rate + (((rank * 7919 + 7) * 104729) % 1000003) / 1000003.0::double) - floor((place - 1) * rate + (((rank * 7919 + 7) * 104729) % 1000003) / 1000003.0::double)))::bigint as taken from p
 """

@@ -71,3 +71,25 @@ def test_edge_cases(spark):
     rows = [(1, None, None, None, 1), (2, "", None, "z", 1), (None, "a b", None, "z", 1), (3, "a b", None, "z", 1), (3, "a b", None, "z", 1)]
     got = copies(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(got) == 5 and sum(r.copies * r.size for r in got) == 6
+
+
+def test_ids_of_any_size_and_seeds(spark):
+    top = (1 << 63) - 1
+    rows = [(top - i if i % 2 else i - top - 1, "a b c " * (1 + i % 7), None, "xyz"[i % 3], 1) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    mixes = [sorted(map(tuple, copies(df, seed=s).select("doc_id", "copies").collect())) for s in (7, 107, 207)]
+    assert all(len(m) == 300 for m in mixes) and mixes[0] != mixes[1] != mixes[2]
+    assert mix_sources(df).count() == sum(n for _, n in mixes[0])
+
+
+def test_rows_without_id_are_dealt_over_blocks(spark):
+    rows = [(None, f"w{i} b", None, "z", 1) for i in range(400)] + [(i, "a b", None, "y", 1) for i in range(10)]
+    taken = copies(spark.createDataFrame(rows, SCHEMA)).groupBy("source").sum("copies").collect()
+    # 820 words: z stops at neither its cap nor below, y has three times its 20
+    assert {r[0]: r[1] for r in taken} == {"y": 30 if 820 / 3 > 60 else 10, "z": 380}
+
+
+def test_long_text_is_one_row(spark):
+    rows = [(1, "w " * 2_000_000, None, "z", 1), (2, "a", None, "z", 1)]
+    got = {r.doc_id: (r.size, r.copies) for r in copies(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1][0] == 2_000_000 and got[1][1] == 1
