@@ -13,12 +13,13 @@ Links are confirmed on full sets.  First each bucket's members are held against
 components.  Then the buckets that still hold more than one component are searched again: first each member against the few most
 alike of other components, which joins most of what belongs together, then every pair of members of different
 components whose sizes and signatures allow the similarity.  So no pair that shares a band goes unseen unless it is
-linked already, and a group of thousands of copies needs about as many comparisons on full sets as it has members.  In a large bucket the members of its largest component are dealt over blocks and the others, which are few, go to
-each block: no task gets the whole bucket and no list of all pairs is made.
+linked already or its signatures are far apart (SLACK), and a group of thousands of copies needs about as many comparisons on full sets as it
+has members.  A large bucket is dealt over pairs of blocks: no task gets the whole bucket and no list of all pairs is made.
 
 Edge cases: null and empty texts have no shingles and link with nothing; a text with fewer words than a shingle is one shingle; rows
 without doc_id have component_id null, link with nothing and are kept; rows that repeat a doc_id are nodes by their text, and an id's
-component is that of the row's own text; an empty table gives an empty result; other columns are kept by ``drop_near_duplicates``.
+component is that of the row's own text; a very long text makes a step of its own and its whole set counts; of equal sets the smallest doc_id
+stands for all; an empty table gives an empty result; other columns are kept by ``drop_near_duplicates``, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import U64, mix, read_table, shuffle_partitions, stored, text_bytes, text_steps, words_of
@@ -37,8 +38,9 @@ from .components import components
 SLOTS, BANDS, ROWS = 512, 32, 4
 BASE = 0x9E3779B97F4A7C15
 BLOCK = 2048
-#: A pair is confirmed on full sets unless its signatures agree in less than the threshold minus this (four standard deviations).
-SLACK = 0.07
+#: A pair is confirmed on full sets unless its signatures agree in less than the threshold minus this: over five and a half standard deviations,
+#: so that fewer pairs are lost than by banding.
+SLACK = 0.10
 
 
 def shingle_sets(texts: pa.Array, shingle: int) -> list[np.ndarray]:
@@ -95,8 +97,8 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketch(documents: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n, node and check (two digests of the set), sig, bands of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    """doc_id, n, digest and check (128 bits of the set), sig, bands of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("check", pa.int64()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,7 +115,7 @@ def sketch(documents: DataFrame, shingle: int) -> DataFrame:
                 bands = pa.ListArray.from_arrays(np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32), pa.array(keys.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([step.column("doc_id"), pa.array(size), pa.array(node), pa.array(check), pa.array([x.tobytes() for x in short], pa.binary()), bands], schema=schema)
 
-    return documents.select("doc_id", "text").mapInArrow(make, "doc_id long, n long, node long, check long, sig binary, bands array<long>")
+    return documents.select("doc_id", "text").mapInArrow(make, "doc_id long, n long, digest long, check long, sig binary, bands array<long>")
 
 
 def digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -133,21 +135,21 @@ def size_allows(a: Column, b: Column, percent: int) -> Column:
 
 def full_sets(documents: DataFrame, classes: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
     """node and elements (its full set) of the needed nodes, from one more pass over the texts."""
-    docs = classes.join(needed, "node").select(F.col("rep").alias("doc_id")).distinct()
+    wanted = stored(classes.join(needed.hint("merge"), "node").select("rep", "node", "digest", "check"), "wanted")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for step in text_steps(batch):
                 sets = shingle_sets(step.column("text"), shingle)
-                node, _ = digests(sets)
+                digest, check = digests(sets)
                 offs = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 flat = np.concatenate(sets).astype(np.int64) if len(sets) else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.ListArray.from_arrays(offs, pa.array(flat))], names=["node", "elements"])
+                yield pa.RecordBatch.from_arrays([pa.array(digest), pa.array(check), pa.ListArray.from_arrays(offs, pa.array(flat))], names=["digest", "check", "elements"])
 
     # the list of documents grows with the table, so it is never sent to all, however small it is here
-    texts = documents.select("doc_id", "text").join(docs.hint("merge"), "doc_id", "left_semi").select("text")
-    sets = texts.mapInArrow(make, "node long, elements array<long>").join(needed.hint("merge"), "node", "left_semi")
-    return sets.dropDuplicates(["node"])
+    texts = documents.select("doc_id", "text").join(wanted.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").select("text")
+    sets = texts.mapInArrow(make, "digest long, check long, elements array<long>").join(wanted.select("node", "digest", "check").hint("merge"), ["digest", "check"])
+    return sets.dropDuplicates(["node"]).select("node", "elements")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -160,41 +162,52 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def across_components(rows: DataFrame, sigs: DataFrame, percent: int, parts: int, top: int | None) -> DataFrame:
-    """Pairs u, v of one bucket but different components that may be similar; with top only the most alike of each member.
+    """Pairs u, v of one bucket but different components that may be similar; with top only the most alike of each member in a task.
 
-    rows: band, node, n, root; sigs: node, sig, bands.  A pair comes from the first band that it shares only.
+    rows: band, node, n, root; sigs: node, sig, bands.  A pair comes from the first band that it shares only.  A bucket's members of its
+    largest component (main) and the others (outside) are cut into blocks of BLOCK rows; a task is a pair of blocks, main and outside or
+    both outside, so it holds two blocks at most, whatever the size of the bucket.
     """
     counts = rows.groupBy("band", "root").agg(F.count("*").alias("c"))
     mixed = counts.groupBy("band").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("total"), F.count("*").alias("roots")).filter("roots > 1")
-    blocks = F.ceil(F.col("total") / BLOCK).cast("int")
-    dealt = rows.join(mixed.select("band", F.col("top.root").alias("main"), blocks.alias("blocks")), "band").withColumn("outside", F.col("root") != F.col("main"))
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    own = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("block", F.explode(F.when(F.col("outside"), every).otherwise(own))).join(sigs, "node")
+    block = lambda c: F.ceil(c / BLOCK).cast("int")
+    mixed = mixed.select("band", F.col("top.root").alias("main"), block(F.col("top.c")).alias("mains"), block(F.col("total") - F.col("top.c")).alias("outsides"))
+    dealt = rows.join(mixed, "band").withColumn("outside", F.col("root") != F.col("main"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("outside"), F.col("outsides")).otherwise(F.col("mains"))).cast("int"))
+    numbers = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    task = lambda both, a, b: F.struct(F.lit(both).alias("both"), a.cast("int").alias("a"), b.cast("int").alias("b"))
+    own = F.col("own")
+    across = F.when(F.col("outside"), F.transform(numbers("mains"), lambda m: task(False, m, own))).otherwise(F.transform(numbers("outsides"), lambda o: task(False, own, o)))
+    # a single block of others is compared within itself where it meets the first main block
+    within = F.when(F.col("outside") & (F.col("outsides") > 1), F.transform(numbers("outsides"), lambda o: task(True, F.least(own, o), F.greatest(own, o)))).otherwise(F.array())
+    dealt = dealt.withColumn("task", F.explode(F.concat(across, within))).join(sigs, "node")
+    names = ("band", "both", "a", "b", "outsides", "node", "n", "sig", "bands", "root", "outside", "own")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
+        held: list = []
         now = None
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("band", "block", "node", "n", "sig", "bands", "root", "outside")]
-            for band, block, *rest in zip(*cols, strict=True):
-                if (band, block) != now:
+            for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if row[:5] != now:
                     yield from compare(held, now)
-                    held, now = {"rows": []}, (band, block)
-                held["rows"].append(rest)
+                    held, now = [], row[:5]
+                held.append(row[5:])
         yield from compare(held, now)
 
-    def compare(held: dict[str, list], now: tuple | None) -> Iterator[pa.RecordBatch]:
-        if not held or len(held["rows"]) < 2:
+    def compare(held: list, now: tuple | None) -> Iterator[pa.RecordBatch]:
+        if len(held) < 2:
             return
-        node, n, sig, bands, root, outside = zip(*held["rows"], strict=True)
-        node, n, root, outside, bands = np.array(node), np.array(n), np.array(root), np.array(outside), np.array(bands)
-        here = (bands == now[0]).argmax(axis=1)  # the number of this band
+        band, both, a, b, outsides = now
+        node, n, sig, bands, root, outside, block = zip(*held, strict=True)
+        node, n, root, outside, block, bands = np.array(node), np.array(n), np.array(root), np.array(outside), np.array(block), np.array(bands)
+        here = (bands == band).argmax(axis=1)  # the number of this band
         sig = np.frombuffer(b"".join(sig), np.uint16).reshape(-1, SLOTS)
         for i in np.flatnonzero(outside):
-            other = (root != root[i]) & (~outside | (node > node[i])) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent)
-            if now[1] != 0:
-                other &= ~outside  # two of the few are compared in the first block only
+            if both:
+                other = (block == b) & ((node > node[i]) | (a != b)) if block[i] == a else np.zeros(len(node), bool)
+            else:
+                other = ~outside | (node > node[i]) if outsides == 1 and a == 0 else ~outside
+            other = other & (root != root[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent)
             j = np.flatnonzero(other)
             j = j[(bands[j] == bands[i]).argmax(axis=1) == here[i]]
             alike = (sig[j] == sig[i]).mean(axis=1)
@@ -204,17 +217,26 @@ def across_components(rows: DataFrame, sigs: DataFrame, percent: int, parts: int
             if len(j):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), node[i])), pa.array(node[j])], names=["u", "v"])
 
-    found = dealt.select("band", "block", "node", "n", "sig", "bands", "root", "outside").repartition(parts, "band", "block").sortWithinPartitions("band", "block").mapInArrow(pairs, "u long, v long")
+    flat = dealt.select("band", "task.both", "task.a", "task.b", "outsides", "node", "n", "sig", "bands", "root", "outside", "own")
+    found = flat.repartition(parts, "band", "both", "a", "b").sortWithinPartitions("band", "both", "a", "b").mapInArrow(pairs, "u long, v long")
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 
+def set_classes(named: DataFrame) -> DataFrame:
+    """digest, check, n, rep (smallest doc_id), node of each different set.  node is the digest; should two sets have one digest, the second's is made anew."""
+    found = named.groupBy("digest", "check", "n").agg(F.min("doc_id").alias("rep"))
+    again = F.row_number().over(Window.partitionBy("digest").orderBy("check", "n"))
+    return found.withColumn("node", F.when(again == 1, F.col("digest")).otherwise(F.xxhash64("digest", "check", "n")))
+
+
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     parts = shuffle_partitions(documents.sparkSession)
     sketches = stored(sketch(documents, shingle), "sketch")
     named = sketches.filter("n > 0 and doc_id is not null")
-    classes = stored(named.groupBy("node", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = named.select("doc_id", "node", "n", "sig", "bands").join(classes.select(F.col("rep").alias("doc_id"), "node"), ["doc_id", "node"]).dropDuplicates(["node"])
+    classes = stored(set_classes(named), "classes")
+    leads = classes.select(F.col("rep").alias("doc_id"), "digest", "check", "n", "node")
+    reps = named.select("doc_id", "digest", "check", "n", "sig", "bands").join(leads, ["doc_id", "digest", "check", "n"]).dropDuplicates(["node"])
     rows = stored(reps.select("node", "n", "sig", "bands"), "nodes")
     banded = rows.select("node", "n", F.explode("bands").alias("band"))
     lead = banded.groupBy("band").agg(F.min("node").alias("v"), F.count("*").alias("c")).filter("c > 1").select("band", "v")
@@ -236,8 +258,8 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
         tried = tried.unionByName(more)
     rooted = classes.join(labels.select(F.col("u").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component"))
-    found = rooted.join(least, "root").select("node", F.col("n").alias("size"), "component")
-    out = sketches.select("doc_id", F.col("n").alias("n_shingles"), "node").join(found.select(F.col("node").alias("x"), "component", "size"), (F.col("node") == F.col("x")) & (F.col("n_shingles") == F.col("size")), "left")
+    found = rooted.join(least, "root").select("digest", "check", "n", "component")
+    out = sketches.select("doc_id", "digest", "check", "n").join(found, ["digest", "check", "n"], "left").withColumnRenamed("n", "n_shingles")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component")), F.col("doc_id")))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 

@@ -91,3 +91,20 @@ def test_components(spark):
             up[a] = up[b] = min(up[a], up[b])
     got = {r.u: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {k: v for k, v in up.items() if k != v}
+
+
+def test_small_blocks_equal_brute_force(spark, monkeypatch):
+    """Buckets are cut into many pairs of blocks, of members of the largest component and of others."""
+    from prospectspark.llm import minhash
+
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    rows = near_copies(7, 120)
+    assert sorted(tuple(r) for r in minhash.near_duplicates(frame(spark, rows), shingle=4).collect()) == brute(rows, 4)
+
+
+def test_two_sets_with_one_digest_stay_two_classes(spark):
+    from prospectspark.llm.minhash import set_classes
+
+    named = spark.createDataFrame([(1, 5, 9, 1), (2, 5, 9, 1), (3, 5, 8, 2)], "doc_id long, digest long, check long, n long")
+    got = {(r.check, r.rep): r.node for r in set_classes(named).collect()}
+    assert set(got) == {(9, 1), (8, 3)} and len(set(got.values())) == 2
