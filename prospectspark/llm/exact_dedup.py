@@ -2,8 +2,9 @@
 
 Texts are equal when identical after no change.  Of equal texts, the row with the largest doc_id stays.
 
-1. A step (a few MB of rows) sends each distinct text once, with its largest doc_id and its number of rows, so a
-   group of copies reaches the shuffle as one row for each step, however large it is.
+1. A step (a few MB of rows) sends each distinct text once, with its largest doc_id and its number of rows.  Texts that a step has more than
+   once wait for the end of the task, or until they fill ``memory`` bytes, so a large group of copies reaches the shuffle as one row
+   for each task.
 2. Spark's exchange is the first partitioning: texts meet by a 64-bit hash.  A task reads its bucket; when the texts
    exceed ``memory`` bytes, they go to spill files by the next bits of the hash, and each file is a bucket of its own, and
    so on until a bucket fits.  A bucket that fits fills an open-addressing table (linear probing); an entry with the same hash
@@ -14,7 +15,8 @@ Texts are equal when identical after no change.  Of equal texts, the row with th
 
 Edge cases: null counts as empty; rows without doc_id count in group_size and lose against any other; in a group without any
 doc_id keep_id is null and all its rows stay; rows that repeat a doc_id all get the same keep_id, and stay together if it is
-theirs; an empty table gives an empty result.
+theirs; a very long text is held once in memory and compared whole; an empty table gives an empty result; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -114,6 +116,9 @@ def distinct_texts(documents: DataFrame, memory: int, partitions: int) -> DataFr
     sent = pa.schema([("h", pa.int64()), ("text", pa.binary()), ("top", pa.int64()), ("n", pa.int64())])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a text that a step has more than once is likely to come again: it waits, so that a task sends it once, so long as memory allows
+        held: dict[bytes, list[int]] = {}
+        used = 0
         for batch in batches:
             for step in text_steps(batch):
                 found: dict[bytes, list[int]] = {}
@@ -121,8 +126,20 @@ def distinct_texts(documents: DataFrame, memory: int, partitions: int) -> DataFr
                 for doc, text in zip(ids, step.column("text").to_pylist(), strict=True):
                     row = found.setdefault((text or "").encode("utf-8", "surrogatepass"), [NONE, 0])
                     row[0], row[1] = max(row[0], NONE if doc is None else doc), row[1] + 1
-                hashes = np.array([xxhash.xxh64_intdigest(t) for t in found], np.uint64).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(list(found), pa.binary()), pa.array([x[0] for x in found.values()], pa.int64()), pa.array([x[1] for x in found.values()], pa.int64())], schema=sent)
+                for text in [t for t, (_, n) in found.items() if n > 1 or t in held]:
+                    top, n = found.pop(text)
+                    used += (len(text) + 200) * (text not in held)
+                    row = held.setdefault(text, [NONE, 0])
+                    row[0], row[1] = max(row[0], top), row[1] + n
+                yield texts_of(found)
+                if used > memory:
+                    yield texts_of(held)
+                    held, used = {}, 0
+        yield texts_of(held)
+
+    def texts_of(found: dict[bytes, list[int]]) -> pa.RecordBatch:
+        hashes = np.array([xxhash.xxh64_intdigest(t) for t in found], np.uint64).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(list(found), pa.binary()), pa.array([x[0] for x in found.values()], pa.int64()), pa.array([x[1] for x in found.values()], pa.int64())], schema=sent)
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[tuple[int, bytes, int, int]]:
