@@ -6,16 +6,16 @@ start with the rule's key: an interval.  Intervals of different rules are nested
 
 Urls and rules are sorted by key.  A task sweeps its stretch of urls: it pushes a rule when its interval begins, pops it when the
 key no longer starts with it, and so the stack holds just the rules that fit the host; the path decides among them.
-The stretches are bounded by keys of a fixed number of urls, chosen evenly by a hash; a bound holds the page_id
-too, so a host with a third of all rows is spread over many stretches.  A rule goes to every stretch that its interval
+The stretches are bounded by keys of a fixed number of urls, chosen evenly by a hash; a bound holds the page_id (without one,
+a hash of the url) too, so a host with a third of all rows is spread over many stretches.  A rule goes to every stretch that its interval
 meets: rules that began before are pushed first, like any other.  Bounds affect the layout only, never the result.
 
 Verdict: that of the rule.  Without one, the method's: block a url without host, or with a label of a short list in its host;
 else allow.
 
 Edge cases: null urls and urls without ``://`` have empty host and path and no rule; hosts keep port and user part; rows that repeat a
-page_id come back each; rules of equal length and host: block wins; equal length otherwise: the longer host; an empty table
-gives an empty result; other columns are ignored.
+page_id come back each; very long urls are judged whole; rules of equal length and host: block wins; equal length otherwise: the longer
+host; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -61,10 +61,10 @@ def host_key(host: Column) -> Column:
 
 
 def stretch_bounds(urls: DataFrame, stretches: int) -> list[tuple[str, int]]:
-    """Ascending (key, page_id): where each stretch but the first begins.  About BOUND_ROWS rows come to the driver."""
+    """Ascending (key, place): where each stretch but the first begins.  About BOUND_ROWS rows come to the driver."""
     every = max(1, urls.count() // BOUND_ROWS)
-    sample = urls.select("key", "page_id").filter(F.pmod(F.xxhash64("page_id", "key"), F.lit(every)) == 0).collect()
-    rows = sorted((r.key, -1 if r.page_id is None else r.page_id) for r in sample)
+    sample = urls.select("key", "place").filter(F.pmod(F.xxhash64("place", "key"), F.lit(every)) == 0).collect()
+    rows = sorted((r.key, r.place) for r in sample)
     return sorted({rows[i * len(rows) // stretches] for i in range(1, stretches)}) if rows else []
 
 
@@ -77,20 +77,21 @@ def judge_urls(pages: DataFrame, rules: DataFrame, stretches: int | None = None,
     """page_id, host, path, rule, verdict (null without a rule) of every page.  rules: verdict, host, path."""
     stretches = stretches or 2 * shuffle_partitions(pages.sparkSession)
     host, path = url_host(F.col(column)), url_path(F.col(column))
-    urls = pages.select("page_id", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path")).withColumn("key", host_key(F.col("host")))
+    place = F.coalesce("page_id", F.xxhash64(column))  # deals a hot host over stretches, rows without page_id too
+    urls = pages.select("page_id", place.alias("place"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path")).withColumn("key", host_key(F.col("host")))
     bounds = stretch_bounds(urls, stretches)
     keys = [k for k, _ in bounds]
 
     @F.pandas_udf("int")
-    def stretch(key: pd.Series, page_id: pd.Series) -> pd.Series:
-        return pd.Series([bisect_right(bounds, (k, i)) for k, i in zip(key, page_id.fillna(-1).astype("int64"), strict=True)], dtype="int32")
+    def stretch(key: pd.Series, place: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(bounds, (k, i)) for k, i in zip(key, place, strict=True)], dtype="int32")
 
     @F.pandas_udf("array<int>")
     def meets(key: pd.Series) -> pd.Series:
         """A stretch s holds keys from keys[s - 1] to keys[s], both included."""
         return pd.Series([list(range(bisect_left(keys, k), bisect_right(keys, after(k)) + 1)) for k in key])
 
-    left = urls.withColumn("stretch", stretch("key", "page_id"))
+    left = urls.withColumn("stretch", stretch("key", "place"))
     right = rules.select("verdict", "host", "path").withColumn("key", host_key(F.col("host"))).withColumn("stretch", F.explode(meets("key")))
     events = left.select("stretch", "key", F.lit(1).alias("kind"), F.col("page_id").cast("string").alias("page_id"), "host", "path", F.lit(None).cast("string").alias("verdict")).unionByName(
         right.select("stretch", "key", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("page_id"), "host", "path", "verdict")
