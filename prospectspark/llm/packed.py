@@ -37,8 +37,9 @@ def take_slices(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     total = int(lengths.sum())
     if not total:
         return np.zeros(0, np.uint8)
-    shift = np.repeat((starts - (np.cumsum(lengths) - lengths)).astype(np.int32), lengths)
-    shift += np.arange(total, dtype=np.int32)
+    kind = np.int32 if max(len(data), total) < 1 << 31 else np.int64
+    shift = np.repeat((starts - (np.cumsum(lengths) - lengths)).astype(kind), lengths)
+    shift += np.arange(total, dtype=kind)
     return data[shift]
 
 

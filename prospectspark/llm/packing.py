@@ -12,8 +12,9 @@ meet those of other groups, until one group is left or nothing improves.  A leve
 
 Seeds come from the group, island and epoch, items are sorted first, so reruns give the same sequences.
 
-Edge cases: null and empty texts are one end id; rows that repeat a doc_id, or have none, are packed each; texts with the
-vocabulary's special token are encoded as the tokenizer's own library does; an empty table gives an empty result; other columns are ignored.
+Edge cases: null and empty texts are one end id; a very long text is cut into full pieces and a first one with the rest; pieces of equal length
+are taken in order of their item number; rows that repeat a doc_id, or have none, are packed each; texts with the vocabulary's special
+token are encoded as the tokenizer's own library does; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ n_dup_lines (lines with a word that equal an earlier line), n_repeat_words (word
 in the text, the first included).  With ``metrics`` they are computed for all documents; without, only as far as the cascade goes.
 
 Edge cases: null and empty texts have no words and fail the base rule; texts shorter than five words have no windows; rows without doc_id
-and repeated rows are judged like any other; an empty table gives an empty result; other columns are kept by ``keep_good``.
+and repeated rows are judged like any other, each by itself; a very long text makes a step of its own; rules that tie in rejections per second
+keep their given order; an empty table gives an empty result; other columns are kept by ``keep_good``, whatever their names.  Lines and
+windows are equal if two independent 64-bit hashes are (multilinear, see common.hash_slices), so none collide by their form.
 """
 
 from __future__ import annotations

@@ -12,8 +12,11 @@ the minimiser of more than their share of windows (counted over all documents, w
 ``heavy_pairs``) are chosen last, so that rare neighbours spread their windows over the buckets.
 
 Edge cases: null and empty texts have no words; texts shorter than a window lose nothing; a row without doc_id can't be
-ordered, keeps all its words and takes none from others; rows that repeat a doc_id are one document for the order; an
-empty table gives an empty result; other columns are ignored.
+ordered, keeps all its words and takes none from others; rows that repeat a doc_id are one document for the order; a very long text makes a
+step of its own, its places have 32 bits; an empty table gives an empty result; other columns are ignored, whatever their names.
+
+Windows are equal if two 64-bit fingerprints are, which rest on multilinear word hashes with independent factors (see common.hash_slices): no
+two contents collide by their form, and by chance with less than 2 ** -100 a pair.
 """
 
 from __future__ import annotations
@@ -32,8 +35,9 @@ from .common import U64, Words, mix, read_table, ranges, shuffle_partitions, sli
 
 BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 LAST = U64(1) << U64(63)
-#: Bits of a pair's hash that order minimisers; the rest of the 63 holds the place, so that the smallest value tells where.
-PLACE_BITS = U64(26)
+#: Low bits of a rank: the place in the step, so that the smallest value tells where; the 31 above it order by the pair's hash.  A step has fewer than
+#: 2 ** 31 words, and equal windows choose alike at any width.
+PLACE_BITS = U64(32)
 
 
 def pair_hashes(words: Words) -> np.ndarray:

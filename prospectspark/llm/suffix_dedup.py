@@ -6,7 +6,7 @@ doc_id, or in the same one further left.  Strings are judged on the input; match
 Sparse suffixes.  Not all of the corpus' suffixes are indexed: each window of ``length`` bytes has a minimiser, the
 ``gram`` bytes with the smallest hash in it, and a window can only match where the same gram is.  Windows with a common
 minimiser travel as one string to the bucket of the gram (packed.py).  In the bucket, strings whose gram is unique are
-done, repeated strings keep their first copy, and only the rest gets suffix arrays.
+done, repeated strings keep their first copy (found by a hash, then compared byte for byte), and only the rest gets suffix arrays.
 
 Family.  A bucket's strings, in order of (doc_id, start), come in batches.  A batch gets the sorted array of its suffixes
 (the window starts), ordered by the Karp-Rabin fingerprint of their first ``length`` bytes: only equality over that length
@@ -18,7 +18,8 @@ shrink before the shuffle.
 
 Edge cases: null and empty texts have no bytes; texts shorter than ``length`` lose nothing; a row without doc_id can't be
 ordered, keeps all and takes nothing from others; rows that repeat doc_id and text stand at one place and don't remove
-each other, with another text they follow in order of their CRC-32; an empty table gives an empty result.
+each other, with another text they follow in order of their CRC-32; a very long text makes a step of its own, its places have 32 bits; of
+tied minimisers the leftmost counts; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,11 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import packed
-from .common import U64, hash_slices, mix, ranges, read_table, shuffle_partitions, sliding_min, text_bytes, text_keys, text_steps
+from .common import STEP_BYTES, U64, hash_slices, mix, ranges, read_table, shuffle_partitions, sliding_min, text_bytes, text_keys, text_steps
 
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407, 0xC2B2AE3D27D4EB4F)
 GRAM = 16
-PLACE_BITS = U64(26)
+#: Low bits of a rank: the place in the step, which any text that Spark can hold (under 2 ** 31 bytes) fits; equal windows choose alike at any width.
+PLACE_BITS = U64(32)
 BATCH_WINDOWS = 1 << 20
 
 
@@ -64,7 +66,7 @@ def minimisers(data: np.ndarray, offs: np.ndarray, length: int, gram: int) -> tu
         return none, none, none, none.astype(U64)
     grams = mix(gram_hashes(data, gram, BASES[0]))
     rank = (grams >> PLACE_BITS << PLACE_BITS) | np.arange(len(grams), dtype=U64)
-    place = (sliding_min(rank, length - gram + 1) & ((U64(1) << PLACE_BITS) - U64(1))).astype(np.int32)
+    place = (sliding_min(rank, length - gram + 1) & ((U64(1) << PLACE_BITS) - U64(1))).astype(np.int64)
     upto = np.diff(offs)
     fits = np.maximum(upto - length + 1, 0)
     starts = np.zeros(len(data) + 1, np.int32)
@@ -159,10 +161,12 @@ def repeated(entries: dict[str, np.ndarray], data: np.ndarray, length: int, base
     order = order[count[number] > 1]
     if not len(order):
         return
-    whole = np.stack([hash_slices(data, offs[:-1], entries["length"].astype(np.int64), b)[order] for b in BASES[:2]])
-    _, lead, number = np.unique(whole[0] + mix(whole[1]) * U64(3), return_index=True, return_inverse=True)
+    length_ = entries["length"].astype(np.int64)
+    _, lead, number = np.unique(hash_slices(data, offs[:-1], length_, base)[order], return_index=True, return_inverse=True)
     copy = lead[number] != np.arange(len(order))
     e = order[copy]
+    if not same_bytes(data, offs[:-1][e], length_[e], offs[:-1][order[lead[number]][copy]], length_[order[lead[number]][copy]]):
+        raise Collision
     yield entries["doc"][e], entries["key"][e], entries["start"][e], entries["start"][e] + entries["length"][e]
     order = order[~copy]
     _, number, count = np.unique(entries["minimiser"][order], return_inverse=True, return_counts=True)
@@ -225,19 +229,28 @@ def earlier_strings(documents: DataFrame, length: int, gram: int, buckets: int,
     return sent.repartitionById(buckets, F.col("bucket")).mapInArrow(find, packed.PART)
 
 
+def same_bytes(data: np.ndarray, x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> bool:
+    """Whether each slice of nx bytes at x has the content of that of ny bytes at y."""
+    if not np.array_equal(nx, ny):
+        return False
+    step = (np.cumsum(nx) - 1) // STEP_BYTES  # a few MB at a time
+    edges = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(x)]
+    return all(np.array_equal(packed.take_slices(data, x[a:b], nx[a:b]), packed.take_slices(data, y[a:b], nx[a:b])) for a, b in zip(edges[:-1], edges[1:], strict=True))
+
+
 def same_strings(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """For slices a number each: the same for the same bytes (128 bits decide)."""
-    out = []
-    for base in BASES[:2]:
+    """For slices a number each: the same for the same bytes.  Sums of powers find them, bytes decide."""
+    for base in BASES:
         lift = np.cumprod(np.full(len(data) + 1, base, U64))
         total = np.concatenate([np.zeros(1, U64), np.cumsum((data.astype(U64) + U64(1)) * lift[:-1])])
-        out.append((total[first + size] - total[first]) * lift[len(data) - first])
-    order = np.lexsort((out[1], out[0]))
-    change = np.ones(len(order), bool)
-    change[1:] = (np.diff(out[0][order]) != 0) | (np.diff(out[1][order]) != 0)
-    number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(change)
-    return number
+        print_ = (total[first + size] - total[first]) * lift[len(data) - first]
+        _, lead, number = np.unique(mix(print_ ^ mix(size.astype(U64))), return_index=True, return_inverse=True)
+        copy = np.flatnonzero(lead[number] != np.arange(len(first)))
+        if same_bytes(data, first[copy], size[copy], first[lead[number[copy]]], size[lead[number[copy]]]):
+            return number
+    # texts made to collide: compare them all
+    seen: dict[bytes, int] = {}
+    return np.array([seen.setdefault(data[a : a + n].tobytes(), len(seen)) for a, n in zip(first.tolist(), size.tolist(), strict=True)], np.int64)
 
 
 def suffix_dedup(documents: DataFrame, length: int = 100, gram: int = GRAM, buckets: int | None = None, batch: int = BATCH_WINDOWS, keep_bytes: bool = True) -> DataFrame:

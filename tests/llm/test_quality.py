@@ -44,3 +44,34 @@ def test_filter_keeps_columns_and_good_rows(spark, rows):
 def test_empty_table(spark):
     assert quality_report(spark.createDataFrame([], SCHEMA)).collect() == []
     assert keep_good(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_contents_decide_for_words_made_to_collide(spark):
+    """Two words of 2,048 letters that agree in every polynomial hash modulo 2 ** 64 are two words, two lines and two windows."""
+    from prospectspark.llm.minhash import near_duplicates
+    from prospectspark.llm.substring_dedup import substring_dedup
+    from prospectspark.llm.suffix_dedup import suffix_dedup
+
+    from .data import SCHEMA
+
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    b = "".join("ba"[bin(i).count("1") % 2] for i in range(2048))
+    rest = " ".join(f"w{i}" for i in range(12))
+    one = [(1, f"{a}\n{b}\n{rest}", None, None, 1)]
+    assert quality_report(spark.createDataFrame(one, SCHEMA)).first().n_dup_lines == 0
+    two = spark.createDataFrame([(1, f"{a} {rest}", None, None, 1), (2, f"{b} {rest}", None, None, 1)], SCHEMA)
+    assert {r.doc_id: r.n_removed for r in substring_dedup(two).collect()} == {1: 0, 2: 0}
+    pair = spark.createDataFrame([(1, f"{a} x y", None, None, 1), (2, f"{b} x y", None, None, 1)], SCHEMA)
+    assert {r.component_id for r in near_duplicates(pair, shingle=4).collect()} == {1, 2}
+    # of the two words, what stands at the same place differs everywhere, but parts of one recur in the other
+    text = {1: a, 2: b}
+    seen, want = set(), {}
+    for d in (1, 2):
+        gone = [False] * 2048
+        for i in range(2048 - 99):
+            if text[d][i : i + 100] in seen:
+                gone[i : i + 100] = [True] * 100
+            seen.add(text[d][i : i + 100])
+        want[d] = sum(gone)
+    got = suffix_dedup(spark.createDataFrame([(1, a, None, None, 1), (2, b, None, None, 1)], SCHEMA))
+    assert {r.doc_id: r.n_removed for r in got.collect()} == want
