@@ -111,37 +111,50 @@ def match_exact(ads: DataFrame, companies: DataFrame) -> DataFrame:
     return found.select("refnr", c("id").alias("company_id"), F.lit("exakt").alias("match_stufe"), F.lit(100.0).alias("match_score"), "gf_alter").distinct()
 
 
-def bare(name: str) -> Column:
-    return text.strip_place_tokens(c(name), c("place"))
+def name_parts(names: DataFrame, given: str, out: str) -> DataFrame:
+    """names with the bare name (place tokens left out), its different tokens, their length in one string and a parity bit for each character."""
+    tokens = F.array_distinct(F.split(out, " "))
+    letters = F.filter(F.split(F.array_join(f"{out}_tokens", ""), ""), lambda x: x != "")
+    bits = F.aggregate(letters, F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(x).bitwiseAND(63))))
+    rows = names.withColumn(out, text.strip_place_tokens(c(given), c("place"))).withColumn(f"{out}_tokens", tokens)
+    return rows.withColumn(f"{out}_length", F.length(F.array_join(f"{out}_tokens", " "))).withColumn(f"{out}_bits", bits)
 
 
-def scored(pairs: DataFrame, least: float) -> DataFrame:
-    """pairs with a, b (bare names) and their similarity of at least ``least``; each different pair of names is scored once."""
-    # without a shared token the similarity is at most 100 - 100 * |la - lb| / (la + lb)
-    shares = F.arrays_overlap(F.split("a", " "), F.split("b", " "))
-    close = F.abs(F.length("a") - F.length("b")) * 100 <= (100 - least) * (F.length("a") + F.length("b"))
-    names = pairs.select("a", "b").distinct().filter(shares | close)
-    rated = names.withColumn("score", helpers.token_set_ratio("a", "b")).filter(c("score") >= least)
-    return pairs.join(rated, ["a", "b"])
+def similar_names(ads: DataFrame, companies: DataFrame, block: str, least: int) -> DataFrame:
+    """block, place, employer, company, a, b (bare names), score of the different names of one block whose similarity is at least ``least``.
+
+    Bare names and what bounds their similarity are made once for each name and place.  Two bounds, each lossless, spare most pairs the
+    comparison: characters that stand an odd number of times in only one name each cost one edit, and shared tokens help only if
+    they make up enough of one name.  What is left is scored once for each different pair.
+    """
+    left = name_parts(ads.select(block, "place", "employer").distinct(), "employer", "a")
+    places = ads.select(block, "place").distinct().join(companies.select(block, "company").distinct(), block)
+    right = name_parts(places, "company", "b")
+    both = left.join(right, [block, "place"]).filter("employer <> company")
+    edits = F.bit_count(c("a_bits").bitwiseXOR(c("b_bits"))) * 100 <= (100 - least) * (c("a_length") + c("b_length"))
+    shared = F.length(F.array_join(F.array_intersect("a_tokens", "b_tokens"), " "))
+    enough = lambda n: (c(n) - shared) * 100 <= (100 - least) * (c(n) + shared)
+    possible = both.filter(edits | (F.arrays_overlap("a_tokens", "b_tokens") & (enough("a_length") | enough("b_length")))).select(block, "place", "employer", "company", "a", "b")
+    rated = possible.select("a", "b").distinct().withColumn("score", helpers.token_set_ratio("a", "b")).filter(c("score") >= least)
+    return possible.join(rated, ["a", "b"])
 
 
 def match_fuzzy(ads: DataFrame, companies: DataFrame) -> DataFrame:
     """Similar names in one postal code, place tokens left out; subsets only for review."""
-    pairs = ads.join(companies, "plz").filter("employer <> company").select("refnr", c("id").alias("company_id"), "gf_alter", bare("employer").alias("a"), bare("company").alias("b"))
-    rated = scored(pairs, config.FUZZY_REVIEW)
+    rated = ads.join(similar_names(ads, companies, "plz", config.FUZZY_REVIEW), ["plz", "place", "employer"]).join(companies, ["plz", "company"])
     auto = (c("score") >= config.FUZZY_AUTO) & ~text.is_proper_token_subset(c("a"), c("b"))
-    return rated.select("refnr", "company_id", F.when(auto, "fuzzy").otherwise("fuzzy_grenzfall").alias("match_stufe"), c("score").alias("match_score"), "gf_alter")
+    return rated.select("refnr", c("id").alias("company_id"), F.when(auto, "fuzzy").otherwise("fuzzy_grenzfall").alias("match_stufe"), c("score").alias("match_score"), "gf_alter")
 
 
 def match_region(ads: DataFrame, companies: DataFrame) -> DataFrame:
     """Equal or nearly equal names in one postal region; per region only the advertisement's first place counts."""
     firsts = ads.groupBy("refnr", "employer", "prefix").agg(F.min_by("place", "pos").alias("place"))
     inside = companies.withColumn("prefix", F.substring("plz", 1, config.PREFIX_DIGITS)).drop("plz")
-    pairs = firsts.join(inside, "prefix")
-    equal = pairs.filter("employer = company").select("refnr", c("id").alias("company_id"), F.lit("region").alias("match_stufe"), F.lit(100.0).alias("match_score"), "gf_alter")
-    other = pairs.filter("employer <> company").select("refnr", c("id").alias("company_id"), "gf_alter", bare("employer").alias("a"), bare("company").alias("b"))
-    rated = scored(other, config.REGION_MIN).filter(~text.is_proper_token_subset(c("a"), c("b")))
-    return equal.unionByName(rated.select("refnr", "company_id", F.lit("region").alias("match_stufe"), c("score").alias("match_score"), "gf_alter"))
+    equal = firsts.join(inside, (firsts.prefix == inside.prefix) & (c("employer") == c("company"))).withColumn("score", F.lit(100.0))
+    names = similar_names(firsts, inside, "prefix", config.REGION_MIN).filter(~text.is_proper_token_subset(c("a"), c("b")))
+    near = firsts.join(names, ["prefix", "place", "employer"]).join(inside, ["prefix", "company"])
+    out = ["refnr", c("id").alias("company_id"), F.lit("region").alias("match_stufe"), c("score").alias("match_score"), "gf_alter"]
+    return equal.select(*out).unionByName(near.select(*out))
 
 
 def stage_rank(stage: Column) -> Column:

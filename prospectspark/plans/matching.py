@@ -9,7 +9,7 @@ from .. import config
 from ..functions import text
 from ..operators import signals
 from ..sources.fixtures import fixture
-from .common import Registry, sql_any, sql_norm_company, sql_norm_text
+from .common import Registry, sql_any, sql_bare, sql_norm_company, sql_norm_text, sql_one_decimal, sql_ratio, sql_subset
 
 R = Registry()
 c = F.col
@@ -46,6 +46,16 @@ LOCATED = f"""{LOCS}, f as (select refnr, plz, min(pos) as pos, arg_min({sql_nor
 EXACT = "exact as (select distinct refnr, id as company_id, 'exakt' as match_stufe, 100.0::double as match_score, gf_alter from ads join firms on ads.plz = firms.plz and employer = company where employer <> '')"
 REGION = "region as (select distinct refnr, id as company_id, 'region' as match_stufe, 100.0::double as match_score, gf_alter from ads join firms on ads.prefix = firms.prefix and employer = company where employer <> '')"
 
+PAIRED = f"""fz as (select refnr, id as company_id, gf_alter, {sql_bare('employer', 'place')} as a, {sql_bare('company', 'place')} as b from ads join firms using (plz) where employer <> company and employer <> '' and company <> ''),
+ firsts as (select refnr, employer, prefix, arg_min(place, pos) as place from ads group by all),
+ rg as (select refnr, id as company_id, gf_alter, {sql_bare('employer', 'place')} as a, {sql_bare('company', 'place')} as b from firsts join firms using (prefix) where employer <> company and employer <> '' and company <> ''),
+ names as (select a, b from fz union all select a, b from rg), {sql_ratio('names')},
+ fuzzy as (select refnr, company_id, case when score >= {config.FUZZY_AUTO} and not {sql_subset('a', 'b')} then 'fuzzy' else 'fuzzy_grenzfall' end as match_stufe, score as match_score, gf_alter from fz join ratio using (a, b) where score >= {config.FUZZY_REVIEW}),
+ near as (select * from region union all select refnr, company_id, 'region', score, gf_alter from rg join ratio using (a, b) where score >= {config.REGION_MIN} and not {sql_subset('a', 'b')})"""
+_ORDER = f"case match_stufe {' '.join(f"when '{k}' then {v}" for k, v in config.STAGE_RANK.items())} end"
+BEST = f"""{LOCATED}, {EXACT}, {REGION}, {PAIRED}, every as (select * from exact union all select * from fuzzy union all select * from near),
+ best as (select refnr, company_id, match_stufe, {sql_one_decimal('match_score')} as match_score, gf_alter from (select *, row_number() over (partition by refnr, company_id order by {_ORDER}, match_score desc) as place from every) where place = 1)"""
+
 POSITIVE = [p for _, parts in config.KEYWORD_GROUPS.values() for p in parts]
 NORMED = f"n as (select *, {sql_norm_text('titel')} as title_n, {sql_norm_text('beruf')} as job_n from v_postings)"
 BAD = f"{sql_any('title_n', config.TITLE_EXCLUDE)} or {sql_any('job_n', config.OCCUPATION_EXCLUDE)}"
@@ -112,35 +122,29 @@ def e7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.match_exact(signals.located(postings(spark, sf_dir)), signals.matchable(companies(spark, sf_dir)))
 
 
-@R.add("e8_match_fuzzy")
+@R.add("e8_match_fuzzy", f"with {LOCATED}, {EXACT}, {REGION}, {PAIRED} select * from fuzzy", ("v_postings",))
 def e8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.match_fuzzy(signals.located(postings(spark, sf_dir)), signals.matchable(companies(spark, sf_dir)))
 
 
-@R.add("e9_match_region")
+@R.add("e9_match_region", f"with {LOCATED}, {EXACT}, {REGION}, {PAIRED} select * from near", ("v_postings",))
 def e9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.match_region(signals.located(postings(spark, sf_dir)), signals.matchable(companies(spark, sf_dir)))
 
 
-def equal_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact matches and equal names in the region, before the best is taken."""
-    ads, firms = signals.located(postings(spark, sf_dir)), signals.matchable(companies(spark, sf_dir))
-    inside = firms.withColumn("prefix", F.substring("plz", 1, 3)).drop("plz")
-    region = ads.join(inside, (ads.prefix == inside.prefix) & (c("employer") == c("company"))).select("refnr", c("id").alias("company_id"), F.lit("region").alias("match_stufe"), F.lit(100.0).alias("match_score"), "gf_alter")
-    return signals.match_exact(ads, firms).unionByName(region.distinct())
-
-
-BEST = f"{LOCATED}, {EXACT}, {REGION}, best as (select * from exact union all select * from region where (refnr, company_id) not in (select (refnr, company_id) from exact))"
+def all_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signals.match_postings(postings(spark, sf_dir), companies(spark, sf_dir))
 
 
 @R.add("e10_best_match", f"with {BEST} select * from best", ("v_postings",))
 def e10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.best_match(equal_names(spark, sf_dir))
+    ads, firms = signals.located(postings(spark, sf_dir)), signals.matchable(companies(spark, sf_dir))
+    return signals.best_match(signals.match_exact(ads, firms).unionByName(signals.match_fuzzy(ads, firms)).unionByName(signals.match_region(ads, firms)))
 
 
-@R.add("e10_match_postings")
+@R.add("e10_match_postings", f"with {BEST} select * from best", ("v_postings",))
 def e10_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.match_postings(postings(spark, sf_dir), companies(spark, sf_dir))
+    return all_stages(spark, sf_dir)
 
 
 PRIO = "case when gf_alter is null then 'unbekannt' when gf_alter >= 58 then 'hoch' when gf_alter >= 50 then 'mittel' else 'niedrig' end"
@@ -154,7 +158,7 @@ PRIO = "case when gf_alter is null then 'unbekannt' when gf_alter >= 58 then 'ho
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which companies advertise a leading commercial role, at their place or in their region?"""
     chosen = signals.title_filter(postings(spark, sf_dir)).select("refnr")
-    best = signals.best_match(equal_names(spark, sf_dir)).join(chosen, "refnr", "left_semi")
+    best = all_stages(spark, sf_dir).join(chosen, "refnr", "left_semi")
     return best.withColumn("prio", text.age_priority(c("gf_alter")))
 
 
@@ -181,7 +185,7 @@ def claimed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ("v_matches",),
 )
 def e12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.dedupe_reposts(signals.best_match(equal_names(spark, sf_dir)), postings(spark, sf_dir), claimed(spark, sf_dir))
+    return signals.dedupe_reposts(all_stages(spark, sf_dir), postings(spark, sf_dir), claimed(spark, sf_dir))
 
 
 @R.add(
@@ -207,7 +211,7 @@ STORED = "stored as (select posting_id, company_id, match_stufe, match_score, pr
     ("v_matches",),
 )
 def e14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.insert_matches(fixture(spark, sf_dir, "v_matches"), signals.best_match(equal_names(spark, sf_dir)), fixture(spark, sf_dir, "v_postings"))
+    return signals.insert_matches(fixture(spark, sf_dir, "v_matches"), all_stages(spark, sf_dir), fixture(spark, sf_dir, "v_postings"))
 
 
 @R.add(
@@ -221,40 +225,30 @@ def e14(spark: SparkSession, sf_dir: str) -> DataFrame:
     ("v_matches",),
 )
 def e15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = signals.best_match(equal_names(spark, sf_dir)).join(fixture(spark, sf_dir, "v_postings").select("refnr", "posting_id"), "refnr")
+    wanted = all_stages(spark, sf_dir).join(fixture(spark, sf_dir, "v_postings").select("refnr", "posting_id"), "refnr")
     return signals.reconcile_matches(wanted, fixture(spark, sf_dir, "v_matches"))
 
 
-# the four queries above take equal names only, as their SQL can say no more; these take all stages of match_postings
-
-
-def all_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.match_postings(postings(spark, sf_dir), companies(spark, sf_dir))
-
-
-@R.add("flagship_leading_roles_all_stages")
-def flagship_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = signals.title_filter(postings(spark, sf_dir)).select("refnr")
-    return all_stages(spark, sf_dir).join(chosen, "refnr", "left_semi").withColumn("prio", text.age_priority(c("gf_alter")))
+# second names of queries that once took equal names only
+for _name in ("flagship_leading_roles", "e12_dedupe_reposts", "e14_insert_matches", "e15_reconcile_matches"):
+    R.alias(f"{_name}_all_stages", _name)
 
 
-@R.add("e12_dedupe_reposts_all_stages")
-def e12_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.dedupe_reposts(all_stages(spark, sf_dir), postings(spark, sf_dir), claimed(spark, sf_dir))
-
-
-@R.add("e14_insert_matches_all_stages")
-def e14_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.insert_matches(fixture(spark, sf_dir, "v_matches"), all_stages(spark, sf_dir), fixture(spark, sf_dir, "v_postings"))
-
-
-@R.add("e15_reconcile_matches_all_stages")
-def e15_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = all_stages(spark, sf_dir).join(fixture(spark, sf_dir, "v_postings").select("refnr", "posting_id"), "refnr")
-    return signals.reconcile_matches(wanted, fixture(spark, sf_dir, "v_matches"))
-
-
-@R.add("e15_rematch")
+@R.add(
+    "e15_rematch",
+    f"""with {BEST}, {NORMED}, {KEYS}, held as (select posting_id from v_matches where status is distinct from 'neu' or company_id is null),
+    gone as (select posting_id from n where ({BAD} or not {GOOD}) and posting_id not in (select posting_id from held)),
+    claims as (select employer_key, title_key, company_id from v_matches join keys using (posting_id) where status is distinct from 'neu' and company_id is not null and posting_id not in (select posting_id from gone)),
+    d as (select posting_id, best.*, row_number() over (partition by employer_key, title_key, company_id order by day, refnr) as turn from best join keys using (refnr)
+      where posting_id not in (select posting_id from gone) and (employer_key, title_key, company_id) not in (select (employer_key, title_key, company_id) from claims)),
+    w as (select posting_id, company_id, match_stufe, match_score from d where turn = 1), h as (select * from v_matches where company_id is not null),
+    b as (select coalesce(w.posting_id, h.posting_id) as posting_id, coalesce(w.company_id, h.company_id) as company_id,
+      case when h.match_id is null then 'insert' when h.status = 'neu' and w.posting_id is null then 'delete'
+        when h.status = 'neu' and (h.match_stufe is distinct from w.match_stufe or h.match_score is distinct from w.match_score) then 'update' end as action, w.match_stufe, w.match_score
+      from w full join h on w.posting_id = h.posting_id and w.company_id = h.company_id)
+    select * from b where action is not null union all select posting_id, null, 'delete_posting', null, null from gone""",
+    ("v_matches",),
+)
 def e15_rematch(spark: SparkSession, sf_dir: str) -> DataFrame:
     ads = postings(spark, sf_dir).join(fixture(spark, sf_dir, "v_postings").select("refnr", "posting_id"), "refnr")
     return signals.rematch(ads, fixture(spark, sf_dir, "v_matches"), companies(spark, sf_dir))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import helpers, numbers, text
 from ..sources.fixtures import fixture
-from .common import Registry, sql_any, sql_first, sql_legacy, sql_norm_company, sql_norm_posting, sql_norm_text, sql_norm_ws, sql_number, sql_wz2, sql_wz_code
+from .common import Registry, sql_any, sql_first, sql_legacy, sql_norm_company, sql_norm_posting, sql_norm_text, sql_norm_ws, sql_number, sql_one_decimal, sql_ratio, sql_wz2, sql_wz_code
 
 R = Registry()
 c = F.col
@@ -168,7 +168,7 @@ def name_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.join(right, "plz").select("a", "b").distinct()
 
 
-@R.add("b19_token_set_ratio")
+@R.add("b19_token_set_ratio", f"with {_PAIRS}, {sql_ratio('p')} select p.a, p.b, {sql_one_decimal('score')} as ratio from p join ratio on p.a is not distinct from ratio.a and p.b is not distinct from ratio.b", ("v_postings",))
 def b19(spark: SparkSession, sf_dir: str) -> DataFrame:
     return name_pairs(spark, sf_dir).select("a", "b", helpers.round_score(helpers.token_set_ratio("a", "b")).alias("ratio"))
 
