@@ -53,17 +53,13 @@ def a5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.select_by_id_list(firms, io.read_id_list(spark, path)).select("id", "name")
 
 
-@R.add("a6_write_export", "select cast(id as varchar) as id, name, plz from v_companies where id % 2 = 0", ("v_companies",))
+@R.add("a6_write_export", "select cast(id as varchar) as id, name, plz from v_companies", ("v_companies",))
 def a6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark)
-    io.write_export(fixture(spark, sf_dir, "v_companies").filter("id % 2 = 0"), path, ("id", "name", "plz"), ("name", "id"))
+    io.write_export(fixture(spark, sf_dir, "v_companies"), path, ("id", "name", "plz"), ("name", "id"))
     return io.read_master_csv(spark, path)
 
 
-@R.add("a6_write_export_all", "select cast(id as varchar) as id, name, plz from v_companies", ("v_companies",))
-def a6_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark)
-    io.write_export(fixture(spark, sf_dir, "v_companies"), path, ("id", "name", "plz"), ("name", "id"))
-    return io.read_master_csv(spark, path)
+R.alias("a6_write_export_all", "a6_write_export")  # the second name of a query that once took every other company
 
 

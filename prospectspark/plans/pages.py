@@ -135,38 +135,12 @@ def f8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @R.add(
     "f9_persist_pages",
     f"""with b as (select *, 'u' || (page_id % 120) as u, {STATUS} as fetch_status, {_BODY} as body from v_pages), f as (select * from (select *, row_number() over (partition by company_id, u order by page_id) as k from b) where k = 1),
-    e as (select page_id % 50 as company_id, 'u' || page_id as url, 'old' as page_type, 'fetched' as fetch_status, cast(null as varchar) as text_content from v_pages where page_id < 150)
-    select company_id, coalesce(f.u, e.url) as url, case when f.u is not null then f.page_type else e.page_type end as page_type, case when f.u is not null then f.fetch_status else e.fetch_status end as fetch_status,
-      case when f.u is not null then f.body else e.text_content end as text_content from e full join (select company_id, u, page_type, fetch_status, body from f) f using (company_id) where false
-    union all select company_id, u, page_type, fetch_status, body from f union all select * from e where (company_id, url) not in (select (company_id, u) from f)""",
-    ("v_pages",),
-)
-def f9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = with_body(pages(spark, sf_dir))
-    existing = df.filter("page_id < 150").select((c("page_id") % 50).alias("company_id"), F.concat(F.lit("u"), c("page_id").cast("string")).alias("url"), F.lit("old").alias("page_type"), F.lit("fetched").alias("fetch_status"), F.lit(None).cast("string").alias("text_content"))
-    return web.persist_pages(existing, df.withColumn("url", F.concat(F.lit("u"), (c("page_id") % 120).cast("string"))), "page_id")
-
-
-@R.add(
-    "f10_flag_no_text",
-    f"""with t as (select distinct company_id from v_pages where page_id % 4 = 0 and trim(coalesce({_BODY}, '')) <> '')
-    select id as company_id, case when id % 7 = 0 then 'flagged' else 'to flag' end as state from v_companies where id % 3 <> 0 and id < 200 and id not in (select company_id from t)""",
-    ("v_pages", "v_companies"),
-)
-def f10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    firms = fixture(spark, sf_dir, "v_companies").filter("id < 200").select("id", (c("id") % 3 != 0).alias("reachable"), (c("id") % 7 == 0).alias("no_text_content"))
-    return web.flag_no_text(firms, with_body(pages(spark, sf_dir)).filter("page_id % 4 = 0"))
-
-
-@R.add(
-    "f9_persist_pages_all",
-    f"""with b as (select *, 'u' || (page_id % 120) as u, {STATUS} as fetch_status, {_BODY} as body from v_pages), f as (select * from (select *, row_number() over (partition by company_id, u order by page_id) as k from b) where k = 1),
     e as (select distinct company_id, 'u' || (page_id % 240) as url from v_pages)
     select company_id, u as url, page_type, fetch_status, body as text_content from f
     union all select company_id, url, 'old', 'fetched', null from e where not exists (select 1 from f where f.company_id is not distinct from e.company_id and f.u = e.url)""",
     ("v_pages",),
 )
-def f9_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def f9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored side has pages of all companies, half of them under urls that come again."""
     df = with_body(pages(spark, sf_dir))
     url = lambda n: F.concat(F.lit("u"), (c("page_id") % n).cast("string"))
@@ -175,16 +149,20 @@ def f9_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @R.add(
-    "f10_flag_no_text_all",
+    "f10_flag_no_text",
     f"""with t as (select distinct company_id from v_pages where trim(coalesce({_BODY}, '')) <> '')
     select id as company_id, case when id % 7 = 0 then 'flagged' else 'to flag' end as state from v_companies where id % 3 <> 0 and not exists (select 1 from t where company_id = id)""",
     ("v_pages", "v_companies"),
 )
-def f10_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def f10(spark: SparkSession, sf_dir: str) -> DataFrame:
     firms = fixture(spark, sf_dir, "v_companies").select("id", (c("id") % 3 != 0).alias("reachable"), (c("id") % 7 == 0).alias("no_text_content"))
     return web.flag_no_text(firms, with_body(pages(spark, sf_dir)))
 
 
+for _name in ("f9_persist_pages", "f10_flag_no_text"):  # second names of queries that once took a part of the pages
+    R.alias(f"{_name}_all", _name)
+
+
 _ERRORS = ("SSL: CERTIFICATE_VERIFY_FAILED", "tlsv1 alert", "StreamReset by peer", "ReadTimeout", "[Errno] getaddrinfo failed", "ConnectError", "", "odd")
 _LABELS = ("tls_certificate", "tls", "http2", "timeout", "dns", "connect", "unreachable", "unreachable")
 
