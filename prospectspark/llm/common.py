@@ -34,11 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options or {}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -31,6 +31,8 @@ from .common import WORD, read_table, stored
 
 c = F.col
 
+#: What parts words.
+BLANKS = " \t\n\x0b\x0c\r"
 SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS
 #: Sets that meet by a key are all held against each other up to so many, else against the earliest first.
@@ -42,13 +44,13 @@ LONG = 60
 
 
 def enough(line: Column, min_words: int) -> Column:
-    return F.rlike(line, F.lit(WORD)) if min_words <= 1 else F.regexp_count(line, F.lit(WORD)) >= min_words
+    return F.btrim(line, F.lit(BLANKS)) != "" if min_words <= 1 else F.regexp_count(line, F.lit(WORD)) >= min_words
 
 
 def text_lines(documents: DataFrame, min_words: int) -> DataFrame:
     """doc_id, line_no, line of every line that has enough words; in a line only single blanks part words, which split() finds fastest."""
-    blanks = "\t\x0b\x0c\r"
-    plain = F.when(F.rlike("text", F.lit(r"[\x09\x0B-\x0D]")), F.translate("text", blanks, " " * len(blanks))).otherwise(c("text"))
+    others = "".join(b for b in BLANKS if b not in " \n")
+    plain = F.when(F.rlike("text", F.lit(f"[{others}]")), F.translate("text", others, " " * len(others))).otherwise(c("text"))
     lines = documents.select("doc_id", F.posexplode(F.split(plain, "\n")).alias("line_no", "line"))
     return lines.filter(enough(c("line"), min_words))
 
@@ -133,16 +135,20 @@ def may_match(x: str, y: str, percent: int) -> Column:
 
 
 def candidate_pairs(sets: DataFrame, percent: int, only: DataFrame | None = None) -> DataFrame:
-    """Later and earlier sets (u_doc, u_line, v_doc, v_line) that may be similar, and whether other earlier ones were left out.  only: sets that need all."""
-    rows = sets.select("doc_id", "line_no", c("n").cast("long").alias("n"), "bits", "more", F.posexplode("prefix").alias("i", "key"))
+    """Later and earlier sets (u_doc, u_line, v_doc, v_line) that may be similar.  led_by: the key by which u was held against its earliest set v
+    alone; null where it was held against all.  only: doc_id, line_no, keys of sets that need all by these keys.
+    """
+    prefixes = lambda table: table.select("doc_id", "line_no", c("n").cast("long").alias("n"), "bits", "more", F.posexplode("prefix").alias("i", "key"))
+    rows = prefixes(sets)
     # nothing here is null, but said on both sides alike it lets both sides of the join read one exchange
     rows = rows.filter(" and ".join(f"{c} is not null" for c in rows.columns))
     col = c
     y = rows.alias("y")
     if only is not None:
-        own = sets.join(only.hint("merge"), ["doc_id", "line_no"], "left_semi")
-        x = own.select("doc_id", "line_no", c("n").cast("long").alias("n"), "bits", "more", F.posexplode("prefix").alias("i", "key"), F.lit(False).alias("led")).alias("x")
-        y = rows.filter(one_of(c("key"), x.select("key"))).hint("merge").alias("y")
+        own = sets.filter(one_of(c("doc_id"), only.select("doc_id"))).join(only.hint("merge"), ["doc_id", "line_no"])
+        x = own.select("doc_id", "line_no", c("n").cast("long").alias("n"), "bits", "more", "keys", F.posexplode("prefix").alias("i", "key")).filter(F.array_contains("keys", c("key")))
+        x = x.drop("keys").withColumn("led", F.lit(False)).alias("x")
+        y = rows.filter(one_of(c("key"), only.select(F.explode("keys").alias("key")))).hint("merge").alias("y")
         allowed = F.lit(True)
     else:
         # one evaluation for each key, not for each row
@@ -154,8 +160,9 @@ def candidate_pairs(sets: DataFrame, percent: int, only: DataFrame | None = None
         allowed = ~col("x.led") | ((col("y.doc_id") == col("x.lead_doc_id")) & (col("y.line_no") == col("x.lead_line_no")))
     earlier = (col("y.doc_id") < col("x.doc_id")) | ((col("y.doc_id") == col("x.doc_id")) & (col("y.line_no") < col("x.line_no")))
     pairs = x.join(y, (col("x.key") == col("y.key")) & earlier & allowed & may_match("x.", "y.", percent))
-    names = pairs.select(col("x.doc_id").alias("u_doc"), col("x.line_no").alias("u_line"), col("y.doc_id").alias("v_doc"), col("y.line_no").alias("v_line"), "led")
-    return names.groupBy("u_doc", "u_line", "v_doc", "v_line").agg(F.max("led").alias("led"))
+    return pairs.select(
+        col("x.doc_id").alias("u_doc"), col("x.line_no").alias("u_line"), col("y.doc_id").alias("v_doc"), col("y.line_no").alias("v_line"), F.when(col("x.led"), col("x.key")).alias("led_by")
+    ).distinct()
 
 
 def confirmed(pairs: DataFrame, documents: DataFrame, percent: int, min_words: int) -> DataFrame:
@@ -176,14 +183,18 @@ def confirmed(pairs: DataFrame, documents: DataFrame, percent: int, min_words: i
 def first_lines(documents: DataFrame, percent: int, min_words: int) -> DataFrame:
     """doc_id and kept, the numbers of its lines that no earlier line is similar to; documents with none are left out."""
     documents = documents.filter("doc_id is not null")
-    sets = stored(distinct_sets(text_lines(documents, min_words), percent), "line-prefixes")
+    # keys hardly repeat, so a dictionary of them would be built for nothing
+    sets = stored(distinct_sets(text_lines(documents, min_words), percent), "line-prefixes", {"parquet.enable.dictionary": "false"})
     pairs = stored(candidate_pairs(sets, percent), "line-pairs")
-    removed = stored(confirmed(pairs, documents, percent, min_words), "line-removed")
+    names = ["u_doc", "u_line", "v_doc", "v_line"]
+    led = pairs.filter("led_by is not null")
+    tried = pairs.filter("led_by is null").select(names).unionByName(led.select(names).distinct())
+    removed = stored(confirmed(tried, documents, percent, min_words), "line-removed")
     place = ["doc_id", "line_no"]
-    again = stored(pairs.filter("led").selectExpr("u_doc as doc_id", "u_line as line_no").distinct().join(removed, place, "left_anti"), "line-again")
+    # sets that their earliest ones don't remove are held against all, by the keys by which they were held against those alone
+    again = stored(led.groupBy(c("u_doc").alias("doc_id"), c("u_line").alias("line_no")).agg(F.collect_set("led_by").alias("keys")).join(removed, place, "left_anti"), "line-again")
     if again.limit(1).count():
-        tried = ["u_doc", "u_line", "v_doc", "v_line"]
-        more = stored(candidate_pairs(sets, percent, again).join(pairs.select(tried), tried, "left_anti"), "line-pairs")
+        more = stored(candidate_pairs(sets, percent, again).select(names).join(tried, names, "left_anti"), "line-pairs")
         removed = removed.unionByName(confirmed(more, documents, percent, min_words))
     kept = sets.select(place).join(removed, place, "left_anti")
     return kept.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("kept"))
