@@ -46,10 +46,19 @@ def parse_dossiers(raw: DataFrame, json: str = "dossier_json") -> DataFrame:
     return parsed.select("company_id", "d", F.when(F.coalesce(broken, F.lit(True)), "not a JSON object").alias("error"))
 
 
+def has_source() -> Column:
+    """Only a quote with text and url is evidence."""
+    return (text.collapse(text.text_or_empty(c("zitat"))) != "") & (text.collapse(text.text_or_empty(c("url"))) != "")
+
+
+def evidence_counts(quotes: DataFrame) -> DataFrame:
+    """company_id, n_signals (quotes that are kept) and dropped."""
+    return quotes.groupBy("company_id").agg(F.count_if(has_source()).alias("n_signals"), F.count_if(~has_source()).alias("dropped"))
+
+
 def evidence_rows(quotes: DataFrame) -> DataFrame:
     """Quotes with text and url, a blank type as ``sonstiges``.  quotes: company_id, signal_type, zitat, url."""
-    good = (text.collapse(text.text_or_empty(c("zitat"))) != "") & (text.collapse(text.text_or_empty(c("url"))) != "")
-    return quotes.filter(good).withColumn("signal_type", F.coalesce(F.nullif(F.trim(text.text_or_empty(c("signal_type"))), F.lit("")), F.lit("sonstiges")))
+    return quotes.filter(has_source()).withColumn("signal_type", F.coalesce(F.nullif(F.trim(text.text_or_empty(c("signal_type"))), F.lit("")), F.lit("sonstiges")))
 
 
 def dossier_quotes(dossiers: DataFrame) -> DataFrame:
@@ -110,6 +119,21 @@ def extraction_report(audit: DataFrame) -> DataFrame:
     )
 
 
+def extraction_summary(audit: DataFrame) -> DataFrame:
+    """One row over all calls; sums and averages are over those that succeeded.
+
+    audit: ok, retries, escalated, tokens_in, tokens_out, seconds, filled, quotes, quotes_ok, n_signals, dropped.
+    """
+    done = lambda col: F.when(c("ok"), col)
+    counts = {"succeeded": c("ok"), "failed": ~F.coalesce(c("ok"), F.lit(False)), "repaired": c("ok") & (c("retries") > 0), "escalated": c("ok") & c("escalated")}
+    total = lambda name: F.coalesce(F.sum(done(c(name))), F.lit(0)).alias(name)
+    mean = lambda name: F.round(F.avg(done(c(name))), 6).alias(f"{name}_mean")
+    return audit.agg(
+        F.count("*").alias("n"), *[F.count_if(hit).alias(name) for name, hit in counts.items()], total("tokens_in"), total("tokens_out"), mean("seconds"), mean("filled"), mean("quotes"),
+        F.round(F.sum(done(c("quotes_ok"))) / F.nullif(F.sum(done(c("quotes"))), F.lit(0)), 6).alias("fidelity"), F.count_if(c("ok") & (c("quotes") == 0)).alias("without_quotes"), total("n_signals"), total("dropped"),
+    )
+
+
 def blind_sample(scores: DataFrame, per_cluster: int) -> DataFrame:
     """Scored companies: per cluster the classes A, B, C in turn, each in the order of a hash of the id; a label by the hash's parity."""
     h = F.sha2(c("company_id").cast("string"), 256)

@@ -50,6 +50,14 @@ def latest_by_key(rows: DataFrame, url: str, name: str, order: str) -> DataFrame
     return first_by_key(rows.filter((text.text_or_empty(c(url)) != "") & (text.text_or_empty(c(name)) != "")), [url], [F.desc(order)])
 
 
+def skipped_rows(rows: DataFrame, url: str, name: str) -> DataFrame:
+    """One row: rows read, those without url or name, and those that a later row of their url replaces."""
+    usable = (text.text_or_empty(c(url)) != "") & (text.text_or_empty(c(name)) != "")
+    per = rows.groupBy(usable.alias("usable"), F.when(usable, c(url)).alias("key")).agg(F.count("*").alias("n"))
+    of = lambda col: F.coalesce(F.sum(col), F.lit(0))
+    return per.agg(of(c("n")).alias("n_read"), of(F.when(~c("usable"), c("n"))).alias("skipped"), of(F.when(c("usable"), c("n") - 1)).alias("replaced"))
+
+
 def holding_reason(wz: Column, balance: Column, revenue: Column) -> Column:
     """Why a company looks like a holding, or null."""
     code = text.wz_code(wz)
@@ -142,7 +150,7 @@ def import_report(companies: DataFrame, year: int) -> DataFrame:
     """One row of coverage counts."""
     known = c("gf_geburtsjahr").isNotNull()
     return companies.agg(
-        F.count("*").alias("n"), F.count_if(c("holding_reason").isNotNull()).alias("holding"), F.count_if(c("dup_of").isNotNull()).alias("dup"), F.count("bilanzsumme_eur").alias("with_balance"),
+        F.count("*").alias("n"), F.count_if(c("holding_reason").isNotNull()).alias("holding"), F.count_if(c("dup_of").isNotNull()).alias("dup"), F.count_if(text.text_or_empty(c("website")) != "").alias("with_website"), F.count("bilanzsumme_eur").alias("with_balance"),
         F.count("mitarbeiterzahl").alias("with_staff"), F.count_if(known).alias("with_birth_year"), F.count_if(known & (F.lit(year) - c("gf_geburtsjahr") >= 58)).alias("from_58"),
     )
 

@@ -129,16 +129,25 @@ def criterion_hits(scores: DataFrame) -> DataFrame:
 
 
 def score_report(scores: DataFrame) -> DataFrame:
-    """kind, value, n over class, total and cluster, in one pass."""
-    cols = {"klasse": c("score_klasse"), "score": c("score_total").cast("string"), "cluster": c("cluster_key")}
+    """kind, value, n over class, total, cluster and whether the director's age is known, in one pass."""
+    known = F.when(c("gf_alter").isNotNull(), "bekannt").otherwise("unbekannt")
+    cols = {"klasse": c("score_klasse"), "score": c("score_total").cast("string"), "cluster": c("cluster_key"), "alter": known}
     rows = scores.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in cols.items()])).alias("x")).select("x.*")
     return rows.groupBy("kind", "value").agg(F.count("*").alias("n"))
 
 
+def best_per_class(scores: DataFrame) -> DataFrame:
+    """The best company of each class, the smaller id on a tie: the detailed examples of the report."""
+    cols = [x for x in scores.columns if x != "score_klasse"]
+    best = scores.groupBy("score_klasse").agg(F.min_by(F.struct(*cols), F.struct((-c("score_total")).alias("s"), "company_id")).alias("b"))
+    return best.select("score_klasse", "b.*")
+
+
 def top_per_cluster(scores: DataFrame, k: int) -> DataFrame:
+    """The k best of each cluster key (industry and size band)."""
     from .keyed import Window
 
-    place = F.row_number().over(Window.partitionBy("cluster_branche").orderBy(F.desc("score_total"), "company_id"))
+    place = F.row_number().over(Window.partitionBy("cluster_key").orderBy(F.desc("score_total"), "company_id"))
     return scores.withColumn("place", place).filter(c("place") <= k)
 
 

@@ -151,9 +151,24 @@ def error_label(message: Column) -> Column:
 
 
 def crawl_report(sites: DataFrame) -> DataFrame:
-    """One row over companies (reachable, n_pages, score)."""
+    """One row over companies (reachable, n_pages, key_page: has an about or team page, score: null where unreachable)."""
     reached = c("reachable")
     return sites.agg(
-        F.count("*").alias("n"), F.count_if(reached).alias("reachable"), F.sum(F.when(reached, c("n_pages"))).alias("pages"), F.count_if(reached & (c("n_pages") >= 3)).alias("three_pages"),
+        F.count("*").alias("n"), F.count_if(reached).alias("reachable"), F.sum(F.when(reached, c("n_pages"))).alias("pages"), F.count_if(reached & (c("n_pages") >= 3)).alias("three_pages"), F.count_if(reached & c("key_page")).alias("about_or_team"), F.count_if(reached & c("score").isNull()).alias("without_score"),
         F.round(F.avg("score"), 6).alias("score_mean"), F.percentile("score", 0.5).alias("score_median"),
     )
+
+
+def crawl_counts(sites: DataFrame, page_errors: DataFrame) -> DataFrame:
+    """kind, value, n: reachable companies by number of pages and by score, unreachable ones by error, failed pages of reachable ones by error.
+
+    sites: company_id, reachable, n_pages, score, error (label); page_errors: company_id, error (label), one row for each failed page.
+    """
+    reached, shown = c("reachable"), lambda col: col.cast("string")
+    entry = lambda kind, hit, value: F.when(hit, F.struct(F.lit(kind).alias("kind"), value.alias("value")))
+    entries = F.array(
+        entry("pages", reached, shown(c("n_pages"))), entry("score", reached & c("score").isNotNull(), shown(c("score"))), entry("error", ~reached, F.coalesce(F.nullif("error", F.lit("")), F.lit("unbekannt")))
+    )
+    rows = sites.select(F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("x")).select("x.*")
+    of_pages = page_errors.join(sites.filter(reached).select("company_id"), "company_id", "left_semi").select(F.lit("page_error").alias("kind"), c("error").alias("value"))
+    return rows.unionByName(of_pages).groupBy("kind", "value").agg(F.count("*").alias("n"))

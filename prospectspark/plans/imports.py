@@ -79,6 +79,15 @@ def c3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importing.latest_by_key(fixture(spark, sf_dir, "v_export_rows"), "url", "name", "ord").select("ord", "url", "name")
 
 
+@R.add(
+    "c3_skipped_rows",
+    """select count(*) as n_read, count(*) filter (url = '' or name = '') as skipped, count(*) filter (url <> '' and name <> '') - count(distinct url) filter (url <> '' and name <> '') as replaced from v_export_rows""",
+    ("v_export_rows",),
+)
+def c3_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importing.skipped_rows(fixture(spark, sf_dir, "v_export_rows"), "url", "name")
+
+
 HOLDING = f"""case when starts_with({sql_wz_code('branche_wz')}, '68') or starts_with({sql_wz_code('branche_wz')}, '64.20') or starts_with({sql_wz_code('branche_wz')}, '70.10') then 'wz_' || {sql_wz_code('branche_wz')}
   when bilanzsumme_eur > 1000000 and (umsatz_eur is null or umsatz_eur < bilanzsumme_eur * 0.05::double) then 'bilanz_umsatz_implausibel' end"""
 
@@ -172,7 +181,8 @@ def c11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_holding(importing.mark_duplicates(fixture(spark, sf_dir, "v_companies")))
+    site = F.when(c("id") % 8 != 0, F.concat(F.lit("http://x"), c("id").cast("string")))
+    return with_holding(importing.mark_duplicates(fixture(spark, sf_dir, "v_companies").withColumn("website", site)))
 
 
 REPORTED = f"{DUPS}, reported as (select v_companies.*, dup_of, {HOLDING} as holding_reason from v_companies join dups using (id))"
@@ -180,7 +190,7 @@ REPORTED = f"{DUPS}, reported as (select v_companies.*, dup_of, {HOLDING} as hol
 
 @R.add(
     "c12_import_report",
-    f"""with {REPORTED} select count(*) as n, count(holding_reason) as holding, count(dup_of) as dup, count(bilanzsumme_eur) as with_balance, count(mitarbeiterzahl) as with_staff,
+    f"""with {REPORTED} select count(*) as n, count(holding_reason) as holding, count(dup_of) as dup, count(*) filter (id % 8 <> 0) as with_website, count(bilanzsumme_eur) as with_balance, count(mitarbeiterzahl) as with_staff,
       count(gf_geburtsjahr) as with_birth_year, count(*) filter (2024 - gf_geburtsjahr >= 58) as from_58 from reported""",
     ("v_companies",),
 )

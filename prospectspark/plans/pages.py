@@ -175,14 +175,36 @@ def f12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.add(
     "f13_crawl_report",
-    f"""with {RATED}, s as (select company_id, bool_or(coalesce(error, '') = '') as reachable, count(*) as n_pages, max(score) as score from rated group by 1)
-    select count(*) as n, count(*) filter (reachable) as reachable, cast(sum(n_pages) filter (reachable) as bigint) as pages, count(*) filter (reachable and n_pages >= 3) as three_pages, round(avg(score), 6) as score_mean,
+    f"""with {RATED}, s as (select company_id, bool_or(coalesce(error, '') = '') as reachable, count(*) as n_pages, bool_or(page_type in ('about', 'team')) as key_page, max(score) as score from rated group by 1)
+    select count(*) as n, count(*) filter (reachable) as reachable, cast(sum(n_pages) filter (reachable) as bigint) as pages, count(*) filter (reachable and n_pages >= 3) as three_pages, count(*) filter (reachable and key_page) as about_or_team, count(*) filter (reachable and score is null) as without_score, round(avg(score), 6) as score_mean,
       cast(median(score) as double) as score_median from s""",
     ("v_pages",),
 )
 def f13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = web.modernity_score(sites(spark, sf_dir), YEAR)
-    return web.crawl_report(rated.groupBy("company_id").agg(F.bool_or("reachable").alias("reachable"), F.count("*").alias("n_pages"), F.max("score").alias("score")))
+    return web.crawl_report(
+        rated.groupBy("company_id").agg(F.bool_or("reachable").alias("reachable"), F.count("*").alias("n_pages"), F.bool_or(c("page_type").isin("about", "team")).alias("key_page"), F.max("score").alias("score"))
+    )
+
+
+_SITE = "page_id % 40"
+
+
+@R.add(
+    "f13_crawl_counts",
+    f"""with {RATED}, l as (select *, {_SITE} as site, {sql_list(_LABELS)}[page_id % 8 + 1] as label, page_id % 40 < 4 or coalesce(error, '') <> '' as failed from rated),
+    s as (select site, bool_or(not failed) as reachable, count(*) as n_pages, max(score) filter (not failed) as score, arg_min(label, page_id) as label from l group by 1)
+    select 'pages' as kind, cast(n_pages as varchar) as value, count(*) as n from s where reachable group by 2 union all select 'score', cast(score as varchar), count(*) from s where reachable and score is not null group by 2
+    union all select 'error', label, count(*) from s where not reachable group by 2 union all select 'page_error', l.label, count(*) from l join s using (site) where failed and reachable group by 2""",
+    ("v_pages",),
+)
+def f13_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages dealt over sites, some of which answer nothing."""
+    rated = web.modernity_score(sites(spark, sf_dir), YEAR)
+    message = F.get(F.array(*map(F.lit, _ERRORS)), (c("page_id") % 8).cast("int"))
+    rated = rated.select((c("page_id") % 40).alias("company_id"), "page_id", "score", web.error_label(message).alias("error"), ((c("page_id") % 40 < 4) | ~c("reachable")).alias("failed"))
+    per = rated.groupBy("company_id").agg(F.bool_or(~c("failed")).alias("reachable"), F.count("*").alias("n_pages"), F.max(F.when(~c("failed"), c("score"))).alias("score"), F.min_by("error", "page_id").alias("error"))
+    return web.crawl_counts(per, rated.filter("failed").select("company_id", "error"))
 
 
 @R.add(
@@ -241,6 +263,15 @@ def g4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.evidence_signals(signals, new, new)
 
 
+@R.add(
+    "g4_evidence_counts",
+    """select company_id, count(*) filter (trim(zitat) <> '' and trim(coalesce(url, '')) <> '') as n_signals, count(*) filter (trim(zitat) = '' or trim(coalesce(url, '')) = '') as dropped from v_signals group by 1""",
+    ("v_signals",),
+)
+def g4_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evidence.evidence_counts(fixture(spark, sf_dir, "v_signals"))
+
+
 QUOTES = r"""norm(s) as (select 1), q as (select company_id, trim(regexp_replace(replace(lower(zitat), chr(160), ' '), '\s+', ' ', 'g')) as quote, item_id from v_signals),
  t as (select item_id, trim(regexp_replace(replace(lower(text), chr(160), ' '), '\s+', ' ', 'g')) as body from benchmark)""".replace("norm(s) as (select 1), ", "")
 
@@ -290,6 +321,23 @@ def g7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.extraction_report(audit(spark, sf_dir))
 
 
+@R.add(
+    "g7_extraction_summary",
+    f"""with {AUDIT}, o as (select *, retries > 1 as escalated, quotes + 3 as filled, quotes * 2 as n_signals, quotes // 3 as dropped, retries + 2 as seconds from audit)
+    select count(*) as n, count(*) filter (ok) as succeeded, count(*) filter (not ok) as failed, count(*) filter (ok and retries > 0) as repaired, count(*) filter (ok and escalated) as escalated,
+      cast(sum(tokens) filter (ok) as bigint) as tokens_in, cast(sum(tokens // 4) filter (ok) as bigint) as tokens_out, round(avg(seconds) filter (ok), 6) as seconds_mean, round(avg(filled) filter (ok), 6) as filled_mean,
+      round(avg(quotes) filter (ok), 6) as quotes_mean, round(sum(quotes_ok) filter (ok) / nullif(sum(quotes) filter (ok), 0), 6) as fidelity, count(*) filter (ok and quotes = 0) as without_quotes,
+      cast(sum(n_signals) filter (ok) as bigint) as n_signals, cast(sum(dropped) filter (ok) as bigint) as dropped from o""",
+    ("v_signals",),
+)
+def g7_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = audit(spark, sf_dir).select(
+        "ok", "retries", "quotes", "quotes_ok", (c("retries") > 1).alias("escalated"), (c("quotes") + 3).alias("filled"), (c("quotes") * 2).alias("n_signals"), F.expr("quotes div 3").alias("dropped"),
+        (c("retries") + 2).alias("seconds"), c("tokens").alias("tokens_in"), F.expr("tokens div 4").alias("tokens_out"),
+    )
+    return evidence.extraction_summary(rows)
+
+
 @R.add(
     "g9_blind_sample",
     f"""with {SCORES}, s as (select *, sha256(cast(company_id as varchar)) as h from scored where score_klasse in ('A', 'B', 'C')), u as (select *, row_number() over (partition by cluster_branche, score_klasse order by h) as turn from s),

@@ -111,7 +111,8 @@ def h6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @R.add(
     "h6_score_report",
     f"""with {SCORES} select 'klasse' as kind, score_klasse as value, count(*) as n from scored group by 2 union all select 'score', cast(score_total as varchar), count(*) from scored group by 2
-    union all select 'cluster', cluster_key, count(*) from scored group by 2""",
+    union all select 'cluster', cluster_key, count(*) from scored group by 2
+    union all select 'alter', case when age is not null then 'bekannt' else 'unbekannt' end, count(*) from scored group by 2""",
     VIEWS,
 )
 def h6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,11 +121,16 @@ def h6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.add(
     "h7_top_per_cluster",
-    f"with {SCORES}, p as (select *, row_number() over (partition by cluster_branche order by score_total desc, company_id) as place from scored) select cluster_branche, place, company_id, score_total from p where place <= 5",
+    f"with {SCORES}, p as (select *, row_number() over (partition by cluster_key order by score_total desc, company_id) as place from scored) select cluster_key, place, company_id, score_total from p where place <= 5",
     VIEWS,
 )
 def h7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.top_per_cluster(scores(spark, sf_dir), 5).select("cluster_branche", "place", "company_id", "score_total")
+    return scoring.top_per_cluster(scores(spark, sf_dir), 5).select("cluster_key", "place", "company_id", "score_total")
+
+
+@R.add("h7_best_per_class", f"with {SCORES} select score_klasse, arg_min(company_id, (-score_total, company_id)) as company_id, max(score_total) as score_total, arg_min(cluster_key, (-score_total, company_id)) as cluster_key from scored group by 1", VIEWS)
+def h7_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.best_per_class(scores(spark, sf_dir)).select("score_klasse", "company_id", "score_total", "cluster_key")
 
 
 @R.add(

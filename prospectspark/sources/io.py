@@ -10,9 +10,18 @@ from pyspark.sql import functions as F
 
 
 def read_search_exports(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Semicolon-separated Latin-1 exports, all strings, with file name and row order for "the first wins"."""
-    rows = spark.read.csv(paths if isinstance(paths, str) else list(paths), sep=";", encoding="ISO-8859-1", header=True, mode="PERMISSIVE")
-    return rows.select("*", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("ord"))
+    """Semicolon-separated Latin-1 exports, all strings, with file name and ord for "the first wins": place of the file in the given list, path, row.
+
+    Spark deals files over tasks by size, so a row number alone would not follow the given order.
+    """
+    given = [paths] if isinstance(paths, str) else list(paths)
+    rows = spark.read.csv(given, sep=";", encoding="ISO-8859-1", header=True, mode="PERMISSIVE")
+    path = F.col("_metadata.file_path")
+    plain = F.replace(path, F.lit("%20"), F.lit(" "))
+    under = lambda p: F.endswith(plain, F.lit(p)) | F.contains(plain, F.lit(p.rstrip("/") + "/"))
+    place = F.coalesce(*[F.when(under(p), i) for i, p in enumerate(given)], F.lit(len(given)))
+    order = F.struct(place.alias("place"), path.alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    return rows.select("*", F.col("_metadata.file_name").alias("file"), order.alias("ord"))
 
 
 def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
