@@ -292,14 +292,16 @@ def match_sample(matches: DataFrame, n: int) -> DataFrame:
 def open_reposts(postings: DataFrame, matches: DataFrame, group: str) -> DataFrame:
     """Advertisements without any match, of one keyword group, bundled by employer and title.
 
-    The last group also takes keywords that belong to none.
+    The last group also takes keywords that belong to none.  places: the bundle's postal codes and places, sorted; place_label: the only one, else how many and the first.
     """
     own = group_of(c("keyword"))
     inside = F.coalesce(own == group, F.lit(group == list(config.KEYWORD_GROUPS)[-1]))
     free = postings.join(matches.select("posting_id").distinct(), "posting_id", "left_anti").filter(inside)
-    keyed = free.select("posting_id", "refnr", "ort", text.norm_company(c("arbeitgeber")).alias("employer_key"), text.norm_text(c("titel")).alias("title_key"), F.coalesce(c("veroeffentlicht_am").cast("string"), F.lit("9999")).alias("day"))
-    places = F.sort_array(F.collect_set(truthy(c("ort"))))
-    return keyed.groupBy("employer_key", "title_key").agg(F.min_by("refnr", F.struct("day", "refnr")).alias("refnr"), F.count("*").alias("n"), F.array_join(places, ", ").alias("places"))
+    keyed = free.select("posting_id", "refnr", F.trim(F.concat(text.text_or_empty(c("plz")), F.lit(" "), text.text_or_empty(c("ort")))).alias("place"), text.norm_company(c("arbeitgeber")).alias("employer_key"), text.norm_text(c("titel")).alias("title_key"), F.coalesce(c("veroeffentlicht_am").cast("string"), F.lit("9999")).alias("day"))
+    bundles = keyed.groupBy("employer_key", "title_key").agg(F.min_by("refnr", F.struct("day", "refnr")).alias("refnr"), F.count("*").alias("n"), F.sort_array(F.collect_set("place")).alias("p"))
+    first, several = F.get("p", F.lit(0)), F.size("p") > 1
+    label = F.when(several, F.concat(F.size("p").cast("string"), F.lit(" Orte: "), first, F.lit(" …"))).otherwise(first)
+    return bundles.select("employer_key", "title_key", "refnr", "n", F.array_join("p", ", ").alias("places"), label.alias("place_label"))
 
 
 def external_leads(decisions: DataFrame, members: DataFrame) -> DataFrame:

@@ -300,8 +300,9 @@ _KFM = ", ".join(repr(w) for w in config.KEYWORD_GROUPS["kfm_ltg"][0])
 
 @R.add(
     "e19_open_reposts",
-    f"""with {KEYS}, o as (select k.*, ort from keys k join v_postings p using (posting_id) where posting_id not in (select posting_id from v_matches) and keyword not in ({_KFM}))
-    select employer_key, title_key, arg_min(refnr, (day, refnr)) as refnr, count(*) as n, array_to_string(list_sort(list(distinct ort)), ', ') as places from o group by 1, 2""",
+    f"""with {KEYS}, o as (select k.*, trim(coalesce(p.plz, '') || ' ' || coalesce(ort, '')) as place from keys k join v_postings p using (posting_id) where posting_id not in (select posting_id from v_matches) and keyword not in ({_KFM})),
+    b as (select employer_key, title_key, arg_min(refnr, (day, refnr)) as refnr, count(*) as n, list_sort(list(distinct place)) as p from o group by 1, 2)
+    select employer_key, title_key, refnr, n, array_to_string(p, ', ') as places, case when len(p) > 1 then len(p) || ' Orte: ' || p[1] || ' …' else p[1] end as place_label from b""",
     ("v_matches",),
 )
 def e19(spark: SparkSession, sf_dir: str) -> DataFrame:
