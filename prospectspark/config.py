@@ -81,6 +81,25 @@ AFFINITY = {
     "mittel": ("35", "36", "37", "38", "39", "49", "50", "51", "52", "53", "58", "59", "60", "68", "71", "72", "75", "77", "79", "82", "85", "86", "87", "88", "90", "91", "92", "93"),
     "nah": ("61", "62", "63", "64", "65", "66", "69", "70", "73", "74", "78"),
 }
+#: Regions by the first two digits of the postal code; any other shows the digits.
+REGION_LABELS = {
+    "50": "Köln/Rhein-Erft",
+    "51": "Köln/Leverkusen",
+    "53": "Bonn/Rhein-Sieg",
+    "52": "Aachen/Düren",
+    "40": "Düsseldorf",
+    "41": "Mönchengladbach",
+    "42": "Wuppertal",
+    "44": "Dortmund",
+    "45": "Essen/Ruhr",
+    "46": "Oberhausen/Niederrhein",
+    "47": "Duisburg/Krefeld",
+    "48": "Münster",
+    "33": "Bielefeld",
+    "57": "Siegen",
+    "58": "Hagen",
+    "59": "Hamm/Soest",
+}
 CONSULTANT_WZ = ("69", "70", "73", "74", "78")
 
 #: Website rating: substrings by what they show.

@@ -42,25 +42,46 @@ def first_evidence(signals: DataFrame) -> DataFrame:
     )
 
 
-def curation_frame(scores: DataFrame, companies: DataFrame, signals: DataFrame, handover: DataFrame) -> DataFrame:
-    """Scored companies that are open, with labels, flags and their evidence as an array."""
+def region_label(plz2: Column) -> Column:
+    """A region's name, its two digits where it has none, ? without a postal code."""
+    names = F.create_map(*[F.lit(x) for pair in config.REGION_LABELS.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, plz2), F.nullif(plz2, F.lit("")), F.lit("?"))
+
+
+def curation_frame(scores: DataFrame, companies: DataFrame, signals: DataFrame, handover: DataFrame, dossiers: DataFrame, people: DataFrame) -> DataFrame:
+    """Scored companies that are open, with labels, flags, their dossier's main fields, their evidence and their people.
+
+    companies: with holding_reason, dup_of and excluded; handover: key, handover; dossiers: company_id, d (parsed); people: key, people.
+    Evidence is an array sorted by type; people are an array, the oldest first; both are empty where nothing is known.
+    """
     evidence = first_evidence(signals).groupBy("company_id").agg(F.sort_array(F.collect_list(F.struct("signal_type", "zitat", "url"))).alias("evidence"))
-    firms = companies.filter(c("holding_reason").isNull() & c("dup_of").isNull()).withColumnRenamed("id", "company_id").withColumn("key", text.company_key(c("name"), c("plz")))
-    rows = scores.select("company_id", "score_klasse", "score_total", "cluster_branche", "gf_alter").join(firms.drop("gf_alter"), "company_id").join(handover, "key", "left").join(evidence, "company_id", "left")
-    code = industry_code(c("branche_wz"))
+    firms = companies.filter(c("holding_reason").isNull() & c("dup_of").isNull() & ~F.coalesce("excluded", F.lit(False))).withColumnRenamed("id", "company_id").withColumn("key", text.company_key(c("name"), c("plz")))
+    rows = scores.select("company_id", "score_klasse", "score_total", "cluster_branche", "gf_alter").join(firms.drop("gf_alter"), "company_id").join(dossiers.select("company_id", "d"), "company_id", "left")
+    rows = rows.join(handover, "key", "left").join(people, "key", "left").join(evidence, "company_id", "left")
+    code, plz2 = industry_code(c("branche_wz")), F.regexp_extract(F.trim(text.text_or_empty(c("plz"))), r"^(\d\d)", 1)
     kilo = lambda x: F.bround(x / 1000).cast("long")
+    yes = lambda col: F.coalesce(col, F.lit(False))
+    none = lambda name: F.coalesce(c(name), F.array().cast(rows.schema[name].dataType)).alias(name)
+    pain = F.create_map(*[F.lit(x) for pair in config.PAIN_POINTS.items() for x in pair])
     return rows.select(
-        "company_id", "name", "plz", "ort", F.regexp_extract(text.text_or_empty(c("plz")), r"^(\d\d)", 1).alias("plz2"), affinity(code).alias("affinity"), is_consultant(code).alias("consultant"), c("cluster_branche").alias("cluster"),
-        c("score_klasse").alias("klasse"), c("score_total").alias("score"), "gf_alter", F.coalesce("handover", F.lit(False)).alias("handover"), kilo(c("umsatz_eur")).alias("revenue_k"), kilo(c("bilanzsumme_eur")).alias("balance_k"),
-        F.coalesce(F.size("evidence"), F.lit(0)).alias("n_evidence"),
+        "company_id", "name", "plz", "ort", plz2.alias("plz2"), region_label(plz2).alias("region"), affinity(code).alias("affinity"), is_consultant(code).alias("consultant"), c("cluster_branche").alias("cluster"),
+        c("score_klasse").alias("klasse"), c("score_total").alias("score"), "gf_alter", yes(c("handover")).alias("handover"), kilo(c("umsatz_eur")).alias("revenue_k"), kilo(c("bilanzsumme_eur")).alias("balance_k"),
+        yes(c("d.familienunternehmen.hinweis")).alias("family"), yes(c("d.nachfolge_intern_geregelt")).alias("settled"), text.text_or_empty(c("d.naechste_generation")).alias("next_generation"),
+        F.array_join(F.coalesce("d.nachfolge_signale", F.array().cast("array<string>")), "; ").alias("succession_signs"), text.text_or_empty(c("d.geschaeftsmodell")).alias("business_model"),
+        c("d.fuehrungsstruktur.kaufmaennische_funktion_besetzt").alias("commercial_role_filled"), c("d.fuehrungsstruktur.zweite_ebene_sichtbar").alias("second_level"),
+        F.coalesce("d.karriere.kaufm_stellen", F.array().cast("array<string>")).alias("commercial_jobs"), F.coalesce("d.ansprache_hooks", F.array().cast("array<string>")).alias("hooks"),
+        text.text_or_empty(F.try_element_at(pain, c("cluster_branche"))).alias("pain_point"), none("people"), none("evidence"), F.coalesce(F.size("evidence"), F.lit(0)).alias("n_evidence"),
     )
 
 
 def curation_filter(
-    frame: DataFrame, *, plz2: Sequence[str] | None = None, affinity: Sequence[str] | None = None, clusters: Sequence[str] | None = None, without_consultants: bool = True, classes: Sequence[str] = ("A", "B"), show_handover: bool = False,
-    min_age: int = 58, unknown_age: bool = False, balance_k: tuple[int, int] | None = None, unknown_size: bool = True, search: str = "", reviews: DataFrame | None = None, review_status: str = "alle", leads_only: bool = False,
+    frame: DataFrame, *, plz2: Sequence[str] | None = None, affinity: Sequence[str] | None = None, clusters: Sequence[str] | None = None, without_consultants: bool = True, classes: Sequence[str] = ("A", "B"), show_settled: bool = False,
+    min_age: int = 58, unknown_age: bool = False, revenue_k: tuple[int, int] | None = None, balance_k: tuple[int, int] | None = None, unknown_size: bool = True, search: str = "", reviews: DataFrame | None = None, review_status: str = "alle", leads_only: bool = False,
 ) -> DataFrame:
-    """The rows that pass every mask, sorted by class, falling score and age.  What is unknown only passes where it is asked for."""
+    """The rows that pass every mask, sorted by class, falling score and age.  What is unknown only passes where it is asked for.
+
+    A succession that is settled (so says the dossier, or the generations have changed) hides a company, or shows it beside the classes.
+    """
     no = lambda mask: F.coalesce(mask, F.lit(False))
     rows = frame
     for col, values in (("plz2", plz2), ("affinity", affinity), ("cluster", clusters)):
@@ -68,11 +89,12 @@ def curation_filter(
             rows = rows.filter(c(col).isin(*values))
     if without_consultants:
         rows = rows.filter(~c("consultant"))
-    of_class = c("klasse").isin(*classes)
-    rows = rows.filter(of_class | c("handover") if show_handover else of_class & ~c("handover"))
+    of_class, settled = c("klasse").isin(*classes), c("settled") | c("handover")
+    rows = rows.filter(of_class | settled if show_settled else of_class & ~settled)
     rows = rows.filter(no(c("gf_alter") >= min_age) | (F.lit(unknown_age) & c("gf_alter").isNull()))
-    if balance_k:
-        rows = rows.filter(no(c("balance_k").between(*balance_k)) | (F.lit(unknown_size) & c("balance_k").isNull()))
+    for col, limits in (("revenue_k", revenue_k), ("balance_k", balance_k)):
+        if limits:
+            rows = rows.filter(no(c(col).between(*limits)) | (F.lit(unknown_size) & c(col).isNull()))
     if search.strip():
         word = F.lit(search.strip().lower())
         rows = rows.filter(F.contains(F.lower("name"), word) | no(F.contains(F.lower("ort"), word)))

@@ -10,19 +10,59 @@ from ..functions import text
 
 c = F.col
 
-DOSSIER = (
-    "struct<geschaeftsmodell: string, kundentyp: string, gruendungsjahr: int, nachfolge_signale: array<string>, naechste_generation: string, nachfolge_intern_geregelt: boolean, ansprache_hooks: array<string>,"
-    " familienunternehmen: struct<hinweis: boolean, generation: string, beleg: string>,"
-    " fuehrungsstruktur: struct<gf_auf_website: array<string>, zweite_ebene_sichtbar: boolean, kaufmaennische_funktion_besetzt: boolean>,"
-    " karriere: struct<offene_stellen: array<string>, kaufm_stellen: array<string>, stand: string>,"
-    " negativ_filter: struct<insolvenz_hinweis: boolean, tochter_eines_konzerns: boolean, reiner_onlineshop: boolean>,"
-    " belege: array<struct<signal_type: string, aussage: string, zitat: string, quelle_url: string>>>"
+#: The dossier as it is stored; numbers and truth values as text, since models write them as strings too.
+STORED = (
+    "struct<geschaeftsmodell: string, produkte_leistungen: array<string>, kundentyp: string, gruendungsjahr: string, familienunternehmen: struct<hinweis: string, generation: string, beleg: string>,"
+    " fuehrungsstruktur: struct<gf_auf_website: array<string>, zweite_ebene_sichtbar: string, kaufmaennische_funktion_besetzt: string>,"
+    " karriere: struct<offene_stellen: array<string>, kaufm_stellen: array<string>, stand: string>, nachfolge_signale: array<string>, nachfolge_intern_geregelt: string, naechste_generation: string,"
+    " digitalisierung: string, besonderheiten: string, tonalitaet_website: string, ansprache_hooks: array<string>, negativ_filter: struct<insolvenz_hinweis: string, reiner_onlineshop: string, tochter_eines_konzerns: string>,"
+    " belege: array<struct<signal_type: string, aussage: string, zitat: string, quelle_url: string>>, konfidenz: string>"
 )
 
 
+def truth(value: Column) -> Column:
+    """true or false in any usual spelling, else null."""
+    word = F.lower(F.trim(value))
+    return F.when(word.isin("true", "t", "yes", "y", "on", "1"), True).when(word.isin("false", "f", "no", "n", "off", "0"), False)
+
+
+def whole_number(value: Column) -> Column:
+    return F.regexp_extract(value, r"^\s*([+-]?\d{1,9})(\.0*)?\s*$", 1).try_cast("int")
+
+
 def parse_dossier(json: Column) -> Column:
-    """The dossier as a struct; a field that is missing is null, text that isn't JSON gives a null struct."""
-    return F.from_json(json, DOSSIER)
+    """The dossier as a struct of 17 fields: numbers and truth values may be strings; a missing list is empty, a missing text of the business model
+    '', a missing hint false, a missing struct holds such defaults; what may be unknown is null.  Text that isn't JSON gives the defaults, null gives null."""
+    parsed = F.from_json(json, STORED, {"mode": "PERMISSIVE"})
+
+    def filled(d: Column) -> Column:
+        texts = lambda col: F.coalesce(col, F.array().cast("array<string>"))
+        hint = lambda col: F.coalesce(truth(col), F.lit(False))
+        family, lead, jobs, against = d["familienunternehmen"], d["fuehrungsstruktur"], d["karriere"], d["negativ_filter"]
+        fields = {
+            "geschaeftsmodell": F.coalesce(d["geschaeftsmodell"], F.lit("")),
+            "produkte_leistungen": texts(d["produkte_leistungen"]),
+            "kundentyp": d["kundentyp"],
+            "gruendungsjahr": whole_number(d["gruendungsjahr"]),
+            "familienunternehmen": F.struct(hint(family["hinweis"]).alias("hinweis"), family["generation"].alias("generation"), family["beleg"].alias("beleg")),
+            "fuehrungsstruktur": F.struct(
+                texts(lead["gf_auf_website"]).alias("gf_auf_website"), truth(lead["zweite_ebene_sichtbar"]).alias("zweite_ebene_sichtbar"), truth(lead["kaufmaennische_funktion_besetzt"]).alias("kaufmaennische_funktion_besetzt")
+            ),
+            "karriere": F.struct(texts(jobs["offene_stellen"]).alias("offene_stellen"), texts(jobs["kaufm_stellen"]).alias("kaufm_stellen"), jobs["stand"].alias("stand")),
+            "nachfolge_signale": texts(d["nachfolge_signale"]),
+            "nachfolge_intern_geregelt": hint(d["nachfolge_intern_geregelt"]),
+            "naechste_generation": d["naechste_generation"],
+            "digitalisierung": d["digitalisierung"],
+            "besonderheiten": d["besonderheiten"],
+            "tonalitaet_website": d["tonalitaet_website"],
+            "ansprache_hooks": texts(d["ansprache_hooks"]),
+            "negativ_filter": F.struct(*[hint(against[n]).alias(n) for n in ("insolvenz_hinweis", "reiner_onlineshop", "tochter_eines_konzerns")]),
+            "belege": F.coalesce(d["belege"], F.array().cast("array<struct<signal_type: string, aussage: string, zitat: string, quelle_url: string>>")),
+            "konfidenz": d["konfidenz"],
+        }
+        return F.when(d.isNotNull(), F.struct(*[v.alias(k) for k, v in fields.items()]))
+
+    return F.get(F.transform(F.array(parsed), filled), 0)  # the text is parsed once, not once for each field
 
 
 def director_age(year: int) -> Column:
@@ -33,6 +73,29 @@ def yes(col: Column) -> Column:
     return F.coalesce(col, F.lit(False))
 
 
+def plain(number: Column) -> Column:
+    """A number without trailing zeros or exponent."""
+    return F.regexp_replace(number.cast("decimal(20,4)").cast("string"), r"\.?0+$", "")
+
+
+def criterion_values(year: int) -> dict[str, Column]:
+    """What a criterion was judged by, as text, where there is more to say than its hit."""
+    balance, age, settled, jobs = c("bilanzsumme_eur"), director_age(year), yes(c("d.nachfolge_intern_geregelt")), c("d.karriere.kaufm_stellen")
+    source = F.when(F.nullif(c("gf_geburtsjahr"), F.lit(0)).isNotNull(), " (geburtsjahr)").otherwise(" (import)")
+    note = F.when((age >= 58) & settled, " — neutralisiert: Nachfolge intern geregelt").otherwise("")
+    return {
+        "bilanzsumme_band": F.when(balance.isNull(), "—").otherwise(F.concat(plain(balance), F.lit(" EUR, EK "), F.coalesce(plain(c("ek_quote_pct")), F.lit("—")), F.lit(" %"))),
+        "mitarbeiter_band": c("mitarbeiterzahl").cast("string"),
+        "gewinn_cagr_positiv": plain(c("gewinn_cagr_pct")),
+        "fokus_wz": text.wz2(c("branche_wz")),
+        "gf_alter_min": F.when(age.isNull(), "unbekannt").otherwise(F.concat(age.cast("string"), source, note)),
+        "familienhinweis": c("d.familienunternehmen.generation"),
+        "nur_ein_gf": c("anzahl_gf").cast("string"),
+        "nachfolge_intern_geregelt": F.coalesce(F.nullif(c("d.naechste_generation"), F.lit("")), F.when(settled, "ja")),
+        "offene_kaufm_stelle": F.nullif(F.substring(F.array_join(jobs, "; "), 1, 80), F.lit("")),
+    }
+
+
 def criteria(year: int) -> dict[str, dict[str, tuple[Column, int]]]:
     """group: criterion: (hit, points).  Needs a company's columns, ``d`` (its dossier) and ``handover``."""
     balance, equity, staff, age = c("bilanzsumme_eur"), c("ek_quote_pct"), c("mitarbeiterzahl"), director_age(year)
@@ -76,15 +139,16 @@ def score_class(total: Column, knocked_out: Column) -> Column:
 
 
 def score_companies(companies: DataFrame, dossiers: DataFrame, handover: DataFrame, year: int) -> DataFrame:
-    """company_id, breakdown (group, criterion: hit and points), total, class and cluster of each company with a dossier.
+    """company_id, breakdown (group, criterion: hit, points and the value judged), total, class and cluster of each company with a dossier.
 
     companies: with holding_reason and gf_alter; dossiers: company_id, dossier_json; handover: key, handover.
     """
     rows = dossiers.select(c("company_id").alias("id"), parse_dossier(c("dossier_json")).alias("d")).join(companies, "id")
     rows = rows.withColumn("key", text.company_key(c("name"), c("plz"))).join(handover, "key", "left").drop("key")
     groups = criteria(year)
-    entry = lambda hit, points: F.struct(yes(hit).alias("hit"), F.when(yes(hit), points).otherwise(0).alias("punkte"))
-    breakdown = F.struct(*[F.struct(*[entry(*rule).alias(name) for name, rule in rules.items()]).alias(group) for group, rules in groups.items()])
+    values, unsaid = criterion_values(year), F.lit(None).cast("string")
+    entry = lambda name, hit, points: F.struct(yes(hit).alias("hit"), F.when(yes(hit), points).otherwise(0).alias("punkte"), values.get(name, unsaid).alias("wert")).alias(name)
+    breakdown = F.struct(*[F.struct(*[entry(name, *rule) for name, rule in rules.items()]).alias(group) for group, rules in groups.items()])
     rows = rows.withColumn("breakdown", breakdown)
     total = sum((c(f"breakdown.{group}.{name}.punkte") for group, rules in groups.items() for name in rules), F.lit(0))
     out = F.lit(False)

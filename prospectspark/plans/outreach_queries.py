@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..operators import importing, integrity, outreach
+from ..operators import evidence, importing, integrity, outreach
 from ..sources.fixtures import fixture, table
 from ..sources.io import scratch_folder
 from ..streaming import streams
 from .common import Registry, sql_legacy
-from .imports import COMPANY_KEY, HANDOVER, HOLDING, with_holding
+from .imports import BIRTH, COMPANY_KEY, HANDOVER, HOLDING, PERSON_KEY, with_holding
 from .scores import SCORES, VIEWS, scores
 
 R = Registry()
@@ -30,20 +30,33 @@ def i1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    firms = with_holding(fixture(spark, sf_dir, "v_companies")).withColumn("dup_of", F.lit(None).cast("long"))
-    handover = importing.handover_flag(fixture(spark, sf_dir, "v_persons"), 2024)
-    return outreach.curation_frame(scores(spark, sf_dir), firms, fixture(spark, sf_dir, "v_signals"), handover)
+    firms = with_holding(fixture(spark, sf_dir, "v_companies")).withColumn("dup_of", F.lit(None).cast("long")).withColumn("excluded", c("id") % 31 == 0)
+    persons = fixture(spark, sf_dir, "v_persons")
+    handover, people = importing.handover_flag(persons, 2024), importing.persons_by_company(persons, 2024, "ord")
+    dossiers = evidence.parse_dossiers(fixture(spark, sf_dir, "v_dossiers"))
+    return outreach.curation_frame(scores(spark, sf_dir), firms, fixture(spark, sf_dir, "v_signals"), handover, dossiers, people)
 
 
-EVIDENCE = "ev as (select company_id, count(distinct coalesce(nullif(signal_type, ''), 'sonstiges')) as n_evidence from v_signals group by 1)"
-FRAME = rf"""{SCORES}, {EVIDENCE}, frame as (select s.company_id, s.name, s.plz, s.ort, regexp_extract(s.plz, '^(\d\d)', 1) as plz2, {_AFFINITY} as affinity, {_CONSULT} as consultant, cluster_branche as cluster, score_klasse as klasse,
-  score_total as score, age as gf_alter, ho as handover, cast(round_even(umsatz_eur / 1000, 0) as bigint) as revenue_k, cast(round_even(bilanzsumme_eur / 1000, 0) as bigint) as balance_k, cast(coalesce(n_evidence, 0) as int) as n_evidence
-  from scored s left join ev using (company_id) where holding_reason is null)"""
+EVIDENCE = """e0 as (select *, coalesce(nullif(signal_type, ''), 'sonstiges') as st from v_signals), e1 as (select *, row_number() over (partition by company_id, st order by signal_id) as k from e0),
+ev as (select company_id, cast(count(*) as int) as n_evidence, string_agg(st || '|' || trim(coalesce(zitat, '')) || '|' || coalesce(url, ''), ';' order by st) as evidence from e1 where k = 1 group by 1)"""
+PEOPLE = f"""p0 as (select {PERSON_KEY} as key, 2024 - ({BIRTH}) as age, ord, trim(gf_vorname || ' ' || gf_nachname) as person from v_persons),
+pp as (select key, string_agg(person || '/' || coalesce(cast(age as varchar), '?'), ';' order by -coalesce(age, -1), ord) as people from p0 group by key)"""
+_REGION = "case regexp_extract(s.plz, '^(\\d\\d)', 1) " + " ".join(f"when '{k}' then '{v}'" for k, v in config.REGION_LABELS.items()) + " else coalesce(nullif(regexp_extract(s.plz, '^(\\d\\d)', 1), ''), '?') end"
+_PAIN = "case cluster_branche " + " ".join(f"when '{k}' then '{v}'" for k, v in config.PAIN_POINTS.items()) + " else '' end"
+FRAME = rf"""{SCORES}, {EVIDENCE}, {PEOPLE}, frame as (select s.company_id, s.name, s.plz, s.ort, regexp_extract(s.plz, '^(\d\d)', 1) as plz2, {_REGION} as region, {_AFFINITY} as affinity, {_CONSULT} as consultant, cluster_branche as cluster,
+  score_klasse as klasse, score_total as score, age as gf_alter, ho as handover, cast(round_even(umsatz_eur / 1000, 0) as bigint) as revenue_k, cast(round_even(bilanzsumme_eur / 1000, 0) as bigint) as balance_k,
+  k7 as family, k9 as settled, coalesce(json_extract_string(dossier_json, '$.naechste_generation'), '') as next_generation, coalesce(array_to_string(from_json(json_extract(dossier_json, '$.nachfolge_signale'), '["VARCHAR"]'), '; '), '') as succession_signs,
+  coalesce(json_extract_string(dossier_json, '$.geschaeftsmodell'), '') as business_model, cast(json_extract_string(dossier_json, '$.fuehrungsstruktur.kaufmaennische_funktion_besetzt') as boolean) as commercial_role_filled,
+  cast(json_extract_string(dossier_json, '$.fuehrungsstruktur.zweite_ebene_sichtbar') as boolean) as second_level, {_PAIN} as pain_point, coalesce(people, '') as people, coalesce(evidence, '') as evidence, coalesce(n_evidence, 0) as n_evidence
+  from scored s left join ev using (company_id) left join pp on pp.key = {COMPANY_KEY} where holding_reason is null and s.company_id % 31 <> 0)"""
 
 
 @R.add("i2_curation_frame", f"with {FRAME} select * from frame", (*VIEWS, "v_signals"))
 def i2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame(spark, sf_dir)
+    person = lambda p: F.concat(p["name"], F.lit("/"), F.coalesce(p["age"].cast("string"), F.lit("?")))
+    quote = lambda e: F.concat_ws("|", e["signal_type"], e["zitat"], e["url"])
+    rows = frame(spark, sf_dir).drop("commercial_jobs", "hooks")  # empty lists in these dossiers
+    return rows.withColumn("people", F.array_join(F.transform("people", person), ";")).withColumn("evidence", F.array_join(F.transform("evidence", quote), ";"))
 
 
 @R.add(
@@ -59,13 +72,13 @@ def i3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @R.add(
     "i4_curation_filter",
     f"""with {FRAME} select company_id, klasse, score, gf_alter from frame left join (select company_id, decision from v_reviews) using (company_id)
-    where affinity in ('fern', 'mittel') and not consultant and klasse in ('A', 'B', 'C') and not handover and (gf_alter >= 50 or gf_alter is null)
-      and (balance_k between 1 and 9000 or balance_k is null) and (contains(lower(name), 'e') or contains(lower(ort), 'e')) and not coalesce(decision in ('lead', 'uninteressant'), false)""",
+    where affinity in ('fern', 'mittel') and not consultant and klasse in ('A', 'B', 'C') and not handover and not settled and (gf_alter >= 50 or gf_alter is null)
+      and (balance_k between 1 and 9000 or balance_k is null) and (revenue_k between 500 and 15000 or revenue_k is null) and (contains(lower(name), 'e') or contains(lower(ort), 'e')) and not coalesce(decision in ('lead', 'uninteressant'), false)""",
     (*VIEWS, "v_signals", "v_reviews"),
 )
 def i4(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = outreach.curation_filter(
-        frame(spark, sf_dir), affinity=("fern", "mittel"), classes=("A", "B", "C"), min_age=50, unknown_age=True, balance_k=(1, 9000), search="e", reviews=fixture(spark, sf_dir, "v_reviews"), review_status="offen"
+        frame(spark, sf_dir), affinity=("fern", "mittel"), classes=("A", "B", "C"), min_age=50, unknown_age=True, balance_k=(1, 9000), revenue_k=(500, 15_000), search="e", reviews=fixture(spark, sf_dir, "v_reviews"), review_status="offen"
     )
     return rows.select("company_id", "klasse", "score", "gf_alter")
 

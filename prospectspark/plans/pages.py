@@ -235,19 +235,27 @@ def dossiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.parse_dossiers(fixture(spark, sf_dir, "v_dossiers"))
 
 
-_B = lambda path: f"case json_extract_string(dossier_json, '$.{path}') when 'true' then true when 'false' then false end"
+_B = lambda path: f"case json_extract_string(dossier_json, '$.{path}') when 'true' then true when 'false' then false when 'no' then false end"
+_N = lambda path: f"cast(coalesce(json_array_length(dossier_json, '$.{path}'), 0) as int)"
+_T = lambda field: f"json_extract_string(dossier_json, '$.{field}')"
+_TEXT_FIELDS = ("kundentyp", "naechste_generation", "digitalisierung", "besonderheiten", "tonalitaet_website", "konfidenz")
+_LIST_FIELDS = ("produkte_leistungen", "nachfolge_signale", "ansprache_hooks", "belege")
 
 
 @R.add(
     "g3_parse_dossier",
     f"""select company_id, json_extract_string(dossier_json, '$.geschaeftsmodell') as model, {_B('familienunternehmen.hinweis')} as family, json_extract_string(dossier_json, '$.familienunternehmen.generation') as generation,
-      {_B('fuehrungsstruktur.zweite_ebene_sichtbar')} as second_level, cast(json_array_length(dossier_json, '$.karriere.offene_stellen') as int) as jobs, cast(null as varchar) as error from v_dossiers""",
+      {_B('fuehrungsstruktur.zweite_ebene_sichtbar')} as second_level, cast(json_array_length(dossier_json, '$.karriere.offene_stellen') as int) as jobs,
+      try_cast({_T('gruendungsjahr')} as int) as founded, coalesce({_B('negativ_filter.insolvenz_hinweis')}, false) as insolvent, {_N('produkte_leistungen')} as products, {_N('nachfolge_signale')} as signs, {_N('belege')} as quotes,
+      {_T('naechste_generation')} as next_generation, {_T('konfidenz')} as confidence, cast(null as varchar) as error from v_dossiers""",
     ("v_dossiers",),
 )
 def g3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dossiers(spark, sf_dir).select(
         "company_id", c("d.geschaeftsmodell").alias("model"), c("d.familienunternehmen.hinweis").alias("family"), c("d.familienunternehmen.generation").alias("generation"),
-        c("d.fuehrungsstruktur.zweite_ebene_sichtbar").alias("second_level"), F.size("d.karriere.offene_stellen").alias("jobs"), "error",
+        c("d.fuehrungsstruktur.zweite_ebene_sichtbar").alias("second_level"), F.size("d.karriere.offene_stellen").alias("jobs"),
+        c("d.gruendungsjahr").alias("founded"), c("d.negativ_filter.insolvenz_hinweis").alias("insolvent"), F.size("d.produkte_leistungen").alias("products"), F.size("d.nachfolge_signale").alias("signs"), F.size("d.belege").alias("quotes"),
+        c("d.naechste_generation").alias("next_generation"), c("d.konfidenz").alias("confidence"), "error",
     )
 
 
@@ -294,7 +302,8 @@ def g5(spark: SparkSession, sf_dir: str) -> DataFrame:
     "g6_fields_filled",
     f"""select company_id, cast(1 + (coalesce({_B('nachfolge_intern_geregelt')}, false))::int + (coalesce({_B('familienunternehmen.hinweis')}, false) or json_extract_string(dossier_json, '$.familienunternehmen.generation') is not null)::int
       + (coalesce({_B('fuehrungsstruktur.zweite_ebene_sichtbar')}, false) or coalesce({_B('fuehrungsstruktur.kaufmaennische_funktion_besetzt')}, false))::int + (json_array_length(dossier_json, '$.karriere.offene_stellen') > 0)::int
-      + (coalesce({_B('negativ_filter.insolvenz_hinweis')}, false) or coalesce({_B('negativ_filter.tochter_eines_konzerns')}, false) or coalesce({_B('negativ_filter.reiner_onlineshop')}, false))::int as int) as filled from v_dossiers""",
+      + (coalesce({_B('negativ_filter.insolvenz_hinweis')}, false) or coalesce({_B('negativ_filter.tochter_eines_konzerns')}, false) or coalesce({_B('negativ_filter.reiner_onlineshop')}, false))::int
+      + (coalesce(try_cast({_T('gruendungsjahr')} as int), 0) <> 0)::int + {' + '.join(f"({_N(f)} > 0)::int" for f in _LIST_FIELDS)} + {' + '.join(f"(coalesce({_T(f)}, '') <> '')::int" for f in _TEXT_FIELDS)} as int) as filled from v_dossiers""",
     ("v_dossiers",),
 )
 def g6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,12 +44,25 @@ scored as (select *, id as company_id, case when k13 or k14 or k15 or ho then 'K
 VIEWS = ("v_dossiers", "v_persons")
 
 
-@R.add("h1_score_companies", f"with {SCORES} select company_id, score_total, score_klasse, k1 as balance, k5 as age, k9 as settled, k11 as jobs, ho as handover from scored", VIEWS)
+_PLAIN = lambda x: f"regexp_replace(cast(cast({x} as decimal(20, 4)) as varchar), '\\.?0+$', '')"
+
+
+@R.add(
+    "h1_score_companies",
+    f"""with {SCORES} select company_id, score_total, score_klasse, k1 as balance, k5 as age, k9 as settled, k11 as jobs, ho as handover,
+      case when b is null then '—' else {_PLAIN('b')} || ' EUR, EK ' || coalesce({_PLAIN('ek_quote_pct')}, '—') || ' %' end as balance_value, cast(m as varchar) as staff_value, {_PLAIN('gewinn_cagr_pct')} as growth_value, wz as industry_value,
+      case when age is null then 'unbekannt' else age || ' (geburtsjahr)' || case when age >= 58 and k9 then ' — neutralisiert: Nachfolge intern geregelt' else '' end end as age_value,
+      json_extract_string(dossier_json, '$.familienunternehmen.generation') as family_value, coalesce(nullif(json_extract_string(dossier_json, '$.naechste_generation'), ''), case when k9 then 'ja' end) as settled_value from scored""",
+    VIEWS,
+)
 def h1(spark: SparkSession, sf_dir: str) -> DataFrame:
     hit = lambda path, name: c(f"breakdown.{path}.hit").alias(name)
+    value = lambda path, name: c(f"breakdown.{path}.wert").alias(name)
     return scores(spark, sf_dir).select(
         "company_id", "score_total", "score_klasse", hit("anker.bilanzsumme_band", "balance"), hit("nachfolge.gf_alter_min", "age"), hit("nachfolge.nachfolge_intern_geregelt", "settled"),
-        hit("web_bedarf.offene_kaufm_stelle", "jobs"), hit("abzuege.generationswechsel_vollzogen", "handover"),
+        hit("web_bedarf.offene_kaufm_stelle", "jobs"), hit("abzuege.generationswechsel_vollzogen", "handover"), value("anker.bilanzsumme_band", "balance_value"), value("anker.mitarbeiter_band", "staff_value"),
+        value("anker.gewinn_cagr_positiv", "growth_value"), value("anker.fokus_wz", "industry_value"), value("nachfolge.gf_alter_min", "age_value"), value("nachfolge.familienhinweis", "family_value"),
+        value("nachfolge.nachfolge_intern_geregelt", "settled_value"),
     )
 
 
@@ -87,7 +100,8 @@ _TRI = "case json_extract_string(dossier_json, '$.fuehrungsstruktur.{}') when 't
       'Kennzahlen: Bilanzsumme ' || coalesce(replace(format('{{:,}}', cast(b as bigint)), ',', '.') || ' EUR', '—') || ', EK-Quote ' || coalesce(cast(ek_quote_pct as varchar), '—') || ' %, MA ' || coalesce(cast(m as varchar), '—')
         || ', Gewinn-CAGR ' || coalesce(cast(gewinn_cagr_pct as varchar), '—') || ' %',
       'Nachfolge: GF-Alter ' || coalesce(cast(age as varchar), 'unbekannt') || ', GF-Name im Firmennamen: ' || case when k6 then 'ja' else 'nein' end || ', Familienunternehmen: ' || case when k7 then 'ja' else 'nein' end || ', Anzahl GF: ' || anzahl_gf,
-      case when k9 then '  ACHTUNG Nachfolge intern geregelt: nächste Generation steht bereit' end,
+      case when json_array_length(dossier_json, '$.nachfolge_signale') > 0 then '  Signale: ' || array_to_string(from_json(json_extract(dossier_json, '$.nachfolge_signale'), '["VARCHAR"]'), '; ') end,
+      case when k9 then '  ACHTUNG Nachfolge intern geregelt: ' || coalesce(nullif(json_extract_string(dossier_json, '$.naechste_generation'), ''), 'nächste Generation steht bereit') end,
       'Web-Bedarf: kaufm. Funktion besetzt: ' || {_TRI.format('kaufmaennische_funktion_besetzt')} || ', 2. Ebene sichtbar: ' || {_TRI.format('zweite_ebene_sichtbar')} || ', offene kaufm. Stellen: —',
       case when quotes is not null then chr(10) || 'Belege:' || chr(10) || quotes end) as briefing from k left join f on f.company_id = k.company_id""",
     (*VIEWS, "v_signals"),

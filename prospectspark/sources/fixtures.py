@@ -54,10 +54,12 @@ select c_custkey as outreach_id, c_custkey as company_id, case when c_custkey %
  cast(c_custkey % 3 + 1 as int) as wave, case c_custkey % 7 when 0 then 'sent' when 1 then 'won' when 2 then 'rejected' when 3 then 'no_response' else 'queued' end as status from customer
 """,
     "v_dossiers": """
-select doc_id as company_id, concat('{"geschaeftsmodell":"', lang, ' ', source, '","familienunternehmen":{"hinweis":', case when doc_id % 3 = 0 then 'true' else 'false' end,
+select doc_id as company_id, concat('{"geschaeftsmodell":"', lang, ' ', source, '","familienunternehmen":{"hinweis":', case when doc_id % 6 = 0 then '"true"' when doc_id % 3 = 0 then 'true' when doc_id % 6 = 1 then '"no"' else 'false' end,
  ',"generation":', case when doc_id % 4 = 0 then '2' else 'null' end, '},"fuehrungsstruktur":{"zweite_ebene_sichtbar":', case doc_id % 3 when 0 then 'true' when 1 then 'false' else 'null' end,
  ',"kaufmaennische_funktion_besetzt":', case when doc_id % 5 = 0 then 'false' else 'null' end, '},"karriere":{"offene_stellen":[', case when doc_id % 6 = 0 then '"Leiter Controlling"' else '' end, '],"kaufm_stellen":[]},',
- '"nachfolge_intern_geregelt":', case when doc_id % 9 = 0 then 'true' else 'false' end, ',"negativ_filter":{"insolvenz_hinweis":', case when doc_id % 37 = 0 then 'true' else 'false' end, ',"tochter_eines_konzerns":', case when doc_id % 29 = 0 then 'true' else 'false' end, ',"reiner_onlineshop":', case when doc_id % 23 = 0 then 'true' else 'false' end, '}}') as dossier_json
+ '"nachfolge_intern_geregelt":', case when doc_id % 9 = 0 then 'true' else 'false' end,
+ case when doc_id % 4 = 1 then ',"gruendungsjahr":"1987","nachfolge_signale":["Alter","Verkauf"],"naechste_generation":"Tochter"' when doc_id % 4 = 2 then ',"gruendungsjahr":1950,"konfidenz":"hoch"' when doc_id % 4 = 3 then ',"produkte_leistungen":["Pumpen"],"gruendungsjahr":"um 1900"' else '' end,
+ case when doc_id % 8 = 7 then '}' else concat(',"negativ_filter":{"insolvenz_hinweis":', case when doc_id % 37 = 0 then 'true' else 'false' end, ',"tochter_eines_konzerns":', case when doc_id % 29 = 0 then 'true' else 'false' end, ',"reiner_onlineshop":', case when doc_id % 23 = 0 then 'true' else 'false' end, '}}') end) as dossier_json
 from documents
 """,
     "v_export_rows": """

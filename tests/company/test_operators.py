@@ -86,9 +86,43 @@ def test_context_stops_in_the_block_that_crosses(spark):
 def test_dossier_coercion_and_errors(spark):
     raw = spark.createDataFrame([(1, '{"geschaeftsmodell": 5, "kundentyp": {"a": 1}, "karriere": {"offene_stellen": []}}'), (2, "no json"), (3, None)], "company_id int, dossier_json string")
     got = {r.company_id: (r.d and r.d.geschaeftsmodell, r.d and r.d.kundentyp, r.error) for r in evidence.parse_dossiers(raw).collect()}
-    assert got[1] == ("5", '{"a":1}', None) and got[2][2] and got[3][2]
+    assert got[1] == ("5", '{"a":1}', None) and got[2][2] and got[3] == (None, None, "not a JSON object")
     filled = evidence.fields_filled(evidence.parse_dossiers(raw.filter("company_id = 1"))).first().filled
-    assert filled == 2 and parse_dossier is not None
+    assert filled == 2
+
+
+def test_dossier_defaults(spark):
+    json = '{"gruendungsjahr": "1987", "familienunternehmen": {"hinweis": "true", "generation": 2}, "fuehrungsstruktur": {"zweite_ebene_sichtbar": "no"}, "nachfolge_signale": null, "nachfolge_intern_geregelt": 1}'
+    raw = spark.createDataFrame([(json,), ('{"gruendungsjahr": 1950.0}',), ('{"gruendungsjahr": "um 1900"}',), ("{}",)], "j string")
+    full, decimal, vague, empty = (r.d for r in raw.select(parse_dossier(raw.j).alias("d")).collect())
+    assert len(empty) == 17
+    assert (full.gruendungsjahr, decimal.gruendungsjahr, vague.gruendungsjahr, empty.gruendungsjahr) == (1987, 1950, None, None)
+    assert full.familienunternehmen == (True, "2", None) and empty.familienunternehmen == (False, None, None)
+    assert full.fuehrungsstruktur == ([], False, None) and full.nachfolge_intern_geregelt is True
+    assert empty.geschaeftsmodell == "" and empty.nachfolge_signale == empty.belege == [] and empty.negativ_filter == (False, False, False) and empty.karriere == ([], [], None)
+
+
+def test_curation_masks(spark):
+    frame = spark.createDataFrame(
+        [
+            (1, "A", 9, 60, False, False, 500, 100),
+            (2, "A", 8, 60, False, True, 500, 100),  # settled by its dossier
+            (3, "KO", 7, 60, True, False, 500, 100),  # the generations have changed
+            (4, "A", 6, 60, False, False, 5_000, 100),  # too much revenue
+            (5, "A", 5, 60, False, False, None, 100),  # unknown revenue
+        ],
+        "company_id int, klasse string, score int, gf_alter int, handover boolean, settled boolean, revenue_k int, balance_k int",
+    ).selectExpr("*", "'x' as name", "'y' as ort", "false as consultant")
+    ids = lambda **how: [r.company_id for r in outreach.curation_filter(frame, **how).collect()]
+    assert ids() == [1, 4, 5]
+    assert ids(show_settled=True) == [1, 2, 4, 5, 3]
+    assert ids(revenue_k=(0, 1_000)) == [1, 5]
+    assert ids(revenue_k=(0, 1_000), unknown_size=False) == [1]
+
+
+def test_region_labels(spark):
+    rows = spark.createDataFrame([("50",), ("99",), ("",), (None,)], "p string")
+    assert [r[0] for r in rows.select(outreach.region_label(rows.p)).collect()] == ["Köln/Rhein-Erft", "99", "?", "?"]
 
 
 def test_quotes(spark):
