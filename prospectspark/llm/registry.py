@@ -12,6 +12,7 @@ from .line_dedup import OP9_EVERY_LINE_SQL, OP9_SQL, op9_line_dedup, op9_line_de
 from .minhash import OP6_SQL, op6_minhash_near_dedup
 from .mixing import OP1_SQL, op1_source_mixing
 from .packing import op8_best_fit_packing
+from .pieces import op13_sentencepiece
 from .quality import OP7_SQL, op7_quality_rules
 from .substring_dedup import OP5_SQL, op5_substring_dedup
 from .suffix_dedup import op2_suffix_dedup
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
     "op9_line_dedup_every_line": op9_line_dedup_every_line,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {
