@@ -13,10 +13,12 @@ from .minhash import OP6_SQL, op6_minhash_near_dedup
 from .mixing import OP1_SQL, op1_source_mixing
 from .packing import op8_best_fit_packing
 from .pieces import op13_sentencepiece
+from .prefix_trie import OP12_SQL, op12_prefix_trie
 from .quality import OP7_SQL, op7_quality_rules
 from .substring_dedup import OP5_SQL, op5_substring_dedup
 from .suffix_dedup import op2_suffix_dedup
 from .url_filter import OP4_SQL, op4_url_filter
+from .variants import OP11_SQL, op11_spelling_variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
@@ -30,6 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
     "op9_line_dedup_every_line": op9_line_dedup_every_line,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
@@ -43,4 +47,6 @@ ORACLE_SQL: dict[str, str] = {
     "op9_line_dedup": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
     "op9_line_dedup_every_line": OP9_EVERY_LINE_SQL,
+    "op11_spelling_variants": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }
