@@ -19,7 +19,7 @@ def parse_german_number(c: Column) -> Column:
 
 
 def parse_german_int(c: Column) -> Column:
-    return F.bround(parse_german_number(c)).cast("int")
+    return F.bround(parse_german_number(c)).try_cast("int")
 
 
 def parse_bool(c: Column) -> Column:
@@ -27,4 +27,4 @@ def parse_bool(c: Column) -> Column:
 
 
 def to_thousand_eur(c: Column) -> Column:
-    return F.bround(c.try_cast("double") / 1000).cast("long")
+    return F.bround(c.try_cast("double") / 1000).try_cast("long")

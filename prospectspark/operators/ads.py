@@ -15,6 +15,10 @@ from .keyed import first_by_key
 c = F.col
 
 
+#: The last day of the year 9999: a later Unix time is a mistake and gives null.
+LAST_MILLIS = 253_402_300_799_999
+
+
 def truthy(payload: Column, *keys: str) -> Column:
     """The first of the JSON fields that isn't missing, empty, zero or false."""
     some = lambda v: F.when(~v.isin("", "0", "0.0", "false"), v)
@@ -30,7 +34,7 @@ def unify_job_sources(raw: DataFrame) -> DataFrame:
         return F.coalesce(*[F.when(c("source") == s, truthy(p, *keys)) for s, keys in parts if keys])
 
     posted = pick(("datePosted", "postedAt", "postingDate"), ("publishDate", "publishDateISO", "postedDate"), ("posted_at",))
-    millis = F.rlike(posted, F.lit(r"^\d{11,}$"))
+    millis, stamp = F.rlike(posted, F.lit(r"^\d{11,}$")), posted.try_cast("long")
     person = F.trim(F.concat_ws(" ", *[truthy(p, f"contact_{k}") for k in ("salutation", "firstname", "lastname")]))
     return raw.filter(c("source").isin("indeed", "stepstone", "arbeitsagentur")).select(
         "id", "source",
@@ -39,7 +43,7 @@ def unify_job_sources(raw: DataFrame) -> DataFrame:
         pick(("location",), ("city", "location"), ("location",)).alias("location"),
         pick(("jobUrl", "url", "externalApplyLink"), ("url", "jobUrl", "applyUrl"), ("source_url", "apply_url")).alias("link"),
         pick(("description", "descriptionText"), ("descriptionText", "description", "descriptionMarkdown", "summary"), ("description_full", "description_snippet")).alias("description"),
-        F.when(millis, F.date_format(F.timestamp_millis(posted.try_cast("long")), "yyyy-MM-dd")).otherwise(posted).alias("posted"),
+        F.when(millis, F.when(stamp.between(0, LAST_MILLIS), F.date_format(F.timestamp_millis(F.least(stamp, F.lit(LAST_MILLIS))), "yyyy-MM-dd"))).otherwise(posted).alias("posted"),
         F.when(c("source") == "arbeitsagentur", F.nullif(person, F.lit(""))).alias("contact"),
         F.when(c("source") == "arbeitsagentur", truthy(p, "contact_email", "apply_email")).alias("contact_email"),
         F.when(c("source") == "arbeitsagentur", truthy(p, "contact_phone")).alias("contact_phone"),
@@ -104,9 +108,9 @@ def export_leads(leads: DataFrame, everything: bool = False, remote_only: bool =
     return (chosen.filter("remote") if remote_only else chosen).orderBy("company", "id")
 
 
-def extract_contacts(rows: DataFrame, body: str, email: str, phone: str, least: int = 30, most: int = 6000) -> DataFrame:
-    """Fill empty e-mail and phone columns from the first characters of texts that are long enough."""
-    head = F.when(F.length(c(body)) >= least, F.substring(c(body), 1, most))
+def extract_contacts(rows: DataFrame, body: str, email: str, phone: str, least: int = 30) -> DataFrame:
+    """Fill empty e-mail and phone columns from texts that are long enough, wherever the contact stands in them."""
+    head = F.when(F.length(c(body)) >= least, c(body))
     mail = F.nullif(F.regexp_extract(head, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", 0), F.lit(""))
     number = F.nullif(F.regexp_extract(head, r"\+\d[\d /()-]{6,}\d", 0), F.lit(""))
     return rows.withColumn(email, F.coalesce(F.nullif(c(email), F.lit("")), mail)).withColumn(phone, F.coalesce(F.nullif(c(phone), F.lit("")), number))

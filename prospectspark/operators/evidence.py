@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import text
 from .scoring import crawl_candidates, open_companies, parse_dossier
 
@@ -22,21 +24,39 @@ def extract_candidates(companies: DataFrame, dossiers: DataFrame, with_text: Dat
     return crawl_candidates(rows, min_score=min_score, force=True, limit=limit)
 
 
-def assemble_context(pages: DataFrame, priority: Sequence[str], max_chars: int) -> DataFrame:
-    """company_id and its page blocks by type priority, blank pages left out; the block that crosses the budget is cut and ends it.
+def filled_in(pattern: str, **values: Column) -> Column:
+    """A text with {names} replaced by columns; null counts as empty."""
+    parts = re.split(r"\{(\w+)\}", pattern)
+    return F.concat(*[text.text_or_empty(values[p].cast("string")) if i % 2 else F.lit(p) for i, p in enumerate(parts)])
 
-    pages: company_id, page_id, page_type, text_content.  Lengths are summed before any text is joined.
+
+def context_head(companies: DataFrame) -> DataFrame:
+    """company_id and the head of its context.  companies: id, name, plz, ort, branche_wz, vertreter_1 and, if known, gegenstand."""
+    fields = {n: c(n) if n in companies.columns else F.lit("") for n in ("name", "plz", "ort", "branche_wz", "gegenstand", "vertreter_1")}
+    fields["gegenstand"] = F.coalesce(F.nullif(text.text_or_empty(fields["gegenstand"]), F.lit("")), F.lit(config.CONTEXT_NONE))
+    return companies.select(c("id").alias("company_id"), filled_in(config.CONTEXT_HEAD, **fields).alias("head"))
+
+
+def assemble_context(pages: DataFrame, companies: DataFrame, priority: Sequence[str], max_chars: int) -> DataFrame:
+    """company_id and its context: the head, then its page blocks by type priority, blank pages left out.
+
+    The head counts towards the budget; the block that crosses it is cut and ends the context.  pages: company_id, page_id, page_type, url, text_content.
+    Lengths are summed before any text is joined.
     """
     rank = F.coalesce(F.array_position(F.array(*map(F.lit, priority)), c("page_type")).cast("int"), F.lit(0))
     rank = F.when(rank == 0, len(priority) + 1).otherwise(rank)
-    block = F.concat(F.lit("## "), c("page_type"), F.lit("\n"), F.trim("text_content"), F.lit("\n"))
+    body = F.regexp_replace("text_content", r"(?U)^\s+|\s+$", "")
+    block = filled_in(config.CONTEXT_BLOCK, page_type=c("page_type"), url=c("url"), text=body)
+    heads = context_head(companies)
     rows = pages.filter(text.collapse(text.text_or_empty(c("text_content"))) != "").withColumn("rank", rank)
     before = Window.partitionBy("company_id").orderBy("rank", "page_id").rowsBetween(Window.unboundedPreceding, -1)
-    spent = rows.select("company_id", "page_id", "rank", F.length(block).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).filter(c("before") < max_chars)
+    sized = rows.select("company_id", "page_id", "rank", F.length(block).alias("n")).join(heads.select("company_id", F.length("head").alias("used")), "company_id")
+    spent = sized.withColumn("before", c("used") + F.coalesce(F.sum("n").over(before), F.lit(0))).filter(c("before") < max_chars)
     kept = spent.drop("rank").join(rows, ["company_id", "page_id"])
     cut = F.substring(block, F.lit(1), (F.lit(max_chars) - c("before")).cast("int"))
     blocks = kept.groupBy("company_id").agg(F.sort_array(F.collect_list(F.struct("rank", "page_id", cut.alias("b")))).alias("blocks"))
-    return blocks.select("company_id", F.array_join(F.transform("blocks", lambda b: b["b"]), "").alias("context"))
+    joined = heads.join(blocks, "company_id", "left")
+    return joined.select("company_id", F.concat("head", text.text_or_empty(F.array_join(F.transform("blocks", lambda b: b["b"]), ""))).alias("context"))
 
 
 def parse_dossiers(raw: DataFrame, json: str = "dossier_json") -> DataFrame:
@@ -81,8 +101,11 @@ def quote_found(quote: Column, body: Column, window: int = 6, least: int = 8) ->
 
 
 def quote_fidelity(quotes: DataFrame, texts: DataFrame) -> DataFrame:
-    """company_id, total and ok quotes.  quotes: company_id, zitat; texts: company_id, body, one row each."""
-    normed = quotes.select("company_id", text.norm_ws(c("zitat")).alias("quote")).filter("quote <> ''")
+    """company_id, total and ok quotes.  quotes: company_id, zitat; texts: company_id, body, one row each.
+
+    Marks around a quote don't count; a quote without words counts in the total and is not found.
+    """
+    normed = quotes.select("company_id", F.btrim(text.norm_ws(c("zitat")), F.lit(" \"'.,;:!?-")).alias("quote"))
     bodies = texts.select("company_id", text.norm_ws(c("body")).alias("body"))
     joined = normed.join(bodies, "company_id", "left")
     return joined.groupBy("company_id").agg(F.count("*").alias("total"), F.count_if(F.coalesce(quote_found(c("quote"), text.text_or_empty(c("body"))), F.lit(False))).alias("ok"))

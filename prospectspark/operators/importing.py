@@ -158,6 +158,6 @@ def import_report(companies: DataFrame, year: int) -> DataFrame:
 def report_counts(companies: DataFrame, top: int = 8) -> DataFrame:
     """kind, value, n: holding reasons (six characters), priorities (-1 for none), the most frequent industries."""
     reasons = companies.filter("holding_reason is not null").groupBy(F.substring("holding_reason", 1, 6).alias("value")).agg(F.count("*").alias("n")).select(F.lit("reason").alias("kind"), "value", "n")
-    priority = companies.groupBy(F.coalesce(c("prioritaets_score").cast("int"), F.lit(-1)).cast("string").alias("value")).agg(F.count("*").alias("n")).select(F.lit("priority").alias("kind"), "value", "n")
+    priority = companies.groupBy(F.coalesce(c("prioritaets_score").try_cast("int"), F.lit(-1)).cast("string").alias("value")).agg(F.count("*").alias("n")).select(F.lit("priority").alias("kind"), "value", "n")
     codes = companies.select(text.wz2(c("branche_wz")).alias("value")).filter("value <> ''").groupBy("value").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(top)
     return reasons.unionByName(priority).unionByName(codes.select(F.lit("industry").alias("kind"), "value", "n"))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import text
+from ..sources.io import written
 from .keyed import first_by_key
+from .keyed_table import removed, replace_partitions
 
 c = F.col
 CLOSED = ("won", "rejected")
@@ -59,7 +61,7 @@ def curation_frame(scores: DataFrame, companies: DataFrame, signals: DataFrame,
     rows = scores.select("company_id", "score_klasse", "score_total", "cluster_branche", "gf_alter").join(firms.drop("gf_alter"), "company_id").join(dossiers.select("company_id", "d"), "company_id", "left")
     rows = rows.join(handover, "key", "left").join(people, "key", "left").join(evidence, "company_id", "left")
     code, plz2 = industry_code(c("branche_wz")), F.regexp_extract(F.trim(text.text_or_empty(c("plz"))), r"^(\d\d)", 1)
-    kilo = lambda x: F.bround(x / 1000).cast("long")
+    kilo = lambda x: F.bround(x / 1000).try_cast("long")
     yes = lambda col: F.coalesce(col, F.lit(False))
     none = lambda name: F.coalesce(c(name), F.array().cast(rows.schema[name].dataType)).alias(name)
     pain = F.create_map(*[F.lit(x) for pair in config.PAIN_POINTS.items() for x in pair])
@@ -108,13 +110,28 @@ def curation_filter(
     return rows.orderBy("klasse", F.desc_nulls_last("score"), F.desc_nulls_last("gf_alter"), "company_id")
 
 
+def reviews_of_wave(new: DataFrame, wave: int) -> DataFrame:
+    """The rows to store for a wave: those that hold a decision or a note."""
+    decision, note = F.nullif(c("decision"), F.lit("")), F.trim(text.text_or_empty(c("note_self")))
+    rows = new.filter(decision.isNotNull() | (note != ""))
+    return rows.select("company_id", F.lit(wave).alias("wave"), decision.alias("decision"), F.coalesce(decision == "lead", F.lit(False)).alias("selected"), note.alias("note_self"))
+
+
 def merge_reviews(existing: DataFrame, new: DataFrame, wave: int) -> DataFrame:
     """existing with the rows of one wave replaced by the new ones that hold a decision or a note."""
-    decision, note = F.nullif(c("decision"), F.lit("")), F.trim(text.text_or_empty(c("note_self")))
-    kept = new.filter(decision.isNotNull() | (note != "")).select("company_id", F.lit(wave).alias("wave"), decision.alias("decision"), F.coalesce(decision == "lead", F.lit(False)).alias("selected"), note.alias("note_self"))
+    kept = reviews_of_wave(new, wave)
     return existing.filter(c("wave") != wave).select(*kept.columns).unionByName(kept)
 
 
+def write_wave(path: str, new: DataFrame, wave: int) -> None:
+    """The same in a stored table partitioned by wave: only that wave is written; all rows of it go if none of the new ones holds anything."""
+    kept = written(reviews_of_wave(new, wave), "wave")
+    if kept.isEmpty():
+        removed(new.sparkSession, f"{path}/wave={wave}")
+    else:
+        replace_partitions(kept, path, "wave")
+
+
 def is_lead(decision: Column, selected: Column) -> Column:
     """Old rows have no decision but are selected."""
     return F.coalesce(decision == "lead", F.coalesce(selected, F.lit(False)))
@@ -173,9 +190,11 @@ def work_list(leads: DataFrame, outreach: DataFrame, calls: DataFrame, today: st
 
 
 def mark_sent(outreach: DataFrame, wave: int, day: str) -> DataFrame:
-    """The wave's queued letters are sent on the day."""
-    hit = (c("channel") == "letter") & (c("wave") == wave) & (c("status") == "queued")
-    return outreach.withColumn("sent_at", F.when(hit, F.lit(day).cast("date"))).withColumn("status", F.when(hit, "sent").otherwise(c("status")))
+    """The wave's queued letters are sent on the day; all other rows stay as they are."""
+    hit = F.coalesce((c("channel") == "letter") & (c("wave") == wave) & (c("status") == "queued"), F.lit(False))
+    before = c("sent_at") if "sent_at" in outreach.columns else F.lit(None).cast("date")
+    sent = F.when(hit, F.lit(day).cast(outreach.schema["sent_at"].dataType if "sent_at" in outreach.columns else "date")).otherwise(before)
+    return outreach.withColumn("sent_at", sent).withColumn("status", F.when(hit, "sent").otherwise(c("status")))
 
 
 def suggest_disposition(calls: DataFrame) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import helpers, text
+from ..sources.io import written
 from .keyed import first_by_key, upsert
+from .similar import similar_names
 
 c = F.col
 PLACE = "struct<plz: string, ort: string>"
@@ -24,24 +26,25 @@ def parse_postings(raw: DataFrame, payload: str = "payload", keyword: str = "key
     """Nested advertisements (JSON) as rows; those without an id are left out."""
     ad = raw.select(F.from_json(c(payload), AD).alias("a"), c(keyword).alias("keyword"))
     first = F.get(c("a.stellenlokationen"), F.lit(0))["adresse"]
-    rows = ad.select(
+    row = F.struct(
         F.coalesce(truthy(c("a.referenznummer")), truthy(c("a.refnr"))).alias("refnr"),
         F.coalesce(truthy(c("a.stellenangebotsTitel")), F.lit("(ohne Titel)")).alias("titel"),
         truthy(c("a.hauptberuf")).alias("beruf"),
         F.coalesce(truthy(c("a.firma")), F.lit("(unbekannt)")).alias("arbeitgeber"),
         first["plz"].alias("plz"), first["ort"].alias("ort"),
         truthy(F.substring("a.datumErsteVeroeffentlichung", 1, 10)).alias("veroeffentlicht_am"),
-        F.transform("a.stellenlokationen", lambda x: x["adresse"]).alias("places"), "keyword",
+        F.transform("a.stellenlokationen", lambda x: x["adresse"]).alias("places"), c("keyword").alias("keyword"),
     )
-    return rows.filter("refnr is not null")
+    # a generator keeps later filters from being moved below the parser, where each would parse again
+    return ad.select(F.inline(F.array(row))).filter("refnr is not null")
 
 
-def explode_locations(postings: DataFrame) -> DataFrame:
-    """refnr, pos, plz, ort: every place of an advertisement that has either field, else its own columns."""
+def explode_locations(postings: DataFrame, *keep: str) -> DataFrame:
+    """refnr, pos, plz, ort: every place of an advertisement that has either field, else its own columns.  keep: further columns."""
     own = F.array(F.struct("plz", "ort"))
     named = F.filter("places", lambda p: (text.text_or_empty(p["plz"]) != "") | (text.text_or_empty(p["ort"]) != ""))
     places = F.when(F.size(named) > 0, named).otherwise(own)
-    return postings.select("refnr", F.posexplode(places).alias("pos", "p")).select("refnr", "pos", "p.plz", "p.ort")
+    return postings.select("refnr", *keep, F.posexplode(places).alias("pos", "p")).select("refnr", *keep, "pos", "p.plz", "p.ort")
 
 
 def group_of(keyword: Column) -> Column:
@@ -92,17 +95,17 @@ def published_within(postings: DataFrame, today: str, days: int | None) -> DataF
 
 
 def matchable(companies: DataFrame) -> DataFrame:
-    """id, name, plz and age of companies with a name and a postal code that are no duplicates."""
+    """id, name, plz and age of companies with a name and a postal code that are no duplicates; stored, as all stages read it."""
     rows = companies.filter("dup_of is null").select("id", text.norm_company(c("name")).alias("company"), F.trim(text.text_or_empty(c("plz"))).alias("plz"), "gf_alter")
-    return rows.filter("company <> '' and plz <> ''")
+    return written(rows, "firms").filter("company <> '' and plz <> ''")
 
 
 def located(postings: DataFrame) -> DataFrame:
-    """refnr, employer, pos, plz, place, prefix: each postal code of an advertisement once, at its first place."""
-    names = postings.select("refnr", text.norm_company(c("arbeitgeber")).alias("employer")).filter("employer <> ''")
-    places = explode_locations(postings).select("refnr", "pos", F.trim(text.text_or_empty(c("plz"))).alias("plz"), text.norm_text(c("ort")).alias("place")).filter("plz <> ''")
-    firsts = places.groupBy("refnr", "plz").agg(F.min("pos").alias("pos"), F.min_by("place", "pos").alias("place"))
-    return firsts.join(names, "refnr").withColumn("prefix", F.substring("plz", 1, config.PREFIX_DIGITS))
+    """refnr, employer, pos, plz, place, prefix: each postal code of an advertisement once, at its first place; stored, as all stages read it."""
+    named = written(postings.select("refnr", "plz", "ort", "places", text.norm_company(c("arbeitgeber")).alias("employer")), "named").filter("employer <> ''")
+    places = explode_locations(named, "employer").select("refnr", "employer", "pos", F.trim(text.text_or_empty(c("plz"))).alias("plz"), text.norm_text(c("ort")).alias("place")).filter("plz <> ''")
+    firsts = places.groupBy("refnr", "plz").agg(F.min("employer").alias("employer"), F.min(F.struct("pos", "place")).alias("f"))
+    return written(firsts.select("refnr", "employer", "f.pos", "plz", "f.place", F.substring("plz", 1, config.PREFIX_DIGITS).alias("prefix")), "ads")
 
 
 def match_exact(ads: DataFrame, companies: DataFrame) -> DataFrame:
@@ -111,34 +114,6 @@ def match_exact(ads: DataFrame, companies: DataFrame) -> DataFrame:
     return found.select("refnr", c("id").alias("company_id"), F.lit("exakt").alias("match_stufe"), F.lit(100.0).alias("match_score"), "gf_alter").distinct()
 
 
-def name_parts(names: DataFrame, given: str, out: str) -> DataFrame:
-    """names with the bare name (place tokens left out), its different tokens, their length in one string and a parity bit for each character."""
-    tokens = F.array_distinct(F.split(out, " "))
-    letters = F.filter(F.split(F.array_join(f"{out}_tokens", ""), ""), lambda x: x != "")
-    bits = F.aggregate(letters, F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(x).bitwiseAND(63))))
-    rows = names.withColumn(out, text.strip_place_tokens(c(given), c("place"))).withColumn(f"{out}_tokens", tokens)
-    return rows.withColumn(f"{out}_length", F.length(F.array_join(f"{out}_tokens", " "))).withColumn(f"{out}_bits", bits)
-
-
-def similar_names(ads: DataFrame, companies: DataFrame, block: str, least: int) -> DataFrame:
-    """block, place, employer, company, a, b (bare names), score of the different names of one block whose similarity is at least ``least``.
-
-    Bare names and what bounds their similarity are made once for each name and place.  Two bounds, each lossless, spare most pairs the
-    comparison: characters that stand an odd number of times in only one name each cost one edit, and shared tokens help only if
-    they make up enough of one name.  What is left is scored once for each different pair.
-    """
-    left = name_parts(ads.select(block, "place", "employer").distinct(), "employer", "a")
-    places = ads.select(block, "place").distinct().join(companies.select(block, "company").distinct(), block)
-    right = name_parts(places, "company", "b")
-    both = left.join(right, [block, "place"]).filter("employer <> company")
-    edits = F.bit_count(c("a_bits").bitwiseXOR(c("b_bits"))) * 100 <= (100 - least) * (c("a_length") + c("b_length"))
-    shared = F.length(F.array_join(F.array_intersect("a_tokens", "b_tokens"), " "))
-    enough = lambda n: (c(n) - shared) * 100 <= (100 - least) * (c(n) + shared)
-    possible = both.filter(edits | (F.arrays_overlap("a_tokens", "b_tokens") & (enough("a_length") | enough("b_length")))).select(block, "place", "employer", "company", "a", "b")
-    rated = possible.select("a", "b").distinct().withColumn("score", helpers.token_set_ratio("a", "b")).filter(c("score") >= least)
-    return possible.join(rated, ["a", "b"])
-
-
 def match_fuzzy(ads: DataFrame, companies: DataFrame) -> DataFrame:
     """Similar names in one postal code, place tokens left out; subsets only for review."""
     rated = ads.join(similar_names(ads, companies, "plz", config.FUZZY_REVIEW), ["plz", "place", "employer"]).join(companies, ["plz", "company"])
@@ -321,3 +296,49 @@ def review_queue(matches: DataFrame, postings: DataFrame, companies: DataFrame,
     if prio:
         rows = rows.filter(c("prio").isin(*prio))
     return rows.orderBy("status", prio_rank(c("prio")), stage_rank(c("match_stufe")).asc_nulls_last(), F.desc_nulls_last("match_score"), "match_id")
+
+
+# --- upkeep from changes ----------------------------------------------------------------------------------------------
+
+
+def fingerprints(rows: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+    """The key of each row and a hash of what its matches depend on."""
+    return rows.select(key, F.xxhash64(*values).alias("print"))
+
+
+def ad_prints(postings: DataFrame) -> DataFrame:
+    return fingerprints(postings, "refnr", ["arbeitgeber", "plz", "ort", "places"])
+
+
+def company_prints(companies: DataFrame) -> DataFrame:
+    return fingerprints(companies, "id", ["name", "plz", "dup_of", "gf_alter"])
+
+
+def changes(now: DataFrame, before: DataFrame, key: str) -> DataFrame:
+    """key and change: new, changed or gone, of the rows of two fingerprint tables that differ."""
+    both = now.withColumnRenamed("print", "__now").join(before.withColumnRenamed("print", "__before"), key, "full_outer")
+    change = F.when(c("__before").isNull(), "new").when(c("__now").isNull(), "gone").when(c("__now") != c("__before"), "changed")
+    return both.select(key, change.alias("change")).filter("change is not null")
+
+
+def match_changes(postings: DataFrame, companies: DataFrame, ads_before: DataFrame, companies_before: DataFrame, carried: DataFrame) -> DataFrame:
+    """What match_postings gives for all rows, from the matches of the last run (``carried``) and what has changed since.
+
+    ads_before, companies_before: fingerprints of the last run.  Whether an advertisement and a company match depends on these two alone, so the
+    matches of unchanged pairs are carried over; changed advertisements meet the companies of their postal regions, and unchanged advertisements meet the
+    changed companies of theirs.
+    """
+    ads = written(changes(ad_prints(postings), ads_before, "refnr"), "ad_changes")
+    firms = written(changes(company_prints(companies), companies_before, "id"), "company_changes")
+    kept = carried.join(ads, "refnr", "left_anti").join(firms.select(c("id").alias("company_id")), "company_id", "left_anti").select(*carried.columns)
+    region = lambda plz: F.substring(F.trim(text.text_or_empty(plz)), 1, config.PREFIX_DIGITS)
+    moved_ads = written(postings.join(ads.filter("change != 'gone'"), "refnr", "left_semi"), "changed_ads")
+    moved_firms = written(companies.join(firms.filter("change != 'gone'"), "id", "left_semi"), "changed_companies")
+    here = explode_locations(moved_ads).select(region(c("plz")).alias("__region")).distinct()
+    there = moved_firms.select(region(c("plz")).alias("__region")).distinct()
+    near_firms = companies.join(here, region(c("plz")) == c("__region"), "left_semi")
+    places = explode_locations(postings).select("refnr", region(c("plz")).alias("__region"))
+    near_ads = places.join(there, "__region", "left_semi").select("refnr").distinct().join(ads.select("refnr"), "refnr", "left_anti")
+    from_ads = match_postings(moved_ads, near_firms)
+    from_firms = match_postings(postings.join(near_ads, "refnr", "left_semi"), moved_firms)
+    return kept.unionByName(from_ads.select(*carried.columns)).unionByName(from_firms.select(*carried.columns))

@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import text
-from .keyed import first_by_key, upsert
+from ..functions import text, urls
+from .keyed import even_spread_sample, first_by_key, upsert
 
 c = F.col
+L = config.EVIDENCE
+#: Where a generator names its version, and the first version that counts as modern.
+CMS = {"wordpress": (r"wordpress[ /]*(\d+)", 6), "typo3": (r"typo3[^0-9]{0,8}(\d+)", 11), "joomla": (r"joomla!?[^0-9]{0,8}(\d+)", 4)}
 
 
 def page_status(error: Column, body: Column) -> Column:
@@ -24,7 +27,8 @@ def meta(html: Column, name: str) -> Column:
 
 
 def generator(html: Column) -> Column:
-    return F.nullif(F.regexp_extract(meta(html, "generator"), r"(?is)\bcontent=[\"']([^\"']*)", 1), F.lit(""))
+    found = lambda pattern: F.nullif(F.regexp_extract(meta(html, "generator"), pattern, 1), F.lit(""))
+    return F.coalesce(found(r"(?is)\bcontent\s*=\s*[\"']([^\"']*)"), found(r"(?is)\bcontent\s*=\s*([^\s\"'>]+)"))
 
 
 def tech_signals(pages: DataFrame, most: int = 200_000) -> DataFrame:
@@ -50,69 +54,97 @@ def has_any(low: Column, marks: Sequence[str]) -> Column:
 
 
 def version(gen: Column, product: str) -> Column:
-    return F.nullif(F.regexp_extract(gen, product, 1), F.lit("")).cast("int")
+    return F.nullif(F.regexp_extract(gen, product, 1), F.lit("")).try_cast("decimal(38,0)")
 
 
-def cms_tier(gen: Column, html: Column) -> Column:
-    """modern, veraltet or unbekannt from the generator's version first, from traces in the page else.  Both lower-cased."""
+def cms_rating(gen: Column, html: Column) -> Column:
+    """struct of tier (modern, veraltet or unbekannt) and label, from the generator's version first, from traces in the page else.  Both lower-cased."""
     blob = F.concat(gen, F.lit(" "), html)
-    wp, t3, jo = version(gen, r"wordpress[ /]*(\d+)"), version(gen, r"typo3[^0-9]{0,8}(\d+)"), version(gen, r"joomla!?[^0-9]{0,8}(\d+)")
-    rated = lambda v, least: F.when(v >= least, "modern").otherwise("veraltet")
+    rated = lambda tier, label: F.struct(F.lit(tier).alias("tier"), (F.lit(label) if isinstance(label, str) else label).alias("label"))
+    named = lambda product, v, old: F.concat(F.lit(f"{product}_"), v.cast("string"), F.lit(L["old_version"] if old else ""))
+    out = F.when(has_any(blob, config.PARKING), rated("veraltet", L["parked"]))
+    traces = {"wordpress": has_any(gen, ("wordpress",)) | has_any(blob, ("wp-content", "/wp-json")), "typo3": has_any(gen, ("typo3",)), "joomla": has_any(gen, ("joomla",))}
+    for product, (pattern, least) in CMS.items():
+        v = version(gen, pattern)
+        out = out.when(v >= least, rated("modern", named(product, v, False))).when(v.isNotNull(), rated("veraltet", named(product, v, True))).when(traces[product], rated("unbekannt", f"{product}_{L['no_version']}"))
     return (
-        F.when(has_any(blob, config.PARKING), "veraltet")
-        .when(wp.isNotNull(), rated(wp, 6)).when(has_any(gen, ("wordpress",)) | has_any(blob, ("wp-content", "/wp-json")), "unbekannt")
-        .when(t3.isNotNull(), rated(t3, 11)).when(has_any(gen, ("typo3",)), "unbekannt")
-        .when(jo.isNotNull(), rated(jo, 4)).when(has_any(gen, ("joomla",)), "unbekannt")
-        .when(has_any(blob, config.STACK_EVERGREEN), "modern").when(has_any(blob, config.STACK_OUTDATED), "veraltet").when(has_any(blob, config.STACK_MODERN), "modern").otherwise("unbekannt")
+        out.when(has_any(blob, config.STACK_EVERGREEN), rated("modern", L["evergreen"])).when(has_any(blob, config.STACK_OUTDATED), rated("veraltet", L["stack_outdated"]))
+        .when(has_any(blob, config.STACK_MODERN), rated("modern", L["stack_modern"])).otherwise(rated("unbekannt", L["stack_unknown"]))
     )
 
 
 def modernity_score(sites: DataFrame, now_year: int) -> DataFrame:
-    """score (0 to 10, null if unreachable) and its five components.
+    """score (0 to 10, null if unreachable), its five components and the evidence for them, in a fixed order (null if unreachable).
 
-    sites: reachable, scheme, tls_insecure, http_version, headers_json, home_html (lower-cased), generator, viewport, copyright_year, last_modified_year.
+    sites: reachable, scheme, tls_insecure, http_version, headers_json, home_html (lower-cased), generator, viewport, copyright_year, last_modified_year
+    and, if known, http_to_https_redirect.
     """
     headers = F.transform(F.map_entries(F.from_json("headers_json", "map<string,string>")), lambda e: F.lower(F.concat(e["key"], F.lit(": "), e["value"])))
     blob = F.coalesce(F.array_join(headers, " "), F.lit(""))
     has_header = lambda name: F.coalesce(F.exists(headers, lambda h: F.startswith(h, F.lit(f"{name}:"))), F.lit(False))
-    tier = cms_tier(F.lower(text.text_or_empty(c("generator"))), text.text_or_empty(c("home_html")))
+    cms = c("__cms")
     newest = F.greatest(F.nullif("copyright_year", F.lit(0)), F.nullif("last_modified_year", F.lit(0)))
     points = lambda hit, n: F.when(F.coalesce(hit, F.lit(False)), float(n)).otherwise(0.0)
-    secure = (c("scheme") == "https") & ~F.coalesce(c("tls_insecure"), F.lit(False))
+    insecure = F.coalesce(c("tls_insecure"), F.lit(False))
+    secure = (c("scheme") == "https") & ~insecure
+    hsts, modern_http = has_header("strict-transport-security"), F.rlike(text.text_or_empty(c("http_version")), F.lit("[23]"))
+    shielded = has_any(blob, config.CDN_HEADERS) | has_header("content-security-policy")
+    video, interactive = has_any(c("home_html"), config.VIDEO), has_any(c("home_html"), config.INTERACTIVE)
+    old = newest <= now_year - 3
+    recent = (newest >= now_year - 1) & ~old
     parts = {
-        "transport": points(secure, 1.5) + points(has_header("strict-transport-security"), 0.5) + points(F.rlike(text.text_or_empty(c("http_version")), F.lit("[23]")), 1),
-        "stack": F.when(tier == "modern", 2.0).when(tier == "unbekannt", 1.0).otherwise(0.0) + points(has_any(blob, config.CDN_HEADERS) | has_header("content-security-policy"), 1),
+        "transport": points(secure, 1.5) + points(hsts, 0.5) + points(modern_http, 1),
+        "stack": F.when(cms["tier"] == "modern", 2.0).when(cms["tier"] == "unbekannt", 1.0).otherwise(0.0) + points(shielded, 1),
         "mobile": points(c("viewport"), 1),
-        "media": points(has_any(c("home_html"), config.VIDEO), 1) + points(has_any(c("home_html"), config.INTERACTIVE), 1),
-        "upkeep": points((newest >= now_year - 1) & (newest > now_year - 3), 1),
+        "media": points(video, 1) + points(interactive, 1),
+        "upkeep": points(recent, 1),
     }
-    rated = sites.select("*", tier.alias("tier"), *[v.alias(k) for k, v in parts.items()])
+    redirect = F.coalesce(c("http_to_https_redirect"), F.lit(False)) if "http_to_https_redirect" in sites.columns else F.lit(False)
+    said = F.array(
+        F.when(secure, F.when(redirect, L["https_redirect"]).otherwise(L["https"])).when(insecure, L["tls_insecure"]).otherwise(L["http"]), F.when(hsts, L["hsts"]),
+        F.when(modern_http, F.concat(F.lit(L["http_version"]), F.upper("http_version"))), cms["label"], F.when(shielded, L["cdn"]), F.when(c("viewport"), L["viewport"]), F.when(video, L["video"]),
+        F.when(interactive, L["interactive"]), F.when(recent, L["recent"]).when(old, L["old"]),
+    )
+    reached = F.coalesce(c("reachable"), F.lit(False))
+    rating = cms_rating(F.lower(text.text_or_empty(c("generator"))), text.text_or_empty(c("home_html")))
+    rated = sites.withColumn("__cms", rating).select("*", cms["tier"].alias("tier"), *[v.alias(k) for k, v in parts.items()], F.when(reached, F.array_compact(said)).alias("evidence")).drop("__cms")
     total = F.least(F.lit(10.0), F.greatest(F.lit(0.0), sum((c(k) for k in parts), F.lit(0.0))))
-    return rated.withColumn("score", F.when(F.coalesce(c("reachable"), F.lit(False)), F.bround(total).cast("int")))
+    return rated.withColumn("score", F.when(reached, F.bround(total).cast("int")))
+
+
+def page_links(pages: DataFrame) -> DataFrame:
+    """page_id and links: the absolute http addresses that lead to the page's own site, with their labels, in order.  pages: page_id, url, html."""
+    host = text.normalize_host(c("url"))
+    whole = F.transform(urls.anchors(c("html")), lambda x: F.struct(urls.resolved(c("url"), x["href"]).alias("link"), x["label"].alias("label")))
+    own = lambda x: F.startswith(x["link"], F.lit("http")) & (text.registrable(F.lower(urls.authority(x["link"]))).isin("", text.registrable(host)))
+    return pages.select("page_id", F.filter(whole, own).alias("links"))
 
 
 def classify_links(pages: DataFrame, page_types: dict[str, Sequence[str]]) -> DataFrame:
     """page_id, type, link: the first link of each page type, where a link gives at most one type: the first that is still free and fits.
 
-    A fold over a page's links in their order; the state is the map of types found so far.
+    A word of the type must stand in the link's label or path.  A fold over a page's links in their order; the state is the map of types found so far.
     """
-    anchors = F.regexp_extract_all(text.text_or_empty(c("html")), F.lit(r"(?is)(<a\b[^>]*\bhref=[\"'][^\"'#][^\"']*[\"'][^>]*>.*?</a>)"), 1)
-    links = F.transform(anchors, lambda a: F.struct(F.regexp_extract(a, r"(?is)\bhref=[\"']([^\"'#]*)", 1).alias("href"), F.lower(F.regexp_replace(a, r"(?is)<[^>]*>", "")).alias("label")))
-    links = F.filter(links, lambda x: ~F.rlike(x["href"], F.lit(r"(?i)^(mailto|tel|javascript|ftp|data):")) & (F.startswith(x["href"], F.lit("/")) | text.same_site(x["href"], text.normalize_host(c("url")))))
-    hay = lambda x: F.concat(x["label"], F.lit(" "), F.lower(F.regexp_replace(x["href"], r"^[a-z]+://[^/]*", "")))
+    kinds = {t: [w.lower() for w in words] for t, words in page_types.items() if t != "home" and words}
     empty = F.create_map().cast("map<string,string>")
 
     def step(found: Column, link: Column) -> Column:
-        kind = F.coalesce(*[F.when(~F.map_contains_key(found, F.lit(t)) & has_any(hay(link), words), t) for t, words in page_types.items() if words])
-        return F.when(kind.isNull(), found).otherwise(F.map_concat(found, F.map_from_arrays(F.array(F.coalesce(kind, F.lit(""))), F.array(link["href"]))))
+        def taken(hay: Column) -> Column:
+            return F.coalesce(*[F.when(~F.map_contains_key(found, F.lit(t)) & has_any(hay, words), t) for t, words in kinds.items()])
+
+        kind = text.bound(F.concat(link["label"], F.lit(" "), F.lower(urls.path(link["link"]))), taken)
+        return text.bound(kind, lambda k: F.when(k.isNull(), found).otherwise(F.map_concat(found, F.map_from_arrays(F.array(F.coalesce(k, F.lit(""))), F.array(link["link"])))))
 
-    return pages.select("page_id", F.explode(F.aggregate(links, empty, step)).alias("type", "link"))
+    return page_links(pages).select("page_id", F.explode(F.aggregate("links", empty, step)).alias("type", "link"))
 
 
 def select_pages(links: DataFrame, priority: Sequence[str], limit: int) -> DataFrame:
-    """page_id, place, type, link: home first, then by priority up to the limit.  links: page_id, type, link and home (the page's own url)."""
+    """page_id, place, type, link: home first, then by priority up to the limit.
+
+    links: page_id, type, link and home (the page's own url); type is null for a page without links.
+    """
     order = F.array(*[F.lit(t) for t in priority if t != "home"])
-    kinds = links.groupBy("page_id").agg(F.first("home").alias("home"), F.map_from_entries(F.collect_list(F.struct("type", "link"))).alias("found"))
+    kinds = links.groupBy("page_id").agg(F.first("home").alias("home"), F.map_from_entries(F.collect_list(F.when(c("type").isNotNull(), F.struct("type", "link")))).alias("found"))
     chosen = F.filter(order, lambda t: F.map_contains_key(c("found"), t))
     pages = F.slice(F.concat(F.array(F.struct(F.lit("home").alias("type"), c("home").alias("link"))), F.transform(chosen, lambda t: F.struct(t.alias("type"), F.try_element_at(c("found"), t).alias("link")))), 1, limit)
     return kinds.select("page_id", F.posexplode(pages).alias("place", "p")).select("page_id", "place", "p.type", "p.link")
@@ -129,10 +161,25 @@ def main_text(html: Column) -> Column:
     return text.collapse(out)
 
 
-def persist_pages(existing: DataFrame, pages: DataFrame, order: str) -> DataFrame:
-    """existing with the first page of each company and url, and its status, written over it."""
-    firsts = first_by_key(pages, ["company_id", "url"], [order]).withColumn("fetch_status", page_status(c("error"), c("text_content")))
-    return upsert(existing, firsts.select("company_id", "url", "page_type", "fetch_status", "text_content"), ["company_id", "url"])
+def page_rows(pages: DataFrame, wave: int, now: str) -> DataFrame:
+    """Crawled pages as stored rows; those without url are left out.  The protocol, headers, generator and features are those of a reachable home page.
+
+    pages: company_id, url, page_type, error, http_status, text_content, reachable, and of tech_signals http_version, headers_json, generator, scheme,
+    http_to_https_redirect, viewport, copyright_year, last_modified_year.
+    """
+    home = (c("page_type") == "home") & F.coalesce(c("reachable"), F.lit(False))
+    features = F.to_json(F.struct("scheme", "http_to_https_redirect", "viewport", "copyright_year", "last_modified_year", "generator"))
+    return pages.filter(text.text_or_empty(c("url")) != "").select(
+        "company_id", "url", "page_type", page_status(c("error"), c("text_content")).alias("fetch_status"), "http_status", F.nullif("text_content", F.lit("")).alias("text_content"), c("error").alias("error_reason"),
+        F.lit(wave).alias("crawl_wave"), F.lit(now).cast("timestamp").alias("fetched_at"), F.when(home, c("http_version")).alias("http_protocol"), F.when(home, c("headers_json")).alias("response_headers"),
+        F.when(home, c("generator")).alias("generator_tag"), F.when(home, features).alias("tech_features"),
+    )
+
+
+def persist_pages(existing: DataFrame, pages: DataFrame, order: str, wave: int, now: str) -> DataFrame:
+    """existing with the first page of each company and url written over it, as of page_rows."""
+    firsts = first_by_key(pages.filter(text.text_or_empty(c("url")) != ""), ["company_id", "url"], [order])
+    return upsert(existing, page_rows(firsts, wave, now), ["company_id", "url"])
 
 
 def flag_no_text(companies: DataFrame, pages: DataFrame) -> DataFrame:
@@ -159,6 +206,12 @@ def crawl_report(sites: DataFrame) -> DataFrame:
     )
 
 
+def crawl_sample(sites: DataFrame, k: int = 10) -> DataFrame:
+    """Reachable sites with a score at even distances of their order by score; all if there are no more than k.  sites: company_id, reachable, score."""
+    rated = sites.filter(c("reachable") & c("score").isNotNull())
+    return even_spread_sample(rated, ["score", "company_id"], k)
+
+
 def crawl_counts(sites: DataFrame, page_errors: DataFrame) -> DataFrame:
     """kind, value, n: reachable companies by number of pages and by score, unreachable ones by error, failed pages of reachable ones by error.
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import importing, keyed
+from ..operators.keyed_table import KeyedTable
 from ..sources.fixtures import fixture
+from ..sources.io import scratch_folder
 from .common import Registry, sql_legacy, sql_norm_ws, sql_number, sql_wz2, sql_wz_code
 
 R = Registry()
@@ -31,6 +33,22 @@ def upsert_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.upsert(existing, incoming, ["id"])
 
 
+@R.add(
+    "a7_keyed_table",
+    """with e as (select id, name, plz, cast(id * 2 as bigint) as seen from v_companies where id % 3 <> 0), i as (select id, upper(name) as name from v_companies where id % 40 = 0)
+    select id, case when i.id is not null then i.name else e.name end as name, e.plz, e.seen from e full join i using (id)""",
+    ("v_companies",),
+)
+def keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table into which a batch is merged, and then merged again."""
+    df = fixture(spark, sf_dir, "v_companies")
+    stored = KeyedTable(spark, scratch_folder(spark, "companies"), ("id",), 32)
+    stored.create(df.filter("id % 3 <> 0").select("id", "name", "plz", (c("id") * 2).cast("long").alias("seen")))
+    for _ in range(2):
+        stored.merge(df.filter("id % 40 = 0").select("id", F.upper("name").alias("name")), 0, lambda old, new: keyed.upsert(old, new, ["id"]))
+    return stored.rows()
+
+
 @R.add(
     "a7_upsert_ignore",
     """with e as (select id, name from v_companies where id % 3 <> 0), i as (select id, upper(name) as name from v_companies where id % 2 = 0)

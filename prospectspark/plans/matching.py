@@ -9,6 +9,7 @@ from .. import config
 from ..functions import text
 from ..operators import signals
 from ..sources.fixtures import fixture
+from ..sources.io import written
 from .common import Registry, sql_any, sql_bare, sql_norm_company, sql_norm_text, sql_one_decimal, sql_ratio, sql_subset
 
 R = Registry()
@@ -27,7 +28,8 @@ def raw_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         c("refnr").alias("referenznummer"), c("titel").alias("stellenangebotsTitel"), c("beruf").alias("hauptberuf"), c("arbeitgeber").alias("firma"),
         c("veroeffentlicht_am").cast("string").alias("datumErsteVeroeffentlichung"), places.alias("stellenlokationen"),
     )
-    return rows.select(F.to_json(ad).alias("payload"), "keyword")
+    # the test tables are single files; a real one is read by many tasks
+    return rows.select(F.to_json(ad).alias("payload"), "keyword").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,17 +138,16 @@ def all_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.match_postings(postings(spark, sf_dir), companies(spark, sf_dir))
 
 
-@R.add("e10_best_match", f"with {BEST} select * from best", ("v_postings",))
-def e10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ads, firms = signals.located(postings(spark, sf_dir)), signals.matchable(companies(spark, sf_dir))
-    return signals.best_match(signals.match_exact(ads, firms).unionByName(signals.match_fuzzy(ads, firms)).unionByName(signals.match_region(ads, firms)))
-
-
 @R.add("e10_match_postings", f"with {BEST} select * from best", ("v_postings",))
 def e10_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_stages(spark, sf_dir)
 
 
+@R.add("e10_best_match", f"with {BEST} select * from best", ("v_postings",))
+def e10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return all_stages(spark, sf_dir)
+
+
 PRIO = "case when gf_alter is null then 'unbekannt' when gf_alter >= 58 then 'hoch' when gf_alter >= 50 then 'mittel' else 'niedrig' end"
 
 
@@ -157,9 +158,8 @@ PRIO = "case when gf_alter is null then 'unbekannt' when gf_alter >= 58 then 'ho
 )
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which companies advertise a leading commercial role, at their place or in their region?"""
-    chosen = signals.title_filter(postings(spark, sf_dir)).select("refnr")
-    best = all_stages(spark, sf_dir).join(chosen, "refnr", "left_semi")
-    return best.withColumn("prio", text.age_priority(c("gf_alter")))
+    chosen = signals.title_filter(postings(spark, sf_dir))
+    return signals.match_postings(chosen, companies(spark, sf_dir)).withColumn("prio", text.age_priority(c("gf_alter")))
 
 
 @R.add("e11_unmatched_without_plz", f"with {LOCS} select count(*) as n from (select refnr from v_postings except select refnr from locs where trim(coalesce(plz, '')) <> '')", ("v_postings",))
@@ -254,6 +254,18 @@ def e15_rematch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.rematch(ads, fixture(spark, sf_dir, "v_matches"), companies(spark, sf_dir))
 
 
+@R.add("e15_match_changes", f"with {BEST} select * from best", ("v_postings",))
+def e15_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last run saw other names of some employers and companies, lacked some of either and had some that are gone."""
+    ads, firms = written(postings(spark, sf_dir), "postings"), written(companies(spark, sf_dir), "companies")
+    id_ = F.substring("refnr", 2, 20).cast("long")
+    old_ads = ads.filter(id_ % 61 != 0).withColumn("arbeitgeber", F.when(id_ % 53 == 0, F.concat(F.lit("Alt "), c("arbeitgeber"))).otherwise(c("arbeitgeber")))
+    old_ads = old_ads.unionByName(ads.filter(id_ % 47 == 0).withColumn("refnr", F.concat(F.lit("X"), c("refnr"))))
+    old_firms = firms.filter("id % 59 != 0").withColumn("name", F.when(c("id") % 43 == 0, F.upper(F.reverse("name"))).otherwise(c("name")))
+    carried = written(signals.match_postings(old_ads, old_firms), "carried")
+    return signals.match_changes(ads, firms, signals.ad_prints(old_ads), signals.company_prints(old_firms), carried)
+
+
 @R.add(
     "e16_refresh_priority",
     f"""with a as (select id as company_id, 2024 - gf_geburtsjahr as gf_alter from v_companies), m as (select match_id, prio, {PRIO} as new_prio from v_matches left join a using (company_id) where company_id is not null and status not in ('irrelevant', 'abgelehnt'))

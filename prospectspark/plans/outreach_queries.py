@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..operators import evidence, importing, integrity, outreach
+from ..operators.keyed_table import KeyedTable
 from ..sources.fixtures import fixture, table
 from ..sources.io import scratch_folder
 from ..streaming import streams
@@ -94,6 +95,20 @@ def i5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outreach.merge_reviews(reviews, reviews.filter("wave <> 3"), 2)
 
 
+@R.add(
+    "i5_write_wave",
+    """select company_id, wave, decision, selected, note_self from v_reviews where wave <> 2 union all
+    select company_id, 2, decision, coalesce(decision = 'lead', false), note_self from (select company_id, decision, note_self from v_reviews where wave <> 3) n where decision is not null or note_self <> ''""",
+    ("v_reviews",),
+)
+def i5_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table of which one wave is written anew."""
+    reviews, path = fixture(spark, sf_dir, "v_reviews"), f"{scratch(spark)}/reviews"
+    reviews.write.partitionBy("wave").parquet(path)
+    outreach.write_wave(path, reviews.filter("wave <> 3"), 2)
+    return spark.read.parquet(path).select("company_id", "wave", "decision", "selected", "note_self")
+
+
 @R.add("i6_leads_by_wave", "select distinct wave, company_id from v_reviews where decision = 'lead' or (decision is null and selected)", ("v_reviews",))
 def i6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outreach.leads_by_wave(fixture(spark, sf_dir, "v_reviews"))
@@ -155,7 +170,7 @@ for _name in ("i8_funnel_kpis", "i9_work_list"):  # second names of queries that
 
 @R.add(
     "i10_mark_sent",
-    """select outreach_id, case when channel = 'letter' and wave = 2 and status = 'queued' then 'sent' else status end as status, case when channel = 'letter' and wave = 2 and status = 'queued' then date '2024-01-05' end as sent_at from v_outreach""",
+    """select outreach_id, case when channel = 'letter' and wave = 2 and status = 'queued' then 'sent' else status end as status, case when channel = 'letter' and wave = 2 and status = 'queued' then date '2024-01-05' else sent_at end as sent_at from v_outreach""",
     ("v_outreach",),
 )
 def i10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +265,17 @@ def scratch(spark: SparkSession) -> str:
 def k1(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark)
     streams.stream_sightings(event_stream(spark, sf_dir), f"{folder}/table", f"{folder}/state").awaitTermination()
-    return streams.current_sightings(spark.read.parquet(f"{folder}/table"))
+    return spark.read.parquet(f"{folder}/table").select("refnr", "first_seen", "last_seen", "n")
+
+
+@R.add("k1_sightings_by_batches", "select 'R' || (event_id % 700) as refnr, min(ts) as first_seen, max(ts) as last_seen, count(*) as n from events group by 1")
+def k1_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in four batches, the second one twice."""
+    events = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("R"), (c("event_id") % 700).cast("string")).alias("refnr"), "ts")
+    kept = KeyedTable(spark, f"{scratch(spark)}/sightings", ("refnr",), 16)
+    for number, part in enumerate((0, 1, 1, 2, 3)):
+        kept.merge(streams.sightings(events.filter(c("event_id") % 4 == part)), number - (number > 1), streams.united)
+    return kept.rows()
 
 
 @R.add("k2_stream_dedupe", "select distinct 'R' || (event_id % 700) as refnr from events")

@@ -51,7 +51,8 @@ select event_id as call_id, user_id as company_id, ts as called_at,
 """,
     "v_outreach": """
 select c_custkey as outreach_id, c_custkey as company_id, case when c_custkey % 5 = 0 then 'email' else 'letter' end as channel,
- cast(c_custkey % 3 + 1 as int) as wave, case c_custkey % 7 when 0 then 'sent' when 1 then 'won' when 2 then 'rejected' when 3 then 'no_response' else 'queued' end as status from customer
+ cast(c_custkey % 3 + 1 as int) as wave, case c_custkey % 7 when 0 then 'sent' when 1 then 'won' when 2 then 'rejected' when 3 then 'no_response' else 'queued' end as status,
+ case when c_custkey % 7 < 4 then cast('2023-11-02' as date) else null end as sent_at from customer
 """,
     "v_dossiers": """
 select doc_id as company_id, concat('{"geschaeftsmodell":"', lang, ' ', source, '","familienunternehmen":{"hinweis":', case when doc_id % 6 = 0 then '"true"' when doc_id % 3 = 0 then 'true' when doc_id % 6 = 1 then '"no"' else 'false' end,
@@ -77,11 +78,13 @@ select posting_id as id, case posting_id % 3 when 0 then 'indeed' when 1 then 's
 from v_postings
 """,
     "v_pages": """
-select page_id, page_id % 50 as company_id, url, case page_id % 9 when 0 then 'home' when 1 then 'about' when 2 then 'historie' when 3 then 'team' when 4 then 'karriere' when 5 then 'produkte' when 6 then 'referenzen' when 7 then 'news' else 'impressum' end as page_type,
+select page_id, cast(floor(page_id / 6) as bigint) as company_id, url, case page_id % 9 when 0 then 'home' when 1 then 'about' when 2 then 'historie' when 3 then 'team' when 4 then 'karriere' when 5 then 'produkte' when 6 then 'referenzen' when 7 then 'news' else 'impressum' end as page_type,
  concat(case page_id % 8 when 0 then '<meta name="generator" content="WordPress 6.4">' when 1 then '<meta name="generator" content="TYPO3 CMS 9">' when 2 then '<meta name="generator" content="Joomla! 4">'
    when 3 then '<script src="/_next/a.js"></script>' when 4 then '<p>sedoparking</p>' when 5 then '<img src="/wp-content/a.png">' else '' end,
   case when page_id % 2 = 0 then '<meta name="viewport" content="width=device-width">' else '' end,
   case when page_id % 3 = 0 then '<video src="a"></video>' else '' end, case when page_id % 4 = 0 then '<a href="/karriere">Jobs</a><a href="/ueber-uns">Firma</a>' else '' end,
+  case page_id % 7 when 0 then '<a href=jobs.html>Jobs</a>' when 1 then '<a href="//other.example/ueber-uns">About</a><a href="team/./x/../">Wir</a>' when 2 then '<A class=x HREF = "../news/?p=1#top">Aktuelles</A>'
+   when 3 then '<a href="?seite=2&amp;x=1">Unser <b>Team</b></a>' when 4 then '<a title="a>b" href="mailto:a@b.de">Karriere</a><a data-href="/team" href="#x">Produkte</a>' when 5 then '<!-- <a href="/karriere">alt</a> --><a href="./produkte/../leistungen/.">Produkte' else '' end,
   html, case when page_id % 5 < 3 then concat('&copy; ', cast(2018 + page_id % 9 as string)) else '' end) as html,
  case when page_id % 13 = 0 then 'robots' when page_id % 17 = 0 then 'fetch_failed' else null end as error,
  case when page_id % 3 = 0 then 'HTTP/1.1' else 'HTTP/2' end as http_version,
@@ -97,9 +100,9 @@ select posting_id as match_id, posting_id, case when posting_id % 20 = 0 then nu
 from v_postings join orders on o_orderkey = posting_id where posting_id % 5 = 0
 """,
     "v_signals": """
-select d.doc_id as signal_id, d.doc_id % 200 as company_id, case d.doc_id % 4 when 0 then 'nachfolge' when 1 then 'familienunternehmen' when 2 then '' else 'digitalisierung' end as signal_type,
- case when d.doc_id % 11 = 0 then '' else substring(b.text,1,80) end as zitat, case when d.doc_id % 7 = 0 then null else concat('https://x.example/', cast(d.doc_id as string)) end as url, b.item_id
-from documents d join benchmark b on b.item_id = d.doc_id % 40
+select d.doc_id as signal_id, cast(floor(d.doc_id / 5) as bigint) as company_id, case d.doc_id % 4 when 0 then 'nachfolge' when 1 then 'familienunternehmen' when 2 then '' else 'digitalisierung' end as signal_type,
+ case when d.doc_id % 11 = 0 then '' when d.doc_id % 5 = 0 then concat('"', substring(b.text, 3, 60), '."') when d.doc_id % 5 = 1 then concat(substring(b.text, 1, 30), ' made up ') else substring(b.text, 4 + d.doc_id % 50, 80) end as zitat, case when d.doc_id % 7 = 0 then null else concat('https://x.example/', cast(d.doc_id as string)) end as url, b.item_id
+from documents d join (select count(*) as n from benchmark) k on true join benchmark b on b.item_id = d.doc_id % k.n
 """,
     "v_reviews": """
 select c_custkey as company_id, cast(c_custkey % 3 + 1 as int) as wave, case c_custkey % 4 when 0 then 'lead' when 1 then 'uninteressant' else null end as decision, c_custkey % 10 = 2 as selected, case when c_custkey % 9 = 0 then 'note' else '' end as note_self from customer

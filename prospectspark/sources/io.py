@@ -60,7 +60,8 @@ def read_id_list(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
 
 
 def select_by_id_list(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
-    return df.join(ids.select(F.col(key).cast(df.schema[key].dataType).alias(key)), key, "left_semi")
+    """The rows whose key is in the list; entries that are no value of the key's type select nothing."""
+    return df.join(ids.select(F.col(key).try_cast(df.schema[key].dataType).alias(key)), key, "left_semi")
 
 
 def write_export(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[str], kind: str = "csv") -> None:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.keyed_table import KeyedTable
+
 SCAN_WINDOW = "28 days"
 
 
@@ -14,19 +16,24 @@ def sightings(stream: DataFrame, key: str = "refnr", time: str = "ts") -> DataFr
     return stream.groupBy(key).agg(F.min(time).alias("first_seen"), F.max(time).alias("last_seen"), F.count("*").alias("n"))
 
 
-def stream_sightings(stream: DataFrame, path: str, checkpoint: str, key: str = "refnr", time: str = "ts") -> StreamingQuery:
-    """Keep the table of sightings at ``path`` up to date: every batch writes the keys that it changed as a generation of their own."""
+def united(stored: DataFrame, batch: DataFrame, key: str = "refnr") -> DataFrame:
+    """Sightings of both, one row for each key."""
+    both = stored.unionByName(batch)
+    return both.groupBy(key).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.sum("n").alias("n"))
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("generation", F.lit(number)).write.mode("overwrite").parquet(f"{path}/generation={number}")
 
-    return sightings(stream, key, time).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def stream_sightings(stream: DataFrame, path: str, checkpoint: str, key: str = "refnr", time: str = "ts", buckets: int = 64) -> StreamingQuery:
+    """Keep the keyed table of sightings at ``path`` up to date.
 
+    Each batch is summed up by itself and merged into the partitions of its keys.  The stream holds no state, however long it runs: what it knows is
+    the table.  Rows may come late and in any order; a batch that comes again changes nothing.
+    """
+    table = KeyedTable(stream.sparkSession, path, (key,), buckets)
+
+    def write(batch: DataFrame, number: int) -> None:
+        table.merge(sightings(batch, key, time), number, lambda stored, new: united(stored, new, key))
 
-def current_sightings(generations: DataFrame, key: str = "refnr") -> DataFrame:
-    """The newest generation of each key."""
-    newest = generations.groupBy(key).agg(F.max_by(F.struct("first_seen", "last_seen", "n"), "generation").alias("s"))
-    return newest.select(key, "s.*")
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def once(stream: DataFrame, key: str = "refnr", time: str = "ts", window: str = SCAN_WINDOW) -> DataFrame:
