@@ -1,8 +1,8 @@
 """Stages from raw documents to packed sequences.
 
 Edge cases, for every stage: a null or empty text has no words and the first stage rejects it; a very long text is judged, cut into lines and
-packed whole; rows that repeat a doc_id, or have none, stay rows of their own (line dedup and near dedup only remove rows with a doc_id,
-near dedup all that repeat one of a removed document); ties go to the smaller doc_id and the earlier line; an empty table gives an empty result;
+packed whole; rows that repeat a doc_id, or have none, stay rows of their own, each judged by its own text (line dedup and near dedup only remove
+rows with a doc_id); ties go to the smaller doc_id and the earlier line; an empty table gives an empty result;
 columns beyond those of documents are carried to the last stage, whatever their names.
 """
 

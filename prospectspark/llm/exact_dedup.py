@@ -36,7 +36,11 @@ from pyspark.sql import functions as F
 from .common import read_table, shuffle_partitions, text_steps
 
 FAN_OUT_BITS = 4
-NONE = -(1 << 63)
+
+
+def larger(a: int | None, b: int | None) -> int | None:
+    """The larger doc_id; any beats none."""
+    return b if a is None else a if b is None else max(a, b)
 
 
 class ContentTable:
@@ -47,12 +51,12 @@ class ContentTable:
         self.slot = [-1] * self.size
         self.rows: list[list] = []  # hash, text, largest doc_id, number of rows
 
-    def add(self, h: int, text: bytes, top: int, n: int) -> None:
+    def add(self, h: int, text: bytes, top: int | None, n: int) -> None:
         at, mask = h & (self.size - 1), self.size - 1
         while (i := self.slot[at]) >= 0:
             row = self.rows[i]
             if row[0] == h and row[1] == text:
-                row[2], row[3] = max(row[2], top), row[3] + n
+                row[2], row[3] = larger(row[2], top), row[3] + n
                 return
             at = (at + 1) & mask
         self.slot[at] = len(self.rows)
@@ -70,7 +74,7 @@ class ContentTable:
             self.slot[at] = i
 
 
-def grace(records: Iterator[tuple[int, bytes, int, int]], memory: int, shift: int, folder: str) -> Iterator[list]:
+def grace(records: Iterator[tuple[int, bytes, int | None, int]], memory: int, shift: int, folder: str) -> Iterator[list]:
     """One row for each distinct text.  shift: bits of the hash already used."""
     table, used, files = ContentTable(64), 0, None
     for record in records:
@@ -99,11 +103,11 @@ def grace(records: Iterator[tuple[int, bytes, int, int]], memory: int, shift: in
         os.rmdir(inner)
 
 
-def spill(files: list, shift: int, record: tuple[int, bytes, int, int]) -> None:
+def spill(files: list, shift: int, record: tuple[int, bytes, int | None, int]) -> None:
     pickle.dump(record, files[(record[0] >> shift) & ((1 << FAN_OUT_BITS) - 1)], protocol=5)
 
 
-def spilled(f) -> Iterator[tuple[int, bytes, int, int]]:
+def spilled(f) -> Iterator[tuple[int, bytes, int | None, int]]:
     while True:
         try:
             yield pickle.load(f)
@@ -124,13 +128,13 @@ def distinct_texts(documents: DataFrame, memory: int, partitions: int) -> DataFr
                 found: dict[bytes, list[int]] = {}
                 ids = step.column("doc_id").to_pylist()
                 for doc, text in zip(ids, step.column("text").to_pylist(), strict=True):
-                    row = found.setdefault((text or "").encode("utf-8", "surrogatepass"), [NONE, 0])
-                    row[0], row[1] = max(row[0], NONE if doc is None else doc), row[1] + 1
+                    row = found.setdefault((text or "").encode("utf-8", "surrogatepass"), [None, 0])
+                    row[0], row[1] = larger(row[0], doc), row[1] + 1
                 for text in [t for t, (_, n) in found.items() if n > 1 or t in held]:
                     top, n = found.pop(text)
                     used += (len(text) + 200) * (text not in held)
-                    row = held.setdefault(text, [NONE, 0])
-                    row[0], row[1] = max(row[0], top), row[1] + n
+                    row = held.setdefault(text, [None, 0])
+                    row[0], row[1] = larger(row[0], top), row[1] + n
                 yield texts_of(found)
                 if used > memory:
                     yield texts_of(held)
@@ -142,7 +146,7 @@ def distinct_texts(documents: DataFrame, memory: int, partitions: int) -> DataFr
         return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(list(found), pa.binary()), pa.array([x[0] for x in found.values()], pa.int64()), pa.array([x[1] for x in found.values()], pa.int64())], schema=sent)
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def records() -> Iterator[tuple[int, bytes, int, int]]:
+        def records() -> Iterator[tuple[int, bytes, int | None, int]]:
             for batch in batches:
                 for h, text, top, n in zip(batch.column("h").to_pylist(), batch.column("text"), batch.column("top").to_pylist(), batch.column("n").to_pylist(), strict=True):
                     yield h & ((1 << 64) - 1), text.as_py(), top, n
@@ -150,7 +154,7 @@ def distinct_texts(documents: DataFrame, memory: int, partitions: int) -> DataFr
         out = []
         with tempfile.TemporaryDirectory(prefix="grace-") as folder:
             for _, text, top, n in grace(records(), memory, 0, folder):
-                out.append((hashlib.sha256(text).hexdigest(), None if top == NONE else top, n))
+                out.append((hashlib.sha256(text).hexdigest(), top, n))
                 if len(out) == 10_000:
                     yield result(out)
                     out = []

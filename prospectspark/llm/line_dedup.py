@@ -218,11 +218,25 @@ def line_report(documents: DataFrame, percent: int = 80, min_words: int = 1) ->
     return joined.select("doc_id", lines.cast("long").alias("n_lines"), F.size("long").cast("long").alias("n_long"), (F.size("long") - F.size(stays)).cast("long").alias("n_removed"), F.array_join(stays, ",").alias("kept_long"))
 
 
+def several_texts(documents: DataFrame) -> bool:
+    """Whether rows with different texts share a doc_id."""
+    key = F.xxhash64("text")
+    ids = documents.filter("doc_id is not null").groupBy("doc_id").agg(F.min(key).alias("a"), F.max(key).alias("b"))
+    return not ids.filter("a != b").isEmpty()
+
+
 def keep_first_lines(documents: DataFrame, percent: int = 80, min_words: int = 1) -> DataFrame:
-    """documents without the lines that are similar to an earlier one; a document of which no word is left goes.  Texts without words stay as they are."""
-    kept = first_lines(documents, percent, min_words)
+    """documents without the lines that are similar to an earlier one; a document of which no word is left goes.  Texts without words stay as they are.
+
+    Rows that share a doc_id with another text are told apart by their texts; the order of two of them is that of the texts' hashes.
+    """
+    named = lambda doc, text: F.struct(doc.alias("doc"), F.xxhash64(text).alias("text"))
+    apart = several_texts(documents)
+    given_ids = documents.filter("doc_id is not null").select(named(c("doc_id"), c("text")).alias("doc_id"), "text") if apart else documents
+    kept = first_lines(given_ids, percent, min_words)
     rows = documents.select(F.struct("*").alias("row"))  # as a struct, so that no name clashes
-    joined = rows.join(kept, F.col("row.doc_id") == F.col("doc_id"), "left")
+    own = F.when(F.col("row.doc_id").isNotNull(), named(F.col("row.doc_id"), F.col("row.text"))) if apart else F.col("row.doc_id")
+    joined = rows.join(kept, own == F.col("doc_id"), "left")
     given = F.col("row.text")
     stays = F.filter(F.split(given, "\n"), lambda x, i: ~enough(x, min_words) | F.coalesce(F.array_contains("kept", i), F.lit(False)))
     text = F.when(F.col("row.doc_id").isNull() | given.isNull(), given).otherwise(F.array_join(stays, "\n"))

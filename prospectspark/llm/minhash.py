@@ -96,9 +96,9 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out.reshape(-1, SLOTS)
 
 
-def sketch(documents: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n, digest and check (128 bits of the set), sig, bands of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("check", pa.int64()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
+def sketch(documents: DataFrame, shingle: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n, digest and check (128 bits of the set), sig, bands of every row.  keep: further columns of longs."""
+    schema = pa.schema([("doc_id", pa.int64()), *((k, pa.int64()) for k in keep), ("n", pa.int64()), ("digest", pa.int64()), ("check", pa.int64()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,9 +113,10 @@ def sketch(documents: DataFrame, shingle: int) -> DataFrame:
                 keys = mix(keys + np.arange(BANDS, dtype=U64) * U64(0xD6E8FEB86659FD93)).astype(np.int64)
                 short = mix(sig.astype(U64)).astype(np.uint16)
                 bands = pa.ListArray.from_arrays(np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32), pa.array(keys.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([step.column("doc_id"), pa.array(size), pa.array(node), pa.array(check), pa.array([x.tobytes() for x in short], pa.binary()), bands], schema=schema)
+                yield pa.RecordBatch.from_arrays([step.column("doc_id"), *(step.column(k) for k in keep), pa.array(size), pa.array(node), pa.array(check), pa.array([x.tobytes() for x in short], pa.binary()), bands], schema=schema)
 
-    return documents.select("doc_id", "text").mapInArrow(make, "doc_id long, n long, digest long, check long, sig binary, bands array<long>")
+    kept = "".join(f"{k} long, " for k in keep)
+    return documents.select("doc_id", "text", *keep).mapInArrow(make, f"doc_id long, {kept}n long, digest long, check long, sig binary, bands array<long>")
 
 
 def digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -229,10 +230,10 @@ def set_classes(named: DataFrame) -> DataFrame:
     return found.withColumn("node", F.when(again == 1, F.col("digest")).otherwise(F.xxhash64("digest", "check", "n")))
 
 
-def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
+def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row.  keep: further columns of longs."""
     parts = shuffle_partitions(documents.sparkSession)
-    sketches = stored(sketch(documents, shingle), "sketch")
+    sketches = stored(sketch(documents, shingle, keep), "sketch")
     named = sketches.filter("n > 0 and doc_id is not null")
     classes = stored(set_classes(named), "classes")
     leads = classes.select(F.col("rep").alias("doc_id"), "digest", "check", "n", "node")
@@ -259,16 +260,20 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     rooted = classes.join(labels.select(F.col("u").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component"))
     found = rooted.join(least, "root").select("digest", "check", "n", "component")
-    out = sketches.select("doc_id", "digest", "check", "n").join(found, ["digest", "check", "n"], "left").withColumnRenamed("n", "n_shingles")
+    out = sketches.select("doc_id", *keep, "digest", "check", "n").join(found, ["digest", "check", "n"], "left").withColumnRenamed("n", "n_shingles")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component")), F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", *keep, "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def drop_near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group stays: the smallest doc_id.  All columns as they are."""
-    gone = near_duplicates(documents, shingle, percent).filter("not kept").select("doc_id").distinct()
+    """One document of each group stays: the smallest doc_id.  All columns as they are.
+
+    Rows that share a doc_id are judged each by its own text: one whose text belongs to the group of a smaller doc_id goes, the others stay.
+    """
+    key = "__text"
+    gone = near_duplicates(documents.select("doc_id", "text", F.xxhash64("text").alias(key)), shingle, percent, (key,)).filter("not kept").select("doc_id", key).distinct()
     rows = documents.select(F.struct("*").alias("row"))  # as a struct, so that no name clashes
-    return rows.join(gone, F.col("row.doc_id") == F.col("doc_id"), "left_anti").select("row.*")
+    return rows.join(gone, (F.col("row.doc_id") == F.col("doc_id")) & (F.xxhash64("row.text") == F.col(key)), "left_anti").select("row.*")
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ def brute(rows):
 @pytest.mark.parametrize("memory", [1 << 20, 3000])
 def test_equals_brute_force(spark, memory):
     rows = random_documents(4, 150, 5)
+    least, most = -(1 << 63), (1 << 63) - 1
+    rows += [(least, "at the end", None, None, 1), (least, "x", None, None, 1), (most, "y", None, None, 1), (None, "y", None, None, 1), (least, "z", None, None, 1), (None, "z", None, None, 1)]
     rows += [(None, "x", None, None, 1), (7, "x", None, None, 1), (7, "x", None, None, 1), (None, "only", None, None, 1)]
     assert sorted((tuple(r) for r in exact_dedup(frame(spark, rows), memory=memory, partitions=2).collect()), key=str) == brute(rows)
 

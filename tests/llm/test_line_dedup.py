@@ -87,3 +87,10 @@ def test_a_very_long_line_and_other_blanks(spark):
     rows = [(1, " ".join(long), None, None, 1), (2, "\t".join(long[:-3]), None, None, 1), (3, "a\tb\x0bc\x0cd\re", None, None, 1), (4, "  e d c  b a", None, None, 1), (5, "\t\r", None, None, 1)]
     got = {r.doc_id: (r.n_lines, r.kept_long) for r in line_report(frame(spark, rows)).collect()}
     assert got == {1: (1, "0"), 2: (1, ""), 3: (1, "0"), 4: (1, ""), 5: (0, "")}
+
+
+def test_rows_that_share_a_doc_id_keep_their_own_lines(spark):
+    shared, own = "one shared line of six words", "another line that stands alone here"
+    rows = [(1, f"{shared}\nfirst of its kind is this", None, None, 1), (5, f"{own}\n{shared}", None, None, 1), (5, f"{shared}\nnothing like the others at all", None, None, 1), (5, shared, None, None, 1)]
+    got = sorted((r.doc_id, r.text) for r in keep_first_lines(frame(spark, rows)).collect())
+    assert got == [(1, f"{shared}\nfirst of its kind is this"), (5, own), (5, "nothing like the others at all")]

@@ -108,3 +108,10 @@ def test_two_sets_with_one_digest_stay_two_classes(spark):
     named = spark.createDataFrame([(1, 5, 9, 1), (2, 5, 9, 1), (3, 5, 8, 2)], "doc_id long, digest long, check long, n long")
     got = {(r.check, r.rep): r.node for r in set_classes(named).collect()}
     assert set(got) == {(9, 1), (8, 3)} and len(set(got.values())) == 2
+
+
+def test_rows_that_share_a_doc_id_are_judged_by_their_own_text(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(3, a, None, None, 1), (5, a, None, None, 1), (5, b, None, None, 1), (5, b, None, None, 1), (7, b + " z", None, None, 1), (None, a, None, None, 1)]
+    got = sorted((str(r.doc_id), r.text) for r in drop_near_duplicates(frame(spark, rows)).collect())
+    assert got == sorted([("3", a), ("5", b), ("5", b), ("None", a)])

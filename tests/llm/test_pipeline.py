@@ -60,3 +60,13 @@ def test_documents_columns_between_stages(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_unique_texts_under_one_doc_id_stay(spark, tmp_path):
+    words = [[f"{x}word{i % 60}{x}" for i in range(90)] for x in "abcd"]
+    texts = [" ".join(w[:45]) + "\n" + " ".join(w[45:]) for w in words]
+    rows = [(3, texts[0], "en", "a", 1), (5, texts[0], "en", "a", 1), (5, texts[1], "en", "a", 1), (5, texts[2], "en", "a", 1), (None, texts[3], "en", "a", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        docs = stage(spark, docs, str(tmp_path))
+    assert sorted((str(r.doc_id), r.text) for r in docs.collect()) == sorted([("3", texts[0]), ("5", texts[1]), ("5", texts[2]), ("None", texts[3])])
