@@ -12,6 +12,7 @@ from ..functions import text
 from ..sources.io import written
 from .keyed import first_by_key
 from .keyed_table import removed, replace_partitions
+from .search import containing
 
 c = F.col
 CLOSED = ("won", "rejected")
@@ -221,8 +222,8 @@ def lead_list(outreach: DataFrame, companies: DataFrame, scores: DataFrame, wave
 
 
 def apply_by_substring(companies: DataFrame, overrides: DataFrame) -> DataFrame:
-    """id and value of the first override (by ord) whose key the company's name contains.  overrides: ord, key, value; a short hand-made list."""
-    hits = companies.select("id", "name").join(overrides, F.contains(companies["name"], overrides["key"]))
+    """id and value of the first override (by ord) whose key the company's name contains.  overrides: ord, key, value, however many."""
+    hits = containing(companies.select("id", "name"), "name", overrides, "key")
     return hits.groupBy("id").agg(F.min_by("value", "ord").alias("value"))
 
 

@@ -285,12 +285,18 @@ def external_leads(decisions: DataFrame, members: DataFrame) -> DataFrame:
     return decided.join(members, ["employer_key", "title_key"]).select("posting_id", F.lit(None).cast("long").alias("company_id"), F.lit("extern").alias("match_stufe"), F.lit("unbekannt").alias("prio"), "status", "note")
 
 
+def review_texts(matches: DataFrame, postings: DataFrame, companies: DataFrame) -> DataFrame:
+    """Matches with their advertisement and company, and hay: the text in which words are looked for."""
+    rows = matches.join(postings.select("posting_id", "arbeitgeber", "titel", "ort", "plz"), "posting_id", "left").join(companies.select(c("id").alias("company_id"), "name"), "company_id", "left")
+    return rows.withColumn("hay", F.lower(F.concat_ws(" ", "name", "arbeitgeber", "titel", "ort", "plz")))
+
+
 def review_queue(matches: DataFrame, postings: DataFrame, companies: DataFrame, words: Sequence[str] = (), status: Sequence[str] = (), prio: Sequence[str] = ()) -> DataFrame:
     """Matches with their advertisement and company; every word must occur somewhere in them."""
-    rows = matches.join(postings.select("posting_id", "arbeitgeber", "titel", "ort", "plz"), "posting_id", "left").join(companies.select(c("id").alias("company_id"), "name"), "company_id", "left")
-    hay = F.lower(F.concat_ws(" ", "name", "arbeitgeber", "titel", "ort", "plz"))
+    rows = review_texts(matches, postings, companies)
     for word in words:
-        rows = rows.filter(F.contains(hay, F.lit(word.lower())))
+        rows = rows.filter(F.contains("hay", F.lit(word.lower())))
+    rows = rows.drop("hay")
     if status:
         rows = rows.filter(c("status").isin(*status))
     if prio:

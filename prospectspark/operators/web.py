@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import text, urls
+from ..sources.io import written
 from .keyed import even_spread_sample, first_by_key, upsert
 
 c = F.col
@@ -208,7 +209,7 @@ def crawl_report(sites: DataFrame) -> DataFrame:
 
 def crawl_sample(sites: DataFrame, k: int = 10) -> DataFrame:
     """Reachable sites with a score at even distances of their order by score; all if there are no more than k.  sites: company_id, reachable, score."""
-    rated = sites.filter(c("reachable") & c("score").isNotNull())
+    rated = written(sites.filter(c("reachable") & c("score").isNotNull()), "rated")
     return even_spread_sample(rated, ["score", "company_id"], k)
 
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import text
-from ..operators import signals
+from ..operators import search, signals
 from ..sources.fixtures import fixture
-from ..sources.io import written
+from ..sources.io import scratch_folder, written
 from .common import Registry, sql_any, sql_bare, sql_norm_company, sql_norm_text, sql_one_decimal, sql_ratio, sql_subset
 
 R = Registry()
@@ -336,6 +336,24 @@ def e20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.external_leads(decisions, members)
 
 
+_WORDS = ("Leiter", "gmbh", "na", "NATION")
+_HAY = "lower(concat_ws(' ', name, arbeitgeber, titel, p.ort, p.plz))"
+
+
+@R.add(
+    "e21_indexed_search",
+    f"""select match_id, arbeitgeber, name from v_matches left join v_postings p using (posting_id) left join v_companies x on x.id = company_id where {' and '.join(f"contains({_HAY}, '{w.lower()}')" for w in _WORDS)}""",
+    ("v_matches",),
+)
+def e21_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue's texts in an index of grams, and words looked up in it."""
+    matches, ads, firms = (fixture(spark, sf_dir, v) for v in ("v_matches", "v_postings", "v_companies"))
+    rows = written(signals.review_texts(matches, ads, firms), "queue")
+    path = scratch_folder(spark, "grams")
+    search.write_index(rows, "match_id", c("hay"), path)
+    return search.search(rows, "match_id", c("hay"), spark.read.parquet(path), _WORDS).select("match_id", "arbeitgeber", "name")
+
+
 @R.add(
     "e21_review_queue",
     """select match_id, posting_id, arbeitgeber, name from v_matches left join v_postings p using (posting_id) left join v_companies x on x.id = company_id

@@ -10,7 +10,7 @@ from ..operators import evidence, importing, integrity, outreach
 from ..operators.keyed_table import KeyedTable
 from ..sources.fixtures import fixture, table
 from ..sources.io import scratch_folder
-from ..streaming import streams
+from ..streaming import lifecycle, streams
 from .common import Registry, sql_legacy
 from .imports import BIRTH, COMPANY_KEY, HANDOVER, HOLDING, PERSON_KEY, with_holding
 from .scores import SCORES, VIEWS, scores
@@ -208,6 +208,19 @@ def i12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outreach.apply_by_substring(fixture(spark, sf_dir, "v_companies"), spark.createDataFrame(list(OVERRIDES), "ord int, key string, value string"))
 
 
+@R.add(
+    "i12_overrides_from_parts",
+    """with o as (select p_partkey as ord, substr(p_name, 1 + p_partkey % 7, 5 + p_partkey % 9) as key, p_brand as value from part where p_partkey % 4 = 0 union all select 1000000000 + p_partkey, substr(p_name, 3, p_partkey % 4), 'short' from part where p_partkey % 499 in (1, 2, 3))
+    select id, arg_min(value, ord) as value from v_companies join o on contains(name, key) group by id""",
+    ("v_companies",),
+)
+def i12_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overrides whose number grows with the table: pieces of a quarter of all names, and some of one to three characters."""
+    long_ = table(spark, sf_dir, "part").filter("p_partkey % 4 = 0").selectExpr("p_partkey as ord", "substring(p_name, int(1 + p_partkey % 7), int(5 + p_partkey % 9)) as key", "p_brand as value")
+    short = table(spark, sf_dir, "part").filter("p_partkey % 499 in (1, 2, 3)").selectExpr("1000000000 + p_partkey as ord", "substring(p_name, 3, int(p_partkey % 4)) as key", "'short' as value")
+    return outreach.apply_by_substring(fixture(spark, sf_dir, "v_companies"), long_.unionByName(short))
+
+
 @R.add(
     "i13_salutation",
     rf"""with p as (select {sql_legacy('firma')} as key, case when regexp_full_match(substr(gf_geburtsdatum, 1, 4), '\d{{4}}') then 2024 - cast(substr(gf_geburtsdatum, 1, 4) as int) end as age, ord, gf_vorname, gf_nachname from v_persons where ist_gf = '1'),
@@ -278,6 +291,25 @@ def k1_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.rows()
 
 
+_LIFE = """with l as (select 'R' || (event_id * event_id % 997) as refnr, epoch_us(ts) // 1000 as t from events), g as (select *, case when t > lag(t) over (partition by refnr order by t) + 259200000 then 1 else 0 end as s from l),
+ r as (select *, sum(s) over (partition by refnr order by t rows unbounded preceding) as run from g), e as (select refnr, run, min(t) as a, max(t) as b, count(*) as n from r group by 1, 2)"""
+
+
+@R.add(
+    "k1_lifecycle",
+    f"""{_LIFE} select refnr, 'appeared' as event, make_timestamp(a * 1000) as at, make_timestamp(a * 1000) as first_seen, make_timestamp(a * 1000) as last_seen, cast(1 as bigint) as n from e
+    union all select refnr, 'gone', make_timestamp((b + 259200000) * 1000), make_timestamp(a * 1000), make_timestamp(b * 1000), n from e where b + 259200000 <= (select max(t) from l)""",
+)
+def k1_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advertisements that are gone after three days without a sighting; all events come in one batch, then the timers run out."""
+    folder = scratch(spark)
+    with lifecycle.rocksdb_state(spark):
+        seen = event_stream(spark, sf_dir).select(F.concat(F.lit("R"), (c("event_id") * c("event_id") % 997).cast("string")).alias("refnr"), "ts")
+        rows = lifecycle.stream_lifecycle(seen, 3, "0 seconds")
+        rows.writeStream.format("parquet").option("path", f"{folder}/table").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(lifecycle.EVENTS.format(key="refnr")).parquet(f"{folder}/table")
+
+
 @R.add("k2_stream_dedupe", "select distinct 'R' || (event_id % 700) as refnr from events")
 def k2(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark)
