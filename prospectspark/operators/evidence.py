@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import text
+from ..sources.io import written
 from .scoring import crawl_candidates, open_companies, parse_dossier
+from .search import grams
 
 c = F.col
 
@@ -92,12 +94,55 @@ def evidence_signals(existing: DataFrame, processed: DataFrame, quotes: DataFram
     return existing.select(cols).join(processed.select("company_id").distinct(), "company_id", "left_anti").unionByName(evidence_rows(quotes).select(cols))
 
 
-def quote_found(quote: Column, body: Column, window: int = 6, least: int = 8) -> Column:
-    """Whether a quote stands in a text (both normalised): any window of words of a long one, a short one as a whole."""
-    words = F.split(quote, " ")
-    starts = F.sequence(F.lit(1), F.size(words) - window + 1)
-    inside = F.exists(F.transform(starts, lambda i: F.array_join(F.slice(words, i, window), " ")), lambda w: F.contains(body, w))
-    return F.when(F.size(words) >= window, inside).otherwise((F.length(quote) >= least) & F.contains(body, quote))
+#: Words of a window that must stand in a row, and characters of a shorter quote.
+WINDOW, LEAST = 6, 8
+
+
+def normed_quotes(quotes: DataFrame) -> DataFrame:
+    """quote_id, company_id, quote: lower-cased, white space collapsed, without the marks around it."""
+    quote = F.btrim(text.norm_ws(c("zitat")), F.lit(" \"'.,;:!?-"))
+    return written(quotes.select(F.monotonically_increasing_id().alias("quote_id"), "company_id", quote.alias("quote")), "quotes")
+
+
+def stretches(words: Column, n: int) -> Column:
+    """Every n words in a row, with the words around them: n, body, before, after ('' at the ends)."""
+    at = lambda i: text.text_or_empty(F.get(words, i))
+    one = lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(words, i + 1, n), " ").alias("body"), F.when(i > 0, at(i - 1)).otherwise("").alias("before"), at(i + n).alias("after"))
+    count = F.size(words) - n + 1
+    return F.when(count >= 1, F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), one)).otherwise(F.array().cast("array<struct<n:int,body:string,before:string,after:string>>"))
+
+
+def found_quotes(quotes: DataFrame, texts: DataFrame) -> DataFrame:
+    """quote_id of the quotes that stand in their company's text: any WINDOW words in a row of a longer one, a shorter one as a whole.
+
+    A stretch is a substring, so its first word may be the end of a longer word and its last one the beginning of one; what lies between are whole words.
+    These are the anchor: quotes and texts meet by company and anchor, and the two words at the ends are compared where they meet.  Quotes of one or two
+    words have no whole word inside; they are anchored by their longest word's four characters next to the seam, or by the first LEAST characters of a
+    word.  So no text is copied for each quote.  quotes: quote_id, company_id, quote; texts: company_id, body (normalised).
+    """
+    parts = F.split("quote", " ")
+    size = F.when(c("quote") == "", 0).otherwise(F.size(parts))
+    rows = quotes.select("quote_id", "company_id", "quote", parts.alias("w"), size.alias("size"))
+    # windows of a long quote, the whole of a short one with at least three words
+    width = F.least(c("size"), F.lit(WINDOW))
+    starts = F.sequence(F.lit(0), c("size") - width)
+    window = lambda i: F.struct((width - 2).alias("n"), F.array_join(F.slice("w", i + 2, width - 2), " ").alias("body"), F.get("w", i).alias("first"), F.get("w", i + width - 1).alias("last"))
+    asked = rows.filter((c("size") >= 3) & ((c("size") >= WINDOW) | (F.length("quote") >= LEAST))).select("quote_id", "company_id", F.explode(F.transform(starts, window)).alias("q")).select("quote_id", "company_id", "q.*")
+    words = texts.select("company_id", F.split("body", " ").alias("t"))
+    held = F.flatten(F.array(*[stretches(c("t"), n) for n in range(1, WINDOW - 1)]))
+    met = asked.join(words.select("company_id", F.explode(held).alias("s")).select("company_id", "s.*"), ["company_id", "n", "body"])
+    long_ = met.filter(F.endswith("before", c("first")) & F.startswith("after", c("last"))).select("quote_id")
+    # two words: the seam between them; one word: inside a word
+    first, last = F.get("w", F.lit(0)), F.get("w", F.lit(1))
+    tail = F.length(first) >= 4
+    two = rows.filter((c("size") == 2) & (F.length("quote") >= LEAST)).select("quote_id", "company_id", tail.alias("tail"), F.when(tail, F.right(first, F.lit(4))).otherwise(F.left(last, F.lit(4))).alias("seam"), first.alias("first"), last.alias("last"))
+    pairs = words.select("company_id", F.explode(stretches(c("t"), 1)).alias("s")).filter("s.after != ''").select("company_id", c("s.body").alias("left"), c("s.after").alias("right"))
+    seams = pairs.select("*", F.inline(F.array(F.struct(F.lit(True).alias("tail"), F.right("left", F.lit(4)).alias("seam")), F.struct(F.lit(False).alias("tail"), F.left("right", F.lit(4)).alias("seam")))))
+    short = two.join(seams.distinct(), ["company_id", "tail", "seam"]).filter(F.endswith("left", c("first")) & F.startswith("right", c("last"))).select("quote_id")
+    one = rows.filter((c("size") == 1) & (F.length("quote") >= LEAST)).select("quote_id", "company_id", "quote", F.left("quote", F.lit(LEAST)).alias("gram"))
+    single = words.select("company_id", F.explode("t").alias("word")).filter(F.length("word") >= LEAST).distinct().withColumn("gram", F.explode(grams(c("word"), LEAST)))
+    inside = one.join(single, ["company_id", "gram"]).filter(F.contains("word", c("quote"))).select("quote_id")
+    return long_.unionByName(short).unionByName(inside).distinct()
 
 
 def quote_fidelity(quotes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -105,10 +150,10 @@ def quote_fidelity(quotes: DataFrame, texts: DataFrame) -> DataFrame:
 
     Marks around a quote don't count; a quote without words counts in the total and is not found.
     """
-    normed = quotes.select("company_id", F.btrim(text.norm_ws(c("zitat")), F.lit(" \"'.,;:!?-")).alias("quote"))
+    rows = normed_quotes(quotes)
     bodies = texts.select("company_id", text.norm_ws(c("body")).alias("body"))
-    joined = normed.join(bodies, "company_id", "left")
-    return joined.groupBy("company_id").agg(F.count("*").alias("total"), F.count_if(F.coalesce(quote_found(c("quote"), text.text_or_empty(c("body"))), F.lit(False))).alias("ok"))
+    found = found_quotes(rows, bodies).withColumn("hit", F.lit(True))
+    return rows.join(found, "quote_id", "left").groupBy("company_id").agg(F.count("*").alias("total"), F.count("hit").alias("ok"))
 
 
 def fields_filled(dossiers: DataFrame) -> DataFrame:

@@ -51,16 +51,17 @@ def region_label(plz2: Column) -> Column:
     return F.coalesce(F.try_element_at(names, plz2), F.nullif(plz2, F.lit("")), F.lit("?"))
 
 
-def curation_frame(scores: DataFrame, companies: DataFrame, signals: DataFrame, handover: DataFrame, dossiers: DataFrame, people: DataFrame) -> DataFrame:
+def curation_frame(scores: DataFrame, companies: DataFrame, signals: DataFrame, handover: DataFrame, dossiers: DataFrame, people: DataFrame, files: DataFrame) -> DataFrame:
     """Scored companies that are open, with labels, flags, their dossier's main fields, their evidence and their people.
 
-    companies: with holding_reason, dup_of and excluded; handover: key, handover; dossiers: company_id, d (parsed); people: key, people.
+    companies: with holding_reason, dup_of, excluded, register_id and hr_amtsgericht; handover: key, handover; dossiers: company_id, d (parsed); people: key,
+    people; files: key, file (the newest register file of a company, null where there is none).
     Evidence is an array sorted by type; people are an array, the oldest first; both are empty where nothing is known.
     """
     evidence = first_evidence(signals).groupBy("company_id").agg(F.sort_array(F.collect_list(F.struct("signal_type", "zitat", "url"))).alias("evidence"))
     firms = companies.filter(c("holding_reason").isNull() & c("dup_of").isNull() & ~F.coalesce("excluded", F.lit(False))).withColumnRenamed("id", "company_id").withColumn("key", text.company_key(c("name"), c("plz")))
     rows = scores.select("company_id", "score_klasse", "score_total", "cluster_branche", "gf_alter").join(firms.drop("gf_alter"), "company_id").join(dossiers.select("company_id", "d"), "company_id", "left")
-    rows = rows.join(handover, "key", "left").join(people, "key", "left").join(evidence, "company_id", "left")
+    rows = rows.join(handover, "key", "left").join(people, "key", "left").join(files.select("key", "file"), "key", "left").join(evidence, "company_id", "left")
     code, plz2 = industry_code(c("branche_wz")), F.regexp_extract(F.trim(text.text_or_empty(c("plz"))), r"^(\d\d)", 1)
     kilo = lambda x: F.bround(x / 1000).try_cast("long")
     yes = lambda col: F.coalesce(col, F.lit(False))
@@ -74,6 +75,7 @@ def curation_frame(scores: DataFrame, companies: DataFrame, signals: DataFrame,
         c("d.fuehrungsstruktur.kaufmaennische_funktion_besetzt").alias("commercial_role_filled"), c("d.fuehrungsstruktur.zweite_ebene_sichtbar").alias("second_level"),
         F.coalesce("d.karriere.kaufm_stellen", F.array().cast("array<string>")).alias("commercial_jobs"), F.coalesce("d.ansprache_hooks", F.array().cast("array<string>")).alias("hooks"),
         text.text_or_empty(F.try_element_at(pain, c("cluster_branche"))).alias("pain_point"), none("people"), none("evidence"), F.coalesce(F.size("evidence"), F.lit(0)).alias("n_evidence"),
+        text.text_or_empty(c("register_id")).alias("register_id"), text.text_or_empty(c("hr_amtsgericht")).alias("court"), "file",
     )
 
 

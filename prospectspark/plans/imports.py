@@ -186,18 +186,21 @@ def c10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.select("key", F.array_join(shown, ";").alias("people"))
 
 
-@R.add(
-    "c11_latest_file_per_key",
-    f"""with f as (select job_key, max(job_key || '+AD-2024' || lpad(cast(ord % 13 as varchar), 2, '0') || '.pdf') as name from v_persons where ord % 3 <> 1 group by 1)
-    select key, arg_min(name, ord) as file from (select {PERSON_KEY} as key, ord, name from v_persons join f using (job_key)) group by key""",
-    ("v_persons",),
-)
-def c11(spark: SparkSession, sf_dir: str) -> DataFrame:
+FILES = f"""jf as (select job_key, max(job_key || '+AD-2024' || lpad(cast(ord % 13 as varchar), 2, '0') || '.pdf') as name from v_persons where ord % 3 <> 1 group by 1),
+    rf as (select key, arg_min(name, ord) as file from (select {PERSON_KEY} as key, ord, name from v_persons join jf using (job_key)) group by key)"""
+
+
+def register_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     persons = fixture(spark, sf_dir, "v_persons")
     files = persons.filter("ord % 3 <> 1").select(F.concat("job_key", F.lit("+AD-2024"), F.lpad((c("ord") % 13).cast("string"), 2, "0"), F.lit(".pdf")).alias("name"))
     return importing.latest_file_per_key(files, persons, "ord")
 
 
+@R.add("c11_latest_file_per_key", f"with {FILES} select key, file from rf", ("v_persons",))
+def c11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return register_files(spark, sf_dir)
+
+
 def reported(spark: SparkSession, sf_dir: str) -> DataFrame:
     site = F.when(c("id") % 8 != 0, F.concat(F.lit("http://x"), c("id").cast("string")))
     return with_holding(importing.mark_duplicates(fixture(spark, sf_dir, "v_companies").withColumn("website", site)))

@@ -12,7 +12,7 @@ from ..sources.fixtures import fixture, table
 from ..sources.io import scratch_folder
 from ..streaming import lifecycle, streams
 from .common import Registry, sql_legacy
-from .imports import BIRTH, COMPANY_KEY, HANDOVER, HOLDING, PERSON_KEY, with_holding
+from .imports import BIRTH, COMPANY_KEY, FILES, HANDOVER, HOLDING, PERSON_KEY, register_files, with_holding
 from .scores import SCORES, VIEWS, scores
 
 R = Registry()
@@ -32,10 +32,11 @@ def i1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     firms = with_holding(fixture(spark, sf_dir, "v_companies")).withColumn("dup_of", F.lit(None).cast("long")).withColumn("excluded", c("id") % 31 == 0)
+    firms = firms.withColumn("register_id", F.when(c("id") % 4 != 0, F.concat(F.lit("HRB "), c("id").cast("string")))).withColumn("hr_amtsgericht", c("ort"))
     persons = fixture(spark, sf_dir, "v_persons")
     handover, people = importing.handover_flag(persons, 2024), importing.persons_by_company(persons, 2024, "ord")
     dossiers = evidence.parse_dossiers(fixture(spark, sf_dir, "v_dossiers"))
-    return outreach.curation_frame(scores(spark, sf_dir), firms, fixture(spark, sf_dir, "v_signals"), handover, dossiers, people)
+    return outreach.curation_frame(scores(spark, sf_dir), firms, fixture(spark, sf_dir, "v_signals"), handover, dossiers, people, register_files(spark, sf_dir))
 
 
 EVIDENCE = """e0 as (select *, coalesce(nullif(signal_type, ''), 'sonstiges') as st from v_signals), e1 as (select *, row_number() over (partition by company_id, st order by signal_id) as k from e0),
@@ -44,12 +45,13 @@ PEOPLE = f"""p0 as (select {PERSON_KEY} as key, 2024 - ({BIRTH}) as age, ord, tr
 pp as (select key, string_agg(person || '/' || coalesce(cast(age as varchar), '?'), ';' order by -coalesce(age, -1), ord) as people from p0 group by key)"""
 _REGION = "case regexp_extract(s.plz, '^(\\d\\d)', 1) " + " ".join(f"when '{k}' then '{v}'" for k, v in config.REGION_LABELS.items()) + " else coalesce(nullif(regexp_extract(s.plz, '^(\\d\\d)', 1), ''), '?') end"
 _PAIN = "case cluster_branche " + " ".join(f"when '{k}' then '{v}'" for k, v in config.PAIN_POINTS.items()) + " else '' end"
-FRAME = rf"""{SCORES}, {EVIDENCE}, {PEOPLE}, frame as (select s.company_id, s.name, s.plz, s.ort, regexp_extract(s.plz, '^(\d\d)', 1) as plz2, {_REGION} as region, {_AFFINITY} as affinity, {_CONSULT} as consultant, cluster_branche as cluster,
+FRAME = rf"""{SCORES}, {EVIDENCE}, {PEOPLE}, {FILES}, frame as (select s.company_id, s.name, s.plz, s.ort, regexp_extract(s.plz, '^(\d\d)', 1) as plz2, {_REGION} as region, {_AFFINITY} as affinity, {_CONSULT} as consultant, cluster_branche as cluster,
   score_klasse as klasse, score_total as score, age as gf_alter, ho as handover, cast(round_even(umsatz_eur / 1000, 0) as bigint) as revenue_k, cast(round_even(bilanzsumme_eur / 1000, 0) as bigint) as balance_k,
   k7 as family, k9 as settled, coalesce(json_extract_string(dossier_json, '$.naechste_generation'), '') as next_generation, coalesce(array_to_string(from_json(json_extract(dossier_json, '$.nachfolge_signale'), '["VARCHAR"]'), '; '), '') as succession_signs,
   coalesce(json_extract_string(dossier_json, '$.geschaeftsmodell'), '') as business_model, cast(json_extract_string(dossier_json, '$.fuehrungsstruktur.kaufmaennische_funktion_besetzt') as boolean) as commercial_role_filled,
-  cast(json_extract_string(dossier_json, '$.fuehrungsstruktur.zweite_ebene_sichtbar') as boolean) as second_level, {_PAIN} as pain_point, coalesce(people, '') as people, coalesce(evidence, '') as evidence, coalesce(n_evidence, 0) as n_evidence
-  from scored s left join ev using (company_id) left join pp on pp.key = {COMPANY_KEY} where holding_reason is null and s.company_id % 31 <> 0)"""
+  cast(json_extract_string(dossier_json, '$.fuehrungsstruktur.zweite_ebene_sichtbar') as boolean) as second_level, {_PAIN} as pain_point, coalesce(people, '') as people, coalesce(evidence, '') as evidence, coalesce(n_evidence, 0) as n_evidence,
+  case when s.company_id % 4 <> 0 then 'HRB ' || s.company_id else '' end as register_id, s.ort as court, rf.file
+  from scored s left join ev using (company_id) left join pp on pp.key = {COMPANY_KEY} left join rf on rf.key = {COMPANY_KEY} where holding_reason is null and s.company_id % 31 <> 0)"""
 
 
 @R.add("i2_curation_frame", f"with {FRAME} select * from frame", (*VIEWS, "v_signals"))

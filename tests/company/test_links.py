@@ -62,3 +62,33 @@ def test_bad_values_are_null(spark, tmp_path):
     assert [r.t for r in tiers.select(web.cms_rating(c("g"), F.lit(""))["tier"].alias("t")).collect()] == ["modern", "unbekannt", "veraltet"]
     (tmp_path / "ids.txt").write_text("5\nfive\n99999999999999999999\n")
     assert [r.id for r in io.select_by_id_list(spark.range(9), io.read_id_list(spark, str(tmp_path / "ids.txt"))).collect()] == [5]
+
+
+def test_quotes_equal_the_substring_rule(spark):
+    import random
+
+    rng = random.Random(9)
+    words = ["a", "ab", "abc", "haus", "hausbau", "familienbetrieb", "betrieb", "1950", "in", "ulm", "seit"]
+    texts = {i: " ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) for i in range(12)}
+    quotes = []
+    for i in range(400):
+        k = rng.randrange(13)
+        t = texts.get(k, "")
+        a = rng.randrange(len(t) + 1)
+        q = t[a : a + rng.choice([3, 8, 9, 12, 20, 45])] if rng.random() < 0.7 else " ".join(rng.choice(words) for _ in range(rng.randint(1, 8)))
+        quotes.append((k, rng.choice(['"', "", ". "]) + q + rng.choice(["!", "", '."'])))
+
+    def found(q, body):
+        toks = q.split()
+        if len(toks) >= 6:
+            return any(" ".join(toks[i : i + 6]) in body for i in range(len(toks) - 5))
+        return len(q) >= 8 and q in body
+
+    want = {}
+    for k, q in quotes:
+        q = " ".join(q.split()).strip(" \"'.,;:!?-")
+        ok, total = want.get(k, (0, 0))
+        want[k] = (ok + found(q, texts.get(k, "")), total + 1)
+    df = spark.createDataFrame(quotes, "company_id int, zitat string")
+    got = {r.company_id: (r.ok, r.total) for r in evidence.quote_fidelity(df, spark.createDataFrame(list(texts.items()), "company_id int, body string")).collect()}
+    assert got == want
