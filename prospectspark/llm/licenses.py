@@ -11,7 +11,7 @@ Base labels: a phrase's place is a diagonal with all its pairs (mit license, apa
 labels come from longer passages of well-known licenses, from 0.8 of their pairs on.
 
 Edge cases: null counts as empty; a text of fewer words than a phrase has no hits; rows without doc_id are counted and labelled
-by themselves; rows that repeat doc_id and text come back once for each row, each with all places of its text once for each of them; a very
+by themselves; rows that repeat doc_id and text come back once for each row, each with all places of its text; a very
 long text is scanned whole; spans that tie in their share all count; an empty table gives an empty result; other columns are ignored,
 whatever their names.
 """

@@ -10,8 +10,8 @@ The stretches are bounded by keys of a fixed number of urls, chosen evenly by a
 a hash of the url) too, so a host with a third of all rows is spread over many stretches.  A rule goes to every stretch that its interval
 meets: rules that began before are pushed first, like any other.  Bounds affect the layout only, never the result.
 
-Verdict: that of the rule.  Without one, the method's: block a url without host, or with a label of a short list in its host;
-else allow.
+Verdict: that of the rule.  Without one, the method's: block a url without host, or with a whole word of a short list in its host (between dots,
+hyphens and the port: ``adult-x.org``, not ``spamhaus.org``); else allow.
 
 Edge cases: null urls and urls without ``://`` have empty host and path and no rule; hosts keep port and user part; rows that repeat a
 page_id come back each; very long urls are judged whole; rules of equal length and host: block wins; equal length otherwise: the longer
@@ -37,8 +37,9 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: Words that block a host if one of its labels starts with them and no rule fits.
+#: Words that block a host that has one of them, whole, in a label, if no rule fits.
 BLOCKED_LABELS = ("adult", "porn", "xxx", "casino", "spam", "malware")
+BLOCKED = rf"(^|[.-])({'|'.join(BLOCKED_LABELS)})([.:-]|$)"
 #: Urls that are looked at for the bounds of the stretches.
 BOUND_ROWS = 8192
 
@@ -123,7 +124,7 @@ def sweep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def with_verdict(judged: DataFrame) -> DataFrame:
-    bad = F.rlike("host", F.lit(r"(^|\.)(" + "|".join(BLOCKED_LABELS) + ")"))
+    bad = F.rlike("host", F.lit(BLOCKED))
     own = F.when((F.col("host") == "") | bad, "block").otherwise("allow")
     return judged.withColumn("verdict", F.coalesce("verdict", own))
 
@@ -144,5 +145,5 @@ p as (select page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCD
 m as (select page_id, p.host, p.path, arg_max((r.host || r.path, r.verdict), (length(r.host || r.path), length(r.host))) as best
  from p left join r on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path) group by all)
 select page_id, host, path, best[1] as rule,
- coalesce(best[2], case when host = '' or regexp_matches(host, '(^|\.)({"|".join(BLOCKED_LABELS)})') then 'block' else 'allow' end) as verdict from m
+ coalesce(best[2], case when host = '' or regexp_matches(host, '{BLOCKED}') then 'block' else 'allow' end) as verdict from m
 """

@@ -39,5 +39,11 @@ def test_rules_and_verdicts(spark):
     assert [(r.rule, r.verdict) for r in rows] == [("www.example.com/en/", "allow"), ("example.com/en/", "block"), ("com/", "allow"), ("net/fr/", "block"), (None, "allow"), (None, "block"), (None, "block"), ("com/", "allow")]
 
 
+def test_only_whole_words_block_a_host(spark):
+    hosts = ["www.xxxlutz.de", "spamhaus.org", "casinotheater.ch", "xxx.de", "my-casino.ch:80", "a.porn", "spam", "user@x.de"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").selectExpr("host", "cast(null as string) as verdict")
+    assert [r.verdict for r in with_verdict(df).collect()] == ["allow"] * 3 + ["block"] * 4 + ["allow"]
+
+
 def test_empty_table(spark):
     assert judge_urls(spark.createDataFrame([], SCHEMA), rule_table(spark)).collect() == []
