@@ -19,15 +19,22 @@ c = F.col
 LAST_MILLIS = 253_402_300_799_999
 
 
-def truthy(payload: Column, *keys: str) -> Column:
-    """The first of the JSON fields that isn't missing, empty, zero or false."""
+def truthy(doc: Column, *keys: str) -> Column:
+    """The first field of a parsed payload that isn't missing, empty, zero or false, as text.  doc: a variant, so no field parses the payload again."""
     some = lambda v: F.when(~v.isin("", "0", "0.0", "false"), v)
-    return F.coalesce(*[text.bound(F.get_json_object(payload, f"$.{k}"), some) for k in keys])
+    return F.coalesce(*[text.bound(F.try_variant_get(doc, f"$.{k}", "string"), some) for k in keys])
+
+
+def broken_payloads(raw: DataFrame) -> DataFrame:
+    """The rows whose payload is no JSON object, or repeats a field; in unify_job_sources all their fields are null."""
+    whole = F.coalesce(F.startswith(F.schema_of_variant(F.try_parse_json("payload")), F.lit("OBJECT")), F.lit(False))
+    return raw.filter(~whole)
 
 
 def unify_job_sources(raw: DataFrame) -> DataFrame:
-    """Three payload shapes in one schema; rows of other sources are left out.  raw: id, source, payload (JSON)."""
-    p = c("payload")
+    """Three payload shapes in one schema; rows of other sources are left out.  raw: id, source, payload (JSON), parsed once a row."""
+    p = c("__doc")
+    raw = raw.select("id", "source", F.try_parse_json("payload").alias("__doc"))
 
     def pick(indeed: Sequence[str], stepstone: Sequence[str], agency: Sequence[str]) -> Column:
         parts = (("indeed", indeed), ("stepstone", stepstone), ("arbeitsagentur", agency))
@@ -51,12 +58,12 @@ def unify_job_sources(raw: DataFrame) -> DataFrame:
     )
 
 
-def external_id(source: Column, payload: Column) -> Column:
-    """Each source's id, by its order of preference; null if it has none."""
+def external_id(source: Column, doc: Column) -> Column:
+    """Each source's id, by its order of preference; null if it has none.  doc: the parsed payload (a variant)."""
     return (
-        F.when(source == "indeed", truthy(payload, "jobId", "id", "jobUrl", "url"))
-        .when(source == "stepstone", truthy(payload, "jobId", "id", "url", "jobUrl"))
-        .when(source == "arbeitsagentur", truthy(payload, "id", "refnr", "source_url"))
+        F.when(source == "indeed", truthy(doc, "jobId", "id", "jobUrl", "url"))
+        .when(source == "stepstone", truthy(doc, "jobId", "id", "url", "jobUrl"))
+        .when(source == "arbeitsagentur", truthy(doc, "id", "refnr", "source_url"))
     )
 
 

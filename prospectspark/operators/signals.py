@@ -102,10 +102,11 @@ def matchable(companies: DataFrame) -> DataFrame:
 
 def located(postings: DataFrame) -> DataFrame:
     """refnr, employer, pos, plz, place, prefix: each postal code of an advertisement once, at its first place; stored, as all stages read it."""
-    named = written(postings.select("refnr", "plz", "ort", "places", text.norm_company(c("arbeitgeber")).alias("employer")), "named").filter("employer <> ''")
+    named = postings.select("refnr", "plz", "ort", "places", text.norm_company(c("arbeitgeber")).alias("employer"))
     places = explode_locations(named, "employer").select("refnr", "employer", "pos", F.trim(text.text_or_empty(c("plz"))).alias("plz"), text.norm_text(c("ort")).alias("place")).filter("plz <> ''")
     firsts = places.groupBy("refnr", "plz").agg(F.min("employer").alias("employer"), F.min(F.struct("pos", "place")).alias("f"))
-    return written(firsts.select("refnr", "employer", "f.pos", "plz", "f.place", F.substring("plz", 1, config.PREFIX_DIGITS).alias("prefix")), "ads")
+    rows = firsts.select("refnr", "employer", "f.pos", "plz", "f.place", F.substring("plz", 1, config.PREFIX_DIGITS).alias("prefix"))
+    return written(rows, "ads").filter("employer <> ''")
 
 
 def match_exact(ads: DataFrame, companies: DataFrame) -> DataFrame:

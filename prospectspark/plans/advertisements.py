@@ -40,7 +40,8 @@ def d1(spark: SparkSession, sf_dir: str) -> DataFrame:
     ("v_raw_jobs",),
 )
 def d2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, sf_dir, "v_raw_jobs").select("id", "source", ads.external_id(c("source"), c("payload")).alias("external_id"))
+    parsed = fixture(spark, sf_dir, "v_raw_jobs").select("id", "source", F.try_parse_json("payload").alias("doc"))
+    return parsed.select("id", "source", ads.external_id(c("source"), c("doc")).alias("external_id"))
 
 
 KEYED = f"k as (select *, {sql_norm_posting('trim(company)')} || '|' || {sql_norm_posting('trim(title)')} as dedupe_key from u where trim(coalesce(company, '')) <> '' and trim(coalesce(title, '')) <> '')"

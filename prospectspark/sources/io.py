@@ -52,6 +52,35 @@ def read_table(spark: SparkSession, source: str, columns: Sequence[str] = (), **
     return df.select(*columns) if columns else df
 
 
+def split_points(keys: DataFrame, key: str, splits: int) -> list:
+    """At most splits - 1 keys that deal the rows evenly, however the keys are spread; a bounded list."""
+    shares = [i / splits for i in range(1, splits)]
+    found = keys.agg(F.percentile_approx(key, F.array(*map(F.lit, shares)), F.lit(100 * splits)).alias("p")).first().p if shares else None
+    return sorted(set(found or []))
+
+
+def read_while_growing(spark: SparkSession, source: str, key: str, splits: int = 8, **jdbc: str) -> DataFrame:
+    """A table that others write to meanwhile: the largest key is fixed first, and no row beyond it is read, however late a split begins.
+
+    A JDBC table (``url``) is read in splits between quantiles of its keys, which a first pass over the key column finds; a Parquet path is read as its
+    files are, up to the key.  Rows without key can't be told from later ones and stay out; an empty table gives an empty result.
+    """
+    if "url" not in jdbc:
+        df = spark.read.parquet(source)
+        return df.filter(F.col(key) <= F.lit(df.agg(F.max(key)).first()[0]))
+    options = {k: v for k, v in jdbc.items() if k != "url"}
+    keys = spark.read.format("jdbc").options(query=f"select {key} from {source} where {key} is not null", **jdbc).load()
+    name = keys.columns[0]
+    top = keys.agg(F.max(name)).first()[0]
+    if top is None:
+        return spark.read.jdbc(jdbc["url"], source, predicates=["1 = 0"], properties=options)
+    points = [p for p in split_points(keys.filter(F.col(name) <= F.lit(top)), name, splits) if p < top]
+    text = lambda v: "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+    edges = [None, *points, top]
+    between = [" and ".join(x for x in (a is not None and f"{key} > {text(a)}", f"{key} <= {text(b)}") if x) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return spark.read.jdbc(jdbc["url"], source, predicates=between, properties=options)
+
+
 def read_id_list(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
     """Lines that are bare ids or JSON objects with the key; blank lines are skipped."""
     line = F.trim("value")

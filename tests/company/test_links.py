@@ -92,3 +92,22 @@ def test_quotes_equal_the_substring_rule(spark):
     df = spark.createDataFrame(quotes, "company_id int, zitat string")
     got = {r.company_id: (r.ok, r.total) for r in evidence.quote_fidelity(df, spark.createDataFrame(list(texts.items()), "company_id int, body string")).collect()}
     assert got == want
+
+
+def test_payloads_are_parsed_once_and_broken_ones_kept_apart(spark):
+    raw = spark.createDataFrame(
+        [
+            (1, "indeed", '{"company": "", "companyName": "N", "title": 7, "location": "Ulm", "isRemote": true}'),
+            (2, "stepstone", '{"company": false, "companyName": 0, "employer": "E", "city": "Kiel", "title": {"a": 1}}'),
+            (3, "arbeitsagentur", '{"company": "A", "contact_firstname": "V", "contact_lastname": null}'),
+            (4, "indeed", "no json"), (5, "indeed", None), (6, "indeed", "[1]"), (7, "other", "{}"),
+        ],
+        "id int, source string, payload string",
+    )
+    out = ads.unify_job_sources(raw)
+    got = {r.id: (r.company, r.title, r.location, r.contact, r.remote_hint) for r in out.collect()}
+    assert got[1] == ("N", "7", "Ulm", None, True) and got[2][0] == "E" and got[3] == ("A", None, None, "V", False)
+    assert set(got) == {1, 2, 3, 4, 5, 6} and got[4] == got[5] == got[6] == (None, None, None, None, False)
+    assert sorted(r.id for r in ads.broken_payloads(raw).collect()) == [4, 5, 6]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parse_json") + plan.count("parseJson") <= 1

@@ -17,7 +17,7 @@ def oracle():
     return con
 
 
-@pytest.mark.parametrize("name", ["flagship_leading_roles", "b8_parse_german_number", "c5_mark_duplicates", "c6_enrich_directors", "d1_unify_job_sources", "b19_token_set_ratio", "e8_match_fuzzy", "e9_match_region", "e10_best_match", "e12_dedupe_reposts", "e14_insert_matches", "e15_reconcile_matches", "e15_rematch", "e17_signal_counts", "e19_open_reposts", "f7_modernity_score", "f13_crawl_counts", "g2_assemble_context", "h1_score_companies", "i9_work_list", "j1_check_constraints", "k2_stream_dedupe"])
+@pytest.mark.parametrize("name", ["flagship_leading_roles", "b8_parse_german_number", "c5_mark_duplicates", "c6_enrich_directors", "b19_token_set_ratio", "e8_match_fuzzy", "e9_match_region", "e10_best_match", "e12_dedupe_reposts", "e14_insert_matches", "e15_reconcile_matches", "e15_rematch", "e17_signal_counts", "e19_open_reposts", "a7_keyed_table", "d1_unify_job_sources", "d2_external_id", "e21_indexed_search", "f4_classify_links", "f5_select_pages", "f7_modernity_score", "f9_persist_pages", "f13_crawl_counts", "g5_quote_fidelity", "i2_curation_frame", "i5_write_wave", "i10_mark_sent", "i12_overrides_from_parts", "k1_lifecycle", "g2_assemble_context", "h1_score_companies", "i9_work_list", "j1_check_constraints", "k2_stream_dedupe"])
 def test_query_equals_sql(spark, oracle, name):
     df = QUERIES[name](spark, SF)
     found = oracle.execute(ORACLE_SQL[name])
