@@ -151,11 +151,25 @@ def select_pages(links: DataFrame, priority: Sequence[str], limit: int) -> DataF
     return kinds.select("page_id", F.posexplode(pages).alias("place", "p")).select("page_id", "place", "p.type", "p.link")
 
 
+#: How deep navigation and footers may be nested.
+NESTED = 4
+
+
+def without_element(html: Column, tag: str) -> Column:
+    """html without the elements of that name, the innermost first, so that what is nested goes with what holds it."""
+    for _ in range(NESTED):
+        html = F.regexp_replace(html, rf"(?is)<{tag}\b[^>]*+>[^<]*+(?:<(?!/?{tag}\b)[^<]*+)*+</{tag}\s*>", " ")
+    return html
+
+
 def main_text(html: Column) -> Column:
-    """Visible text: without scripts, styles, navigation, footers, comments and tags; common entities decoded."""
+    """Visible text: without scripts, styles, navigation, footers (nested ones too), comments and tags; common entities decoded."""
     out = F.regexp_replace(text.text_or_empty(html), r"(?is)<!--.*?-->", " ")
-    for tag in ("script", "style", "nav", "footer", "head"):
+    for tag in ("script", "style"):
         out = F.regexp_replace(out, rf"(?is)<{tag}\b.*?</{tag}\s*>", " ")
+    for tag in ("nav", "footer"):
+        out = without_element(out, tag)
+    out = F.regexp_replace(out, r"(?is)<head\b.*?</head\s*>", " ")
     out = F.regexp_replace(out, r"(?is)<[^>]*>", " ")
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
         out = F.replace(out, F.lit(entity), F.lit(char))

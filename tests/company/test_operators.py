@@ -77,6 +77,11 @@ def test_main_text(spark):
     assert spark.createDataFrame([(html,), (None,)], "h string").select(web.main_text(c("h")).alias("t")).collect()[0].t == "A&B c"
 
 
+def test_nested_navigation_goes_whole(spark):
+    html = "<p>a</p><nav class=x><ul><li><NAV><b>in</b></NAV></li><li>out</li></ul></nav><footer>f<footer>g</footer>h</footer ><nav>never closed<p>b</p>" + "<nav>" + "<i>x</i>" * 20_000 + "</nav><p>c</p>"
+    assert spark.createDataFrame([(html,)], "h string").select(web.main_text(c("h")).alias("t")).first().t == "a never closed b c"
+
+
 def test_context_stops_in_the_block_that_crosses(spark):
     pages = spark.createDataFrame([(1, 1, "news", "u1", "n" * 30), (1, 2, "about", "u2", "\n" + "a" * 10), (1, 3, "team", "u3", " "), (1, 4, "x", None, "z")], "company_id int, page_id int, page_type string, url string, text_content string")
     firms = spark.createDataFrame([(1, "N", "1", "O", None, "V"), (2, "M", "2", "P", "W", None)], "id int, name string, plz string, ort string, branche_wz string, vertreter_1 string")
