@@ -12,7 +12,7 @@ from ..sources.fixtures import fixture, table
 from ..sources.io import scratch_folder
 from ..streaming import lifecycle, streams
 from .common import Registry, sql_legacy
-from .imports import BIRTH, COMPANY_KEY, FILES, HANDOVER, HOLDING, PERSON_KEY, register_files, with_holding
+from .imports import BIRTH, COMPANY_KEY, FILES, PERSON_KEY, register_files, with_holding
 from .scores import SCORES, VIEWS, scores
 
 R = Registry()
