@@ -224,9 +224,14 @@ def lead_list(outreach: DataFrame, companies: DataFrame, scores: DataFrame, wave
 
 
 def apply_by_substring(companies: DataFrame, overrides: DataFrame) -> DataFrame:
-    """id and value of the first override (by ord) whose key the company's name contains.  overrides: ord, key, value, however many."""
-    hits = containing(companies.select("id", "name"), "name", overrides, "key")
-    return hits.groupBy("id").agg(F.min_by("value", "ord").alias("value"))
+    """id and value of the first override (by ord) whose key the company's name contains.  overrides: ord, key, value, however many.
+
+    Each different name meets the first override of each different key; the companies of a name get what it has found.
+    """
+    firsts = overrides.groupBy("key").agg(F.min_by("value", "ord").alias("value"), F.min("ord").alias("ord"))
+    hits = containing(companies.select("name").distinct(), "name", firsts, "key")
+    found = hits.groupBy("name").agg(F.min_by("value", "ord").alias("value"), F.min("ord").alias("ord"))
+    return companies.select("id", "name").join(found.hint("merge"), "name").groupBy("id").agg(F.min_by("value", "ord").alias("value"))
 
 
 def salutation(companies: DataFrame, directors: DataFrame, genders: DataFrame, old_age: int = 75) -> DataFrame:

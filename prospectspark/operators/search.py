@@ -42,7 +42,8 @@ def containing(texts: DataFrame, text: str, keys: DataFrame, key: str) -> DataFr
         return texts.join(keys.limit(0), F.lit(False))
     sized = lambda w: F.transform(grams(c(text), w) if w else F.array(F.lit("")), lambda g: F.struct(F.lit(w).alias("__width"), g.alias("__anchor")))
     own = F.flatten(F.array(*[sized(w) for w in widths]))
-    met = texts.filter(c(text).isNotNull()).withColumn("__g", F.explode(own)).select(*texts.columns, "__g.*").join(anchored, ["__width", "__anchor"])
+    # a small file may hold many grams: its size says nothing of them, so neither side is sent whole to all tasks
+    met = texts.filter(c(text).isNotNull()).withColumn("__g", F.explode(own)).select(*texts.columns, "__g.*").join(anchored.hint("merge"), ["__width", "__anchor"])
     return met.filter(F.contains(c(text), c(key))).drop("__width", "__anchor")
 
 

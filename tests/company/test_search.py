@@ -31,6 +31,18 @@ def test_many_keys_need_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_shared_names_meet_the_keys_once(spark):
+    """A name that many companies have meets a key that many overrides have once, and no side is sent whole to all tasks."""
+    texts = spark.range(3000).select("id", F.concat(F.lit("ivory ring "), (c("id") % 3).cast("string")).alias("name"))
+    keys = spark.range(2000).select(c("id").cast("int").alias("ord"), F.when(c("id") % 2 == 0, "ring 1").otherwise("ivory").alias("key"), c("id").cast("string").alias("value"))
+    out = outreach.apply_by_substring(texts, keys)
+    assert {tuple(r) for r in out.groupBy("value").count().collect()} == {("0", 1000), ("1", 2000)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    names, firsts = texts.select("name").distinct(), keys.groupBy("key").agg(F.min("ord").alias("ord"))
+    assert search.containing(names, "name", firsts, "key").count() == 4
+
+
 def test_index_equals_the_scan(spark, tmp_path):
     rng = random.Random(4)
     words = ["Leiter", "Werk", "GmbH", "Süd", "ab", "x"]
