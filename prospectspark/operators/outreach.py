@@ -145,12 +145,16 @@ def leads_by_wave(selection: DataFrame) -> DataFrame:
 
 
 def reconcile_letters(letters: DataFrame, companies: DataFrame, selection: DataFrame) -> DataFrame:
-    """state and n of printed letters (name): matched to a lead, to a company that is none any more, or to nothing."""
-    ids = companies.select("name", c("id").alias("company_id"))
+    """state and n of printed letters (name): matched to a lead, to a company that is none any more, or to nothing.
+
+    A letter counts once for each company of its name; both are counted by name before they meet, so that a name that many share is one row of either.
+    """
     leads = leads_by_wave(selection).select("company_id", F.lit(True).alias("lead")).distinct()
-    joined = letters.join(ids, "name", "left").join(leads, "company_id", "left")
     state = F.when(c("company_id").isNull(), "unmatched").when(c("lead").isNull(), "dropped").otherwise("lead")
-    return joined.groupBy(state.alias("state")).agg(F.count("*").alias("n"))
+    firms = companies.select("name", c("id").alias("company_id")).join(leads.hint("merge"), "company_id", "left").groupBy("name", state.alias("state")).agg(F.count("*").alias("firms"))
+    printed = letters.groupBy("name").agg(F.count("*").alias("letters"))
+    met = printed.join(firms, "name", "left").withColumn("state", F.coalesce("state", F.lit("unmatched")))
+    return met.groupBy("state").agg(F.sum(c("letters") * F.coalesce("firms", F.lit(1))).alias("n"))
 
 
 def queue_letters(existing: DataFrame, ids: DataFrame, wave: int) -> DataFrame:

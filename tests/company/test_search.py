@@ -43,6 +43,16 @@ def test_shared_names_meet_the_keys_once(spark):
     assert search.containing(names, "name", firsts, "key").count() == 4
 
 
+def test_letters_of_a_shared_name_are_counted_before_they_meet(spark):
+    firms = spark.createDataFrame([(i, "a" if i < 40 else None if i == 40 else f"b{i}") for i in range(45)] + [(None, "b41")], "id int, name string")
+    letters = spark.createDataFrame([("a",)] * 30 + [("b41",), ("b42",), ("c",), (None,)], "name string")
+    selection = spark.createDataFrame([(w, i, "lead", False) for i in range(10) for w in (1, 2)] + [(42, 42, None, True)], "wave int, company_id int, decision string, selected boolean")
+    out = outreach.reconcile_letters(letters, firms, selection)
+    assert dict(out.collect()) == {"lead": 301, "dropped": 901, "unmatched": 3}
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in line]
+    assert "Aggregate" in out._jdf.queryExecution().optimizedPlan().toString().split(joins[0])[1].split("\n")[1]
+
+
 def test_index_equals_the_scan(spark, tmp_path):
     rng = random.Random(4)
     words = ["Leiter", "Werk", "GmbH", "Süd", "ab", "x"]
