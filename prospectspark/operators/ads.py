@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import text
+from ..sources.io import written
 from .keyed import first_by_key
 
 c = F.col
@@ -34,7 +35,9 @@ def broken_payloads(raw: DataFrame) -> DataFrame:
 def unify_job_sources(raw: DataFrame) -> DataFrame:
     """Three payload shapes in one schema; rows of other sources are left out.  raw: id, source, payload (JSON), parsed once a row."""
     p = c("__doc")
-    raw = raw.select("id", "source", F.try_parse_json("payload").alias("__doc"))
+    known = raw.filter(c("source").isin("indeed", "stepstone", "arbeitsagentur"))
+    # a generator keeps later filters from being moved below the parser, where each field would parse again
+    parsed = known.select(F.inline(F.array(F.struct("id", "source", F.try_parse_json("payload").alias("__doc")))))
 
     def pick(indeed: Sequence[str], stepstone: Sequence[str], agency: Sequence[str]) -> Column:
         parts = (("indeed", indeed), ("stepstone", stepstone), ("arbeitsagentur", agency))
@@ -43,7 +46,7 @@ def unify_job_sources(raw: DataFrame) -> DataFrame:
     posted = pick(("datePosted", "postedAt", "postingDate"), ("publishDate", "publishDateISO", "postedDate"), ("posted_at",))
     millis, stamp = F.rlike(posted, F.lit(r"^\d{11,}$")), posted.try_cast("long")
     person = F.trim(F.concat_ws(" ", *[truthy(p, f"contact_{k}") for k in ("salutation", "firstname", "lastname")]))
-    return raw.filter(c("source").isin("indeed", "stepstone", "arbeitsagentur")).select(
+    return parsed.select(
         "id", "source",
         pick(("company", "companyName"), ("company", "companyName", "employer"), ("company",)).alias("company"),
         pick(("title", "positionName", "jobTitle"), ("title", "jobTitle"), ("title",)).alias("title"),
@@ -110,9 +113,9 @@ def posted_day(posted: Column) -> Column:
 
 
 def export_leads(leads: DataFrame, everything: bool = False, remote_only: bool = False) -> DataFrame:
-    """Leads in a target city without an excluded term (or all), by company."""
+    """Leads in a target city without an excluded term (or all), by company; stored, as a sort reads its rows twice."""
     chosen = leads if everything else leads.filter(c("in_target") & c("excluded").isNull())
-    return (chosen.filter("remote") if remote_only else chosen).orderBy("company", "id")
+    return written(chosen.filter("remote") if remote_only else chosen, "leads").orderBy("company", "id")
 
 
 def extract_contacts(rows: DataFrame, body: str, email: str, phone: str, least: int = 30) -> DataFrame:

@@ -100,7 +100,8 @@ def d5(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def d6(spark: SparkSession, sf_dir: str) -> DataFrame:
     leads = ads.build_leads(ads.unify_job_sources(fixture(spark, sf_dir, "v_raw_jobs")))
-    return ads.export_leads(leads).select("id", "company", "title", "city", "remote")
+    columns = ["id", "company", "title", "city", "remote"]
+    return ads.export_leads(leads.select(*columns, "in_target", "excluded")).select(columns)
 
 
 @R.add(
