@@ -96,6 +96,8 @@ def evidence_signals(existing: DataFrame, processed: DataFrame, quotes: DataFram
 
 #: Words of a window that must stand in a row, and characters of a shorter quote.
 WINDOW, LEAST = 6, 8
+#: Bits of the filter of a company's anchors, whatever their number.
+FILTER_BITS = 1024
 
 
 def normed_quotes(quotes: DataFrame) -> DataFrame:
@@ -112,13 +114,32 @@ def stretches(words: Column, n: int) -> Column:
     return F.when(count >= 1, F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), one)).otherwise(F.array().cast("array<struct<n:int,body:string,before:string,after:string>>"))
 
 
+def filter_place(body: Column) -> Column:
+    return F.pmod(F.xxhash64(body), F.lit(FILTER_BITS)).cast("int")
+
+
+def anchor_filters(asked: DataFrame) -> DataFrame:
+    """company_id and mask: the bits that its anchors (body) set, as a map of at most FILTER_BITS / 64 numbers."""
+    place = filter_place(c("body"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63))
+    marks = asked.groupBy("company_id", F.shiftright(place, 6).alias("at")).agg(F.bit_or(bit).alias("bits"))
+    return marks.groupBy("company_id").agg(F.map_from_entries(F.collect_list(F.struct("at", "bits"))).alias("mask"))
+
+
+def may_be_anchor(mask: Column, body: Column) -> Column:
+    """False only where no anchor of the company equals the body."""
+    bits = lambda p: F.coalesce(F.call_function("shiftrightunsigned", F.try_element_at(mask, F.shiftright(p, 6)), p.bitwiseAND(63)).bitwiseAND(1) == 1, F.lit(False))
+    return text.bound(filter_place(body), bits)
+
+
 def found_quotes(quotes: DataFrame, texts: DataFrame) -> DataFrame:
     """quote_id of the quotes that stand in their company's text: any WINDOW words in a row of a longer one, a shorter one as a whole.
 
     A stretch is a substring, so its first word may be the end of a longer word and its last one the beginning of one; what lies between are whole words.
     These are the anchor: quotes and texts meet by company and anchor, and the two words at the ends are compared where they meet.  Quotes of one or two
     words have no whole word inside; they are anchored by their longest word's four characters next to the seam, or by the first LEAST characters of a
-    word.  So no text is copied for each quote.  quotes: quote_id, company_id, quote; texts: company_id, body (normalised).
+    word.  So no text is copied for each quote.  A filter of fixed size drops the stretches that no quote of the company asks for before they are shuffled; no side is
+    sent to all tasks, however small its file is.  quotes: quote_id, company_id, quote; texts: company_id, body (normalised).
     """
     parts = F.split("quote", " ")
     size = F.when(c("quote") == "", 0).otherwise(F.size(parts))
@@ -130,7 +151,8 @@ def found_quotes(quotes: DataFrame, texts: DataFrame) -> DataFrame:
     asked = rows.filter((c("size") >= 3) & ((c("size") >= WINDOW) | (F.length("quote") >= LEAST))).select("quote_id", "company_id", F.explode(F.transform(starts, window)).alias("q")).select("quote_id", "company_id", "q.*")
     words = texts.select("company_id", F.split("body", " ").alias("t"))
     held = F.flatten(F.array(*[stretches(c("t"), n) for n in range(1, WINDOW - 1)]))
-    met = asked.join(words.select("company_id", F.explode(held).alias("s")).select("company_id", "s.*"), ["company_id", "n", "body"])
+    wanted = words.join(anchor_filters(asked).hint("merge"), "company_id").select("company_id", F.explode(F.filter(held, lambda s: may_be_anchor(c("mask"), s["body"]))).alias("s"))
+    met = asked.join(wanted.select("company_id", "s.*").hint("merge"), ["company_id", "n", "body"])
     long_ = met.filter(F.endswith("before", c("first")) & F.startswith("after", c("last"))).select("quote_id")
     # two words: the seam between them; one word: inside a word
     first, last = F.get("w", F.lit(0)), F.get("w", F.lit(1))
@@ -138,10 +160,10 @@ def found_quotes(quotes: DataFrame, texts: DataFrame) -> DataFrame:
     two = rows.filter((c("size") == 2) & (F.length("quote") >= LEAST)).select("quote_id", "company_id", tail.alias("tail"), F.when(tail, F.right(first, F.lit(4))).otherwise(F.left(last, F.lit(4))).alias("seam"), first.alias("first"), last.alias("last"))
     pairs = words.select("company_id", F.explode(stretches(c("t"), 1)).alias("s")).filter("s.after != ''").select("company_id", c("s.body").alias("left"), c("s.after").alias("right"))
     seams = pairs.select("*", F.inline(F.array(F.struct(F.lit(True).alias("tail"), F.right("left", F.lit(4)).alias("seam")), F.struct(F.lit(False).alias("tail"), F.left("right", F.lit(4)).alias("seam")))))
-    short = two.join(seams.distinct(), ["company_id", "tail", "seam"]).filter(F.endswith("left", c("first")) & F.startswith("right", c("last"))).select("quote_id")
+    short = two.join(seams.distinct().hint("merge"), ["company_id", "tail", "seam"]).filter(F.endswith("left", c("first")) & F.startswith("right", c("last"))).select("quote_id")
     one = rows.filter((c("size") == 1) & (F.length("quote") >= LEAST)).select("quote_id", "company_id", "quote", F.left("quote", F.lit(LEAST)).alias("gram"))
     single = words.select("company_id", F.explode("t").alias("word")).filter(F.length("word") >= LEAST).distinct().withColumn("gram", F.explode(grams(c("word"), LEAST)))
-    inside = one.join(single, ["company_id", "gram"]).filter(F.contains("word", c("quote"))).select("quote_id")
+    inside = one.join(single.hint("merge"), ["company_id", "gram"]).filter(F.contains("word", c("quote"))).select("quote_id")
     return long_.unionByName(short).unionByName(inside).distinct()
 
 
@@ -153,7 +175,7 @@ def quote_fidelity(quotes: DataFrame, texts: DataFrame) -> DataFrame:
     rows = normed_quotes(quotes)
     bodies = texts.select("company_id", text.norm_ws(c("body")).alias("body"))
     found = found_quotes(rows, bodies).withColumn("hit", F.lit(True))
-    return rows.join(found, "quote_id", "left").groupBy("company_id").agg(F.count("*").alias("total"), F.count("hit").alias("ok"))
+    return rows.join(found.hint("merge"), "quote_id", "left").groupBy("company_id").agg(F.count("*").alias("total"), F.count("hit").alias("ok"))
 
 
 def fields_filled(dossiers: DataFrame) -> DataFrame:
