@@ -8,9 +8,11 @@ on the input.
    followed by the rest of its 64-bit hash, so sorting the keys orders a line's words by rarity.
 2. Equal sets become one, with their first place, in one aggregate over 128 bits of the sorted keys; a line repeated a million times is one
    row after it.
-3. Prefix filter: two similar sets share one of their first n - ceil(t * n) + 1 keys.  The sets meet by those keys.  Sets so small that only
-   an equal one is similar don't take part.  Length filter: sizes within the threshold.  Positional filter: what follows the common key must
-   be enough.  A parity bitmap of 64 or 128 bits bounds the difference of two sets from below and drops most of the rest.
+3. Prefix filter: two similar sets share one of the larger one's first n - ceil(t * n) + 1 and of the smaller one's first
+   m - ceil(2 * t / (1 + t) * m) + 1 keys.  The sets meet by those keys within their size class; those that may be similar to sets of the next
+   class also meet these.  Sets so small that only an equal one is similar don't take part.  Length filter: sizes within the threshold.
+   Positional filter: what follows the common key must be enough.  A parity bitmap of 64 or 128 bits bounds the difference of two sets from
+   below and drops most of the rest.
 4. A set needs only one earlier witness.  Where more than FEW sets meet by a key, a set is held against the earliest one there, if the
    filters allow that one, else against all earlier ones that they allow; a set whose earliest ones were refuted is then held against all.  So a
    group of thousands of variants costs one pair each, and no link is lost.
@@ -24,6 +26,9 @@ table gives an empty result; ``keep_first_lines`` keeps all other columns, whate
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +42,8 @@ SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS
 #: Sets that meet by a key are all held against each other up to so many, else against the earliest first.
 FEW = 64
+#: Sets meet only those of their size class, or of the next smaller one; so many times larger are the sizes of the next class.
+CLASS = 3
 #: Bits of the filter that keeps what can't join from being shuffled; its size is fixed.
 FILTER_BITS = 20
 #: Words from which a line's parity takes 128 bits.
@@ -44,15 +51,19 @@ LONG = 60
 
 
 def enough(line: Column, min_words: int) -> Column:
-    return F.btrim(line, F.lit(BLANKS)) != "" if min_words <= 1 else F.regexp_count(line, F.lit(WORD)) >= min_words
+    return F.ltrim(line, F.lit(BLANKS)) != "" if min_words <= 1 else F.regexp_count(line, F.lit(WORD)) >= min_words
+
+
+def plain(text: Column) -> Column:
+    """The text with blanks and line ends only between its words: split() finds single characters fastest."""
+    others = [b for b in BLANKS if b not in " \n"]
+    return F.when(reduce(Column.__or__, [F.contains(text, F.lit(b)) for b in others]), F.translate(text, "".join(others), " " * len(others))).otherwise(text)
 
 
 def text_lines(documents: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, line_no, line of every line that has enough words; in a line only single blanks part words, which split() finds fastest."""
-    others = "".join(b for b in BLANKS if b not in " \n")
-    plain = F.when(F.rlike("text", F.lit(f"[{others}]")), F.translate("text", others, " " * len(others))).otherwise(c("text"))
-    lines = documents.select("doc_id", F.posexplode(F.split(plain, "\n")).alias("line_no", "line"))
-    return lines.filter(enough(c("line"), min_words))
+    """doc_id, line_no, line of every line that has enough words."""
+    lines = documents.select("doc_id", F.posexplode(F.split(plain(c("text")), "\n")).alias("line_no", "line"))
+    return lines.filter(F.trim("line") != "" if min_words <= 1 else enough(c("line"), min_words))
 
 
 def words(line: Column) -> Column:
@@ -60,12 +71,13 @@ def words(line: Column) -> Column:
 
 
 def slot_of(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int")
+    return F.shiftrightunsigned(h, 64 - SLOT_BITS)
 
 
-def slot_ranks(lines: DataFrame) -> Column:
+def slot_ranks(documents: DataFrame) -> Column:
     """An array of SLOTS longs; ``h ^ ranks[slot of h]`` has the rank of the slot, by its words' count in the corpus, for the slot.  Its size is fixed."""
-    word = lines.select(F.explode(F.split("line", " ")).alias("word"))  # with the empty ones between blanks: they only make their slot more frequent
+    text = F.replace(plain(c("text")), F.lit("\n"), F.lit(" "))
+    word = documents.select(F.explode(F.split(text, " ")).alias("word"))  # with the empty ones between blanks: they only make their slot more frequent
     counts = word.groupBy(slot_of(F.xxhash64("word")).alias("slot")).agg(F.count("*").alias("n")).collect()
     n = {r.slot: r.n for r in counts}
     ranks = [0] * SLOTS
@@ -95,16 +107,26 @@ def prefix_length(n: Column, percent: int) -> Column:
     return n - F.ceil(n * percent / 100).cast("int") + 1
 
 
-def distinct_sets(lines: DataFrame, percent: int) -> DataFrame:
+def mid_length(n: Column, percent: int) -> Column:
+    """So many first keys of a set hold one in common with any similar set that is no smaller."""
+    return n - F.ceil(n * (2 * percent) / (100 + percent)).cast("int") + 1
+
+
+def size_class(n: Column, percent: int) -> Column:
+    """Two similar sets are in one class, or the larger one is in the next."""
+    return F.floor(F.log(n.cast("double")) / math.log(max(CLASS, 101 / percent))).cast("int")
+
+
+def distinct_sets(documents: DataFrame, percent: int, min_words: int) -> DataFrame:
     """doc_id and line_no of the first line of each set of words, n, bits, more (parity bits), prefix."""
-    ranks = slot_ranks(lines)
+    ranks, lines = slot_ranks(documents), text_lines(documents, min_words)
 
     def key(h: Column) -> Column:
         return h.bitwiseXOR(F.get(ranks, slot_of(h)))
 
-    keys = F.transform(F.transform(F.split("line", " "), lambda w: F.xxhash64(w)), key)
-    keys = F.array_remove(F.array_distinct(keys), key(F.xxhash64(F.lit(""))))  # what stands between two blanks
-    keyed = lines.select("doc_id", "line_no", F.sort_array(keys).alias("keys"))
+    hashes = F.array_distinct(F.transform(F.split("line", " "), lambda w: F.xxhash64(w)))
+    hashes = F.array_remove(hashes, F.xxhash64(F.lit("")))  # what stands between two blanks
+    keyed = lines.select("doc_id", "line_no", F.sort_array(F.transform(hashes, key)).alias("keys"))
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
     def parity(keys: Column) -> Column:
@@ -123,46 +145,96 @@ def distinct_sets(lines: DataFrame, percent: int) -> DataFrame:
     return first.select("place.doc_id", "place.line_no", "n", "bits", "more", "prefix")
 
 
-def may_match(x: str, y: str, percent: int) -> Column:
+def field(row: str | Column, name: str) -> Column:
+    """A column of an aliased row (``alias.``), or a field of a struct."""
+    return c(f"{row}{name}") if isinstance(row, str) else row[name]
+
+
+def may_match(x: str | Column, y: str, percent: int) -> Column:
     """Length, positional and bitmap filters for two rows (n words, a common key at place i from 0): can percent / (100 + percent) of n + m be common?"""
-    n, i, m, j = F.col(f"{x}n"), F.col(f"{x}i"), F.col(f"{y}n"), F.col(f"{y}i")
+    n, i, m, j = field(x, "n"), field(x, "i"), c(f"{y}n"), c(f"{y}i")
     need = (n + m) * percent
     # before the common key at most min(i, j) keys are common, from it on at most the shorter rest
     room = F.least(i, j) + F.least(n - i, m - j)
-    low, high = c(f"{x}bits").bitwiseXOR(c(f"{y}bits")), c(f"{x}more").bitwiseXOR(c(f"{y}more"))
+    low, high = field(x, "bits").bitwiseXOR(c(f"{y}bits")), field(x, "more").bitwiseXOR(c(f"{y}more"))
     differ = F.when((n > LONG) & (m > LONG), F.bit_count(low) + F.bit_count(high)).otherwise(F.bit_count(low.bitwiseXOR(high)))
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (room * (100 + percent) >= need) & (F.shiftright(n + m - differ, 1) * (100 + percent) >= need)
 
 
+def met(sets: DataFrame, percent: int) -> DataFrame:
+    """A row for each key by which a set meets others of its size class, and for those by which it meets larger ones of the next class: doc_id,
+    line_no, bits, more, key (of both), packed (see ``unpacked``)."""
+    n, length = c("n").cast("long"), F.size("prefix")
+    own = size_class(n, percent)
+    next_too = size_class(F.floor(n * 100 / percent), percent) > own
+    keys = F.concat("prefix", F.slice("prefix", 1, F.when(next_too, F.least(mid_length(n, percent), length)).otherwise(0)))
+    rows = sets.filter(length > 0).select("doc_id", "line_no", "bits", "more", n.alias("n"), own.cast("long").alias("class"), length.alias("length"), F.posexplode(keys).alias("at", "word"))
+    home = c("at") < c("length")
+    low = F.when(home, c("at") * 2 + 1).otherwise((c("at") - c("length")) * 2)
+    key = c("word").bitwiseXOR(c("class") + F.when(home, 0).otherwise(1))
+    rows = rows.select("doc_id", "line_no", "bits", "more", key.alias("key"), F.shiftleft("n", 32).bitwiseOR(low.cast("long")).alias("packed"))
+    # nothing here is null, but said on both sides alike it lets both sides of the join read one exchange
+    return rows.filter(" and ".join(f"{name} is not null" for name in rows.columns))
+
+
+def unpacked(packed: Column, percent: int) -> list[Column]:
+    """n, i: the key's place in the set, home: in the own class, small: similar sets that are no smaller are found by this row."""
+    n, i = F.shiftright(packed, 32), F.shiftright(packed.bitwiseAND((1 << 32) - 1), 1)
+    return [n.alias("n"), i.alias("i"), (packed.bitwiseAND(1) == 1).alias("home"), (i < mid_length(n, percent)).alias("small")]
+
+
+def before(x: str | Column, y: str) -> Column:
+    """Whether the first place comes before the second one."""
+    doc, line = field(x, "doc_id"), field(x, "line_no")
+    return (doc < c(f"{y}doc_id")) | ((doc == c(f"{y}doc_id")) & (line < c(f"{y}line_no")))
+
+
+def here(condition: Column) -> Column:
+    """The condition, where Spark can't move it below an exchange or into a join."""
+    return F.when(F.monotonically_increasing_id() >= 0, condition)
+
+
 def candidate_pairs(sets: DataFrame, percent: int, only: DataFrame | None = None) -> DataFrame:
     """Later and earlier sets (u_doc, u_line, v_doc, v_line) that may be similar.  led_by: the key by which u was held against its earliest set v
     alone; null where it was held against all.  only: doc_id, line_no, keys of sets that need all by these keys.
     """
-    prefixes = lambda table: table.select("doc_id", "line_no", c("n").cast("long").alias("n"), "bits", "more", F.posexplode("prefix").alias("i", "key"))
-    rows = prefixes(sets)
-    # nothing here is null, but said on both sides alike it lets both sides of the join read one exchange
-    rows = rows.filter(" and ".join(f"{c} is not null" for c in rows.columns))
-    col = c
-    y = rows.alias("y")
+    rows = met(sets, percent)
+    names = ["u_doc", "u_line", "v_doc", "v_line", "led_by"]
+    fields = ["doc_id", "line_no", "bits", "more", "key", *unpacked(c("packed"), percent)]
     if only is not None:
-        own = sets.filter(one_of(c("doc_id"), only.select("doc_id"))).join(only.hint("merge"), ["doc_id", "line_no"])
-        x = own.select("doc_id", "line_no", c("n").cast("long").alias("n"), "bits", "more", "keys", F.posexplode("prefix").alias("i", "key")).filter(F.array_contains("keys", c("key")))
-        x = x.drop("keys").withColumn("led", F.lit(False)).alias("x")
-        y = rows.filter(one_of(c("key"), only.select(F.explode("keys").alias("key")))).hint("merge").alias("y")
-        allowed = F.lit(True)
-    else:
-        # one evaluation for each key, not for each row
-        all_ = Window.partitionBy("key").orderBy("doc_id", "line_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        names = ("doc_id", "line_no", "n", "i", "bits", "more")
-        x = rows.select("*", F.count("*").over(all_).alias("company"), *[F.first(name).over(all_).alias(f"lead_{name}") for name in names]).filter("company > 1").alias("x")
-        led = (col("x.company") > FEW) & ((col("x.lead_doc_id") != col("x.doc_id")) | (col("x.lead_line_no") != col("x.line_no"))) & may_match("x.", "x.lead_", percent)
-        x = x.select(*rows.columns, "lead_doc_id", "lead_line_no", led.alias("led")).alias("x")
-        allowed = ~col("x.led") | ((col("y.doc_id") == col("x.lead_doc_id")) & (col("y.line_no") == col("x.lead_line_no")))
-    earlier = (col("y.doc_id") < col("x.doc_id")) | ((col("y.doc_id") == col("x.doc_id")) & (col("y.line_no") < col("x.line_no")))
-    pairs = x.join(y, (col("x.key") == col("y.key")) & earlier & allowed & may_match("x.", "y.", percent))
-    return pairs.select(
-        col("x.doc_id").alias("u_doc"), col("x.line_no").alias("u_line"), col("y.doc_id").alias("v_doc"), col("y.line_no").alias("v_line"), F.when(col("x.led"), col("x.key")).alias("led_by")
-    ).distinct()
+        own = sets.filter(one_of(c("doc_id"), only.select("doc_id"))).join(only.select("doc_id", "line_no").hint("merge"), ["doc_id", "line_no"])
+        wanted = only.select("doc_id", "line_no", F.explode("keys").alias("key"))
+        x = met(own, percent).join(wanted.hint("merge"), ["doc_id", "line_no", "key"]).select(fields).alias("x")
+        y = rows.filter(one_of(c("key"), wanted.select("key"))).select(fields).hint("merge").alias("y")
+        pairs = x.join(y, (c("x.key") == c("y.key")) & may_match("x.", "y.", percent) & before("y.", "x."))
+        return pairs.select("x.doc_id", "x.line_no", "y.doc_id", "y.line_no", F.lit(None).cast("long")).toDF(*names).distinct()
+    # by the key alone: the rows of a key need no order, the earliest one is the least
+    all_, dealt = Window.partitionBy("key"), rows.repartition("key")
+    x = dealt.select("*", F.count("*").over(all_).alias("company"), F.min(F.struct("doc_id", "line_no", "packed", "bits", "more")).over(all_).alias("least")).filter("company > 1")
+    lead = F.struct("least.doc_id", "least.line_no", "least.bits", "least.more", *unpacked(c("least.packed"), percent))
+    x = x.select(*fields, F.when(c("company") > FEW, lead).alias("lead")).filter("home").alias("x")
+    y = dealt.select(fields).filter(here(c("small"))).alias("y")  # after the exchange, which both sides read
+    later = before("y.", "x.")
+    # of a larger and a smaller set, or of two of one size the later and the earlier one
+    sizes = (c("y.n") < c("x.n")) | ((c("y.n") == c("x.n")) & later)
+
+    def led(lead: Column, name: str) -> Column:
+        """Whether the set is held against the earliest one by this key."""
+        roles = F.when(lead["n"] <= c(f"{name}n"), lead["small"] & c(f"{name}home")).otherwise(lead["home"] & c(f"{name}small"))
+        return before(lead, name) & roles & may_match(lead, name, percent)
+
+    def is_lead(lead: Column, name: str) -> Column:
+        return (c(f"{name}doc_id") == lead["doc_id"]) & (c(f"{name}line_no") == lead["line_no"])
+
+    def to_lead(lead: Column) -> Column:
+        return F.when(later, is_lead(lead, "y.")).otherwise(is_lead(lead, "x."))
+
+    # few pairs come so far; within the join's loop this would make more code than is compiled, as a lambda it is kept apart
+    allowed = F.exists(F.array("x.lead"), lambda lead: lead.isNull() | to_lead(lead) | ~F.when(later, led(lead, "x.")).otherwise(led(lead, "y.")))
+    pairs = x.join(y, (c("x.key") == c("y.key")) & sizes & may_match("x.", "y.", percent)).filter(here(allowed))
+    place = lambda name: F.struct(c(f"{name}doc_id").alias("doc"), c(f"{name}line_no").alias("line"))
+    u, v = F.when(later, place("x.")).otherwise(place("y.")), F.when(later, place("y.")).otherwise(place("x."))
+    return pairs.select(u.alias("u"), v.alias("v"), F.when(to_lead(c("x.lead")), c("x.key")).alias("led_by")).select("u.doc", "u.line", "v.doc", "v.line", "led_by").toDF(*names).distinct()
 
 
 def confirmed(pairs: DataFrame, documents: DataFrame, percent: int, min_words: int) -> DataFrame:
@@ -184,7 +256,7 @@ def first_lines(documents: DataFrame, percent: int, min_words: int) -> DataFrame
     """doc_id and kept, the numbers of its lines that no earlier line is similar to; documents with none are left out."""
     documents = documents.filter("doc_id is not null")
     # keys hardly repeat, so a dictionary of them would be built for nothing
-    sets = stored(distinct_sets(text_lines(documents, min_words), percent), "line-prefixes", {"parquet.enable.dictionary": "false"})
+    sets = stored(distinct_sets(documents, percent, min_words), "line-prefixes", {"parquet.enable.dictionary": "false"})
     pairs = stored(candidate_pairs(sets, percent), "line-pairs")
     names = ["u_doc", "u_line", "v_doc", "v_line"]
     led = pairs.filter("led_by is not null")
